@@ -16,8 +16,8 @@ def to_matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return np.asarray(flat, dtype=np.float64).reshape(len(column), width)
 
 
-def to_lists(matrix: np.ndarray) -> pa.ListArray:
+def to_lists(matrix: np.ndarray, value_type: pa.DataType = pa.float64()) -> pa.ListArray:
     """List column holding one row of the matrix per entry."""
     rows, width = matrix.shape
-    offsets = pa.array(np.arange(0, (rows + 1) * width, width) if width else np.zeros(rows + 1), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix).ravel(), pa.float64()))
+    offsets = pa.array(np.arange(rows + 1) * width, pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix).ravel(), value_type))

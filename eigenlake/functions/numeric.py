@@ -57,7 +57,7 @@ def total(terms: Sequence[Column]) -> Column:
 
 # Up to this many multiply-adds an expression stays inside generated code; wider vector
 # work goes through Arrow batches.
-EXPRESSION_TERMS = 400
+EXPRESSION_TERMS = 128
 
 
 def squared_norm(vector: Column, width: int) -> Column:

@@ -86,7 +86,7 @@ def discover_features(
         column = F.col(f"`{field.name}`")
         number = numeric_value(column, field.dataType)
         place = len(candidates)
-        aggregates.append(F.count(F.when(~F.isnan(number), 1)).alias(f"n{place}"))
+        aggregates.append(F.count(F.when(number.isNotNull() & ~F.isnan(number), 1)).alias(f"n{place}"))
         if isinstance(field.dataType, T.StringType):
             words = F.count(F.when(F.trim(column).rlike(BOOLEAN_PATTERN), 1))
             aggregates.append(((words > 0) & (words == F.count(column))).alias(f"b{place}"))
@@ -169,18 +169,16 @@ def dataset_report(data: Dataset) -> DataFrame:
             for i, name in enumerate(data.features)
         ],
     )
-    missing = counted.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("rows").alias("metric"), F.lit(None).cast("string").alias("feature"), F.col("rows").alias("value")),
-                F.struct(F.lit("features"), F.lit(None).cast("string"), F.lit(len(data.features)).cast("long")),
-                *[
-                    F.struct(F.lit("missing_values"), F.lit(name), F.col(f"m{i}"))
-                    for i, name in enumerate(data.features)
-                ],
-            )
-        ).alias("e")
-    ).select("e.*")
+    def line(metric: str, feature: str | None, value: Column) -> Column:
+        return F.struct(
+            F.lit(metric).alias("metric"),
+            F.lit(feature).cast("string").alias("feature"),
+            F.coalesce(value, F.lit(0)).cast("long").alias("value"),
+        )
+
+    lines = [line("rows", None, F.col("rows")), line("features", None, F.lit(len(data.features)))]
+    lines += [line("missing_values", name, F.col(f"m{i}")) for i, name in enumerate(data.features)]
+    missing = counted.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
     copies = (
         data.frame.groupBy(*[f"`{c}`" for c in source])
         .agg(F.count(F.lit(1)).alias("n"))

@@ -11,6 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from eigenlake.functions.arrow import to_lists, to_matrix
+from eigenlake.functions.blocks import sum_partials
 
 # Up to this width the covariance is one JVM aggregate of covar_samp pairs.
 PAIRWISE_WIDTH = 12
@@ -20,7 +21,7 @@ FINAL_BLOCKS = 8
 
 def column_means(df: DataFrame, column: str, width: int) -> np.ndarray:
     """Mean vector in one aggregate."""
-    if width <= PAIRWISE_WIDTH * 4:
+    if width <= PAIRWISE_WIDTH:
         row = df.agg(*[F.avg(F.col(column)[i]) for i in range(width)]).first()
         return np.array(row, dtype=float)
     row = df.select(Summarizer.mean(array_to_vector(F.col(column))).alias("m")).first()
@@ -42,13 +43,17 @@ def covariance(df: DataFrame, column: str, width: int) -> tuple[np.ndarray, np.n
             matrix[i, j] = matrix[j, i] = value
         return np.array(row[:width], dtype=float), matrix
     mean = column_means(df, column, width)
-    cells = gram_cells(df.select(column), width, mean).collect()
-    rows = next(c["value"] for c in cells if c["i"] < 0)
-    matrix = np.zeros((width, width))
-    for cell in cells:
-        if cell["i"] >= 0:
-            matrix[cell["i"], cell["j"]] = matrix[cell["j"], cell["i"]] = cell["value"]
-    return mean, matrix / (rows - 1)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
+        block, rows = np.zeros((width, width)), 0
+        for batch in batches:
+            values = to_matrix(batch.column(0), width) - mean
+            block += values.T @ values
+            rows += len(values)
+        return np.append(block.ravel(), float(rows)) if rows else None
+
+    sums = sum_partials(df.select(column), partial, width * width + 1)
+    return mean, sums[:-1].reshape(width, width) / (sums[-1] - 1)
 
 
 def gram_cells(df: DataFrame, width: int, mean: np.ndarray | None = None) -> DataFrame:
