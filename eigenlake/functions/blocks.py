@@ -56,7 +56,8 @@ def collect_block(
 
 
 def share(df: DataFrame, block: PointBlock) -> Broadcast:
-    return df.sparkSession.sparkContext.broadcast(block)
+    """Broadcast ``(ids, points, carried)`` as plain arrays."""
+    return df.sparkSession.sparkContext.broadcast((block.ids, block.points, block.carried))
 
 
 def tiles(rows: int, columns: int) -> Iterator[slice]:

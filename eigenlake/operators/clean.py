@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -14,6 +14,7 @@ from eigenlake.functions.numeric import (
     is_finite,
     numeric_value,
 )
+from eigenlake.session import stage
 
 COPIES_PER_CHUNK = 10_000
 
@@ -27,15 +28,14 @@ class Dataset:
     features: tuple[str, ...]
     target: str | None
     booleans: tuple[str, ...] = ()
+    rows: int = 0
+    key_added: bool = False
 
     @property
     def passthrough(self) -> list[str]:
         known = {self.row_id, *self.features, self.target}
         return [name for name in self.frame.columns if name not in known]
 
-    def with_frame(self, frame: DataFrame) -> "Dataset":
-        return replace(self, frame=frame)
-
     def numeric_features(self) -> list[Column]:
         """Feature columns as DOUBLE with every kind of missing value as NULL."""
         fields = self.frame.schema
@@ -69,12 +69,12 @@ def filter_target(df: DataFrame, target: str) -> DataFrame:
 
 def discover_features(
     df: DataFrame, exclude: Sequence[str] = ()
-) -> tuple[tuple[str, ...], tuple[str, ...]]:
+) -> tuple[tuple[str, ...], tuple[str, ...], int]:
     """Columns with at least one numeric cell, in source order, from one pass.
 
     Infinite cells count here and become missing later. Text columns made only of
     true/false words count as 0/1 features; date and time columns do not.
-    Returns (features, those of them that are true/false text).
+    Returns (features, those of them that are true/false text, row count).
     """
     aggregates = [F.count(F.lit(1)).alias("rows")]
     candidates = []
@@ -100,7 +100,7 @@ def discover_features(
     features = tuple(n for i, n in enumerate(candidates) if found[f"n{i}"] > 0 or n in booleans)
     if not features:
         raise ValueError("Dataset does not contain usable numerical feature columns")
-    return features, booleans
+    return features, booleans, found["rows"]
 
 
 def content_key(df: DataFrame) -> Column:
@@ -139,6 +139,7 @@ def load_dataset(
 ) -> Dataset:
     """Dedupe, validate the target and find the numeric features of a table.
 
+    The cleaned frame is staged before features are discovered, so the dedupe runs once.
     ``row_id`` names an existing unique column; without it a content key is added.
     ``exclude`` keeps columns (such as group codes) as passthrough only.
     """
@@ -152,16 +153,17 @@ def load_dataset(
         raise ValueError(f"Row id column '{row_id}' is missing")
     if target is not None:
         frame = filter_target(frame, target)
-    features, booleans = discover_features(
+    frame = stage(frame, "cleaned")
+    features, booleans, rows = discover_features(
         frame, exclude=[key, *exclude, *([target] if target else [])]
     )
-    return Dataset(frame, key, features, target, booleans)
+    return Dataset(frame, key, features, target, booleans, rows, row_id is None)
 
 
 def dataset_report(data: Dataset) -> DataFrame:
     """Rows, feature count, missing cells per feature and remaining duplicate rows, as
     ``(metric, feature, value)``."""
-    source = [c for c in data.frame.columns if c != "row_id"]
+    source = [c for c in data.frame.columns if not (data.key_added and c == data.row_id)]
     counted = data.frame.select(*data.numeric_features()).agg(
         F.count(F.lit(1)).alias("rows"),
         *[
@@ -181,8 +183,8 @@ def dataset_report(data: Dataset) -> DataFrame:
     missing = counted.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
     copies = (
         data.frame.groupBy(*[f"`{c}`" for c in source])
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("value"))
+        .agg(F.count(F.lit(1)).alias("__copies"))
+        .agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("value"))
         .select(
             F.lit("duplicate_rows_after_cleaning").alias("metric"),
             F.lit(None).cast("string").alias("feature"),

@@ -169,11 +169,11 @@ def _scores_in_place(df, row_id, shape, column, labels, bounds):
     id_type = df.schema[row_id].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        member = _membership(block.carried, bounds)
+        _, points, carried = shared.value
+        member = _membership(carried, bounds)
         counts = member.sum(axis=0)
-        centre = block.points.mean(axis=0)
-        points = block.points - centre
+        centre = points.mean(axis=0)
+        points = points - centre
         for batch in batches:
             rows = to_matrix(batch.column(1), width) - centre
             label = to_matrix(batch.column(2), runs).astype(np.int64)
@@ -197,7 +197,7 @@ def silhouette_of(df, queries, ks, shape, column="features", labels="labels", id
     bounds = np.concatenate([[0], np.cumsum(ks)]).astype(int)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-        points = shared.value.points
+        _, points, _ = shared.value
         sums, counts = np.zeros((len(points), bounds[-1])), np.zeros(bounds[-1])
         for batch in batches:
             rows = to_matrix(batch.column(0), width)

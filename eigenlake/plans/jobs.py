@@ -25,7 +25,7 @@ from eigenlake.operators.preprocess import Preprocessor
 from eigenlake.operators.sample import sample_rows, split_rows, train_size
 from eigenlake.operators.series import denoise, series_errors
 from eigenlake.operators.spectral import SpectralModel, build_reducer
-from eigenlake.session import stage
+from eigenlake.session import release, stage
 from eigenlake.sources.images import read_image_planes
 from eigenlake.sources.models import load_model, load_preprocessor, save_model, save_preprocessor
 from eigenlake.sources.sinks import coordinates, create_run_directory, write_coordinates
@@ -51,6 +51,10 @@ class Prepared:
     def train(self) -> DataFrame:
         return self.frame.where(F.col("split") == "train")
 
+    @property
+    def train_shape(self) -> MatrixShape:
+        return MatrixShape(self.train_rows, self.width)
+
 
 def prepare(
     df: DataFrame,
@@ -64,18 +68,20 @@ def prepare(
     approximate_median: bool = False,
 ) -> Prepared:
     """Load, split, fit the preprocessor on training rows and standardise all rows."""
-    loaded = load_dataset(
+    data = load_dataset(
         df, target=target, row_id=row_id, exclude=exclude, drop_duplicates=drop_duplicates
     )
-    data = loaded.with_frame(stage(loaded.frame, "cleaned"))
-    rows = data.frame.count()
+    rows, size = data.rows, train_size(data.rows, train_fraction)
     split = split_rows(data.frame, data.row_id, fraction=train_fraction, seed=seed, rows=rows)
     state = Preprocessor.fit(
-        split.where(F.col("split") == "train"), data.features, approximate_median=approximate_median
+        split.where(F.col("split") == "train"),
+        data.features,
+        approximate_median=approximate_median,
+        rows=size,
     )
     keep = [data.row_id, "split", *([target] if target else []), *data.passthrough]
     frame = stage(state.transform(split, keep), "matrix")
-    return Prepared(data, state, frame, rows, train_size(rows, train_fraction))
+    return Prepared(data, state, frame, rows, size)
 
 
 @dataclass
@@ -172,7 +178,12 @@ def train(
     prepared = prepare(
         df, target=target, train_fraction=train_fraction, seed=seed, row_id=row_id, exclude=exclude
     )
-    model = fit(prepared.train, n_components=n_components, variance_threshold=variance_threshold)
+    model = fit(
+        prepared.train,
+        n_components=n_components,
+        variance_threshold=variance_threshold,
+        shape=prepared.train_shape,
+    )
     reduced = stage(_reduce(prepared.frame, model), "reduced")
     options = dict(n_clusters=n_clusters, reference=target, seed=seed, n_init=n_init, exact_rows=exact_rows)
     key = prepared.data.row_id
@@ -203,6 +214,7 @@ def train(
         ),
         **_embedding_tables(prepared, labelled, model, "cluster"),
     }
+    release(prepared.frame)
     return result
 
 
@@ -234,7 +246,12 @@ def compare(
     )
     key, width, rows = prepared.data.row_id, prepared.width, prepared.rows
     models = {
-        name: build_reducer(name)(prepared.train, n_components=n_components, variance_threshold=variance_threshold)
+        name: build_reducer(name)(
+            prepared.train,
+            n_components=n_components,
+            variance_threshold=variance_threshold,
+            shape=prepared.train_shape,
+        )
         for name in ("pca", "svd")
     }
     frame = prepared.frame
@@ -300,6 +317,7 @@ def compare(
         if found is not None:
             tables["class_counts"], tables["separability"] = found
     tables["metrics"] = spark.createDataFrame(metrics, METRIC_SCHEMA)
+    release(prepared.frame)
     return result
 
 

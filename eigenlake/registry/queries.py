@@ -62,7 +62,7 @@ def profile(spark: SparkSession, sf_dir: str) -> jobs.Prepared:
 
 def fitted_profile(spark: SparkSession, sf_dir: str, method: str = "pca", **options):
     prepared = profile(spark, sf_dir)
-    return prepared, build_reducer(method)(prepared.train, **options)
+    return prepared, build_reducer(method)(prepared.train, shape=prepared.train_shape, **options)
 
 
 def dirty_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +140,7 @@ def target_filter(spark, sf_dir):
 )
 def feature_discovery(spark, sf_dir):
     cells = fx.event_cells(spark, sf_dir)
-    found, _ = clean.discover_features(cells, exclude=["event_id"])
+    found, _, _ = clean.discover_features(cells, exclude=["event_id"])
     order = [c for c in cells.columns if c not in ("event_id", "ts")]
     return spark.createDataFrame([(order.index(f) + 1, f) for f in found], "pos bigint, feature string")
 
@@ -223,14 +223,14 @@ def preprocessor_state(spark, sf_dir):
 
 @query(
     "median_impute",
-    with_steps(DIRTY_STEPS, "SELECT row_id, " + ", ".join(f"{r(f, 4)} AS {f}" for f in DIRTY_NAMES) + " FROM imp"),
+    with_steps(DIRTY_STEPS, "SELECT row_id, " + ", ".join(f"{r(f)} AS {f}" for f in DIRTY_NAMES) + " FROM imp"),
 )
 def median_impute(spark, sf_dir):
     frame = dirty_split(spark, sf_dir)
     state = dirty_state(frame)
     restored = state.inverse_transform(state.transform(frame, ["row_id"]))
     return restored.select(
-        "row_id", *[tidy(F.col("restored")[i], 4).alias(f) for i, f in enumerate(DIRTY_NAMES)]
+        "row_id", *[tidy(F.col("restored")[i]).alias(f) for i, f in enumerate(DIRTY_NAMES)]
     )
 
 
@@ -566,7 +566,7 @@ CURVE_STEP = f"""curve AS (SELECT m.method, k::INTEGER AS k,
 )
 def reconstruction_curve(spark, sf_dir):
     prepared = profile(spark, sf_dir)
-    models = [fit_pca(prepared.train), fit_svd(prepared.train)]
+    models = [fit_pca(prepared.train, shape=prepared.train_shape), fit_svd(prepared.train, shape=prepared.train_shape)]
     return rounded(diagnostics.reconstruction_curve(prepared.frame, models), ["train_mse", "test_mse"])
 
 
@@ -576,8 +576,8 @@ def reconstruction_curve(spark, sf_dir):
 )
 def component_alignment(spark, sf_dir):
     prepared = profile(spark, sf_dir)
-    left = fit_pca(prepared.train).components_table(spark)
-    right = fit_svd(prepared.train).components_table(spark)
+    left = fit_pca(prepared.train, shape=prepared.train_shape).components_table(spark)
+    right = fit_svd(prepared.train, shape=prepared.train_shape).components_table(spark)
     return rounded(diagnostics.component_alignment(left, right), ["cosine"])
 
 
@@ -868,7 +868,7 @@ def correlation_matrix(spark, sf_dir):
 )
 def variance_curves(spark, sf_dir):
     prepared = profile(spark, sf_dir)
-    spectra = {"PCA": fit_pca(prepared.train).spectrum_table(spark), "SVD": fit_svd(prepared.train).spectrum_table(spark)}
+    spectra = {"PCA": fit_pca(prepared.train, shape=prepared.train_shape).spectrum_table(spark), "SVD": fit_svd(prepared.train, shape=prepared.train_shape).spectrum_table(spark)}
     return rounded(explore.variance_curves(spectra, 0.95), ["cumulative"])
 
 
@@ -876,7 +876,7 @@ def variance_curves(spark, sf_dir):
 def curve_overlap(spark, sf_dir):
     prepared = profile(spark, sf_dir)
     return explore.curves_overlap(
-        fit_pca(prepared.train).spectrum_table(spark), fit_svd(prepared.train).spectrum_table(spark), "component"
+        fit_pca(prepared.train, shape=prepared.train_shape).spectrum_table(spark), fit_svd(prepared.train, shape=prepared.train_shape).spectrum_table(spark), "component"
     )
 
 
