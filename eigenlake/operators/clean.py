@@ -104,8 +104,15 @@ def discover_features(
 
 
 def content_key(df: DataFrame) -> Column:
-    """Identity of a row from its own content; the same under any plan or partitioning."""
-    return F.md5(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    """Identity of a row from its own content; the same under any plan or partitioning.
+    Adding zero makes negative zero the same value as zero, as it is in a comparison."""
+    cells = [
+        (F.col(f"`{f.name}`") + F.lit(0.0)).alias(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        else F.col(f"`{f.name}`")
+        for f in df.schema
+    ]
+    return F.md5(F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}))
 
 
 def key_rows(df: DataFrame, name: str, unique: bool) -> DataFrame:
@@ -163,7 +170,8 @@ def load_dataset(
 def dataset_report(data: Dataset) -> DataFrame:
     """Rows, feature count, missing cells per feature and remaining duplicate rows, as
     ``(metric, feature, value)``."""
-    source = [c for c in data.frame.columns if not (data.key_added and c == data.row_id)]
+    # Copies are counted by content key, so the shuffle carries keys instead of rows.
+    rows = data.frame.drop(data.row_id) if data.key_added else data.frame
     counted = data.frame.select(*data.numeric_features()).agg(
         F.count(F.lit(1)).alias("rows"),
         *[
@@ -182,7 +190,7 @@ def dataset_report(data: Dataset) -> DataFrame:
     lines += [line("missing_values", name, F.col(f"m{i}")) for i, name in enumerate(data.features)]
     missing = counted.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
     copies = (
-        data.frame.groupBy(*[f"`{c}`" for c in source])
+        rows.groupBy(content_key(rows).alias("__key"))
         .agg(F.count(F.lit(1)).alias("__copies"))
         .agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("value"))
         .select(

@@ -9,7 +9,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from eigenlake.operators.clean import MatrixShape, check_matrix
 from eigenlake.operators.cluster_metrics import EXACT_ROWS, class_counts, evaluate_labellings
-from eigenlake.operators.kmeans import KMeansModel, fit_kmeans, label_all
+from eigenlake.operators.kmeans import (
+    KMeansModel,
+    KMeansRequest,
+    fit_kmeans,
+    fit_kmeans_together,
+    label_all,
+    nearest_centre,
+)
 
 SWEEP_SCHEMA = "representation string, k int, metric string, value double"
 
@@ -23,14 +30,34 @@ class ClusterResult:
     model: KMeansModel
 
 
-def _fit_and_evaluate(df, row_id, column, shape, ks, reference, seed, n_init, exact_rows):
-    models = fit_kmeans(df, row_id, column, ks=ks, seed=seed, n_init=n_init, shape=shape)
-    ordered = [models[k] for k in ks]
-    labelled = label_all(df, ordered, column)
-    metrics = evaluate_labellings(
-        labelled, row_id, ks, shape, column=column, reference=reference, exact_rows=exact_rows, seed=seed
-    )
-    return ordered, labelled, metrics
+def cluster_representations(
+    df: DataFrame,
+    row_id: str,
+    requests: Sequence[KMeansRequest],
+    rows: int,
+    *,
+    references: Sequence[str | None],
+    seed: int = 42,
+    n_init: int = 20,
+    exact_rows: int | None = EXACT_ROWS,
+) -> list[tuple[list[KMeansModel], list[dict[str, float]]]]:
+    """Fit all requests in shared passes, then score each: (models, metrics) per request."""
+    fitted = fit_kmeans_together(df, row_id, requests, rows, seed=seed, n_init=n_init)
+    out = []
+    for request, models, reference in zip(requests, fitted, references):
+        ordered = [models[k] for k in request.ks]
+        metrics = evaluate_labellings(
+            label_all(df, ordered, request.column),
+            row_id,
+            request.ks,
+            MatrixShape(rows, request.width),
+            column=request.column,
+            reference=reference,
+            exact_rows=exact_rows,
+            seed=seed,
+        )
+        out.append((ordered, metrics))
+    return out
 
 
 def evaluate_kmeans(
@@ -47,11 +74,12 @@ def evaluate_kmeans(
 ) -> ClusterResult:
     """Fit, label and score one k. The frame should be staged: it is scanned repeatedly."""
     shape = shape or check_matrix(df, column)
-    models, labelled, metrics = _fit_and_evaluate(
-        df, row_id, column, shape, [n_clusters], reference, seed, n_init, exact_rows
+    request = KMeansRequest(column, shape.width, (n_clusters,))
+    [(models, metrics)] = cluster_representations(
+        df, row_id, [request], shape.rows, references=[reference], seed=seed, n_init=n_init, exact_rows=exact_rows
     )
-    assignments = labelled.select(f"`{row_id}`", F.col("labels")[0].alias("cluster"))
-    return ClusterResult(assignments, metrics[0], models[0])
+    label = nearest_centre(F.col(column), models[0].centers)
+    return ClusterResult(df.select(f"`{row_id}`", label.alias("cluster")), metrics[0], models[0])
 
 
 def clustering_sweep(
@@ -78,16 +106,44 @@ def clustering_sweep(
     upper = min(max_clusters, size - 1)
     if upper < min_clusters:
         raise ValueError("Not enough samples for the requested clustering sweep")
-    ks = list(range(min_clusters, upper + 1))
-    out = []
-    for name, width in representations.items():
-        _, _, metrics = _fit_and_evaluate(
-            df, row_id, name, MatrixShape(size, width), ks, reference, seed, n_init, exact_rows
-        )
-        out += [(name, k, key, float(v)) for k, found in zip(ks, metrics) for key, v in found.items()]
+    ks = tuple(range(min_clusters, upper + 1))
+    requests = [KMeansRequest(name, width, ks) for name, width in representations.items()]
+    found = cluster_representations(
+        df, row_id, requests, size, references=[reference] * len(requests),
+        seed=seed, n_init=n_init, exact_rows=exact_rows,
+    )
+    return sweep_table(df, [(r.column, r.ks, metrics) for r, (_, metrics) in zip(requests, found)])
+
+
+def sweep_table(df: DataFrame, results) -> DataFrame:
+    """Long table of (representation, cluster counts, metrics per count) results."""
+    out = [
+        (name, k, key, float(value))
+        for name, ks, metrics in results
+        for k, found in zip(ks, metrics)
+        for key, value in found.items()
+    ]
     return df.sparkSession.createDataFrame(out, SWEEP_SCHEMA)
 
 
+CLASS_COLUMN = "class_label"
+
+
+def class_label(df: DataFrame, group: str) -> DataFrame:
+    """Add the class of every row as text, a missing class as ``<missing>``."""
+    return df.withColumn(CLASS_COLUMN, F.coalesce(F.col(f"`{group}`").cast("string"), F.lit("<missing>")))
+
+
+def separable_classes(df: DataFrame, group: str, *, rows: int, train_rows: int, width: int) -> tuple[DataFrame, int] | None:
+    """Class counts and their number, or None when separability cannot be measured: the
+    column is absent, has fewer than two classes, or the training data is too small."""
+    if group not in df.columns or min(train_rows, width) < 2:
+        return None
+    counts = class_counts(df, group)
+    classes = counts.count()
+    return (counts, classes) if 2 <= classes < rows else None
+
+
 def separability(
     df: DataFrame,
     row_id: str,
@@ -102,22 +158,17 @@ def separability(
     exact_rows: int | None = EXACT_ROWS,
 ) -> tuple[DataFrame, DataFrame] | None:
     """Does a class column survive the reduction? K-means with one cluster per class on each
-    representation, scored against the classes: (class counts, metrics), or None when the
-    column is absent, has fewer than two classes, or the training data is too small."""
-    if group not in df.columns or min(train_rows, width) < 2:
-        return None
-    counts = class_counts(df, group)
-    classes = counts.count()
-    if classes < 2 or classes >= rows:
+    representation, scored against the classes: (class counts, metrics) or None."""
+    found = separable_classes(df, group, rows=rows, train_rows=train_rows, width=width)
+    if found is None:
         return None
-    named = df.withColumn("__class", F.coalesce(F.col(f"`{group}`").cast("string"), F.lit("<missing>")))
-    out = []
-    for name, size in representations.items():
-        _, _, metrics = _fit_and_evaluate(
-            named, row_id, name, MatrixShape(rows, size), [classes], "__class", seed, n_init, exact_rows
-        )
-        out += [(name, classes, key, float(v)) for key, v in metrics[0].items()]
-    return counts, df.sparkSession.createDataFrame(out, SWEEP_SCHEMA)
+    counts, classes = found
+    requests = [KMeansRequest(name, size, (classes,)) for name, size in representations.items()]
+    scored = cluster_representations(
+        class_label(df, group), row_id, requests, rows, references=[CLASS_COLUMN] * len(requests),
+        seed=seed, n_init=n_init, exact_rows=exact_rows,
+    )
+    return counts, sweep_table(df, [(r.column, r.ks, m) for r, (_, m) in zip(requests, scored)])
 
 
 def fallback_labels(

@@ -32,6 +32,24 @@ class KMeansModel:
         return len(self.centers)
 
 
+@dataclass(frozen=True)
+class KMeansRequest:
+    """Which vector column to cluster, its width, and the cluster counts wanted."""
+
+    column: str
+    width: int
+    ks: tuple[int, ...]
+
+
+@dataclass
+class _Run:
+    """One restart: the request it belongs to and its current centres (mean-centred)."""
+
+    request: int
+    centers: np.ndarray
+    steps: int = 0
+
+
 def fit_kmeans(
     df: DataFrame,
     row_id: str,
@@ -45,48 +63,72 @@ def fit_kmeans(
     init: np.ndarray | None = None,
     shape: MatrixShape | None = None,
 ) -> dict[int, KMeansModel]:
-    """Best of ``n_init`` restarts for every k, on all rows.
+    """Best of ``n_init`` restarts for every k, on all rows of one column. ``init`` gives
+    the starting centres of a single run instead."""
+    shape = shape or check_matrix(df, column)
+    request = KMeansRequest(column, shape.width, tuple(ks))
+    return fit_kmeans_together(
+        df, row_id, [request], shape.rows, seed=seed, n_init=n_init, max_iter=max_iter, tol=tol, init=init
+    )[0]
+
 
-    All restarts of all k move together, so the number of passes is the longest run's
-    iteration count, not the sum over runs. Only centres (runs x k x width) reach the
-    driver. ``init`` gives the starting centres of a single run instead.
+def fit_kmeans_together(
+    df: DataFrame,
+    row_id: str,
+    requests: Sequence[KMeansRequest],
+    rows: int,
+    *,
+    seed: int = 42,
+    n_init: int = 20,
+    max_iter: int = 300,
+    tol: float = 1e-4,
+    init: np.ndarray | None = None,
+) -> list[dict[int, KMeansModel]]:
+    """Several representations of the same rows, several k and all restarts at once.
+
+    Everything moves together, so the number of passes over the (staged) frame is the
+    longest run's iteration count, not the sum over runs. Only centres reach the driver.
     """
-    shape = shape or check_matrix(df, column)
-    for k in ks:
-        if not 2 <= k < shape.rows:
+    for request in requests:
+        if any(not 2 <= k < rows for k in request.ks):
             raise ValueError("n_clusters must be at least 2 and smaller than sample count")
-    vectors = df.select(column)
+    columns = list(dict.fromkeys(request.column for request in requests))
+    vectors = df.select(*[f"`{name}`" for name in columns])
     tasks = task_count(vectors)
-    mean, spread = _location(vectors, column, shape.width)
+    location = {r.column: None for r in requests}
+    for request in requests:
+        if location[request.column] is None:
+            location[request.column] = _location(vectors, request.column)
     if init is not None:
-        runs = [np.array(init, dtype=float) - mean]
+        runs = [_Run(0, np.array(init, dtype=float) - location[requests[0].column][0])]
     else:
-        runs = _starting_centres(df, row_id, column, shape, ks, seed, n_init, mean)
-    active, steps = set(range(len(runs))), [0] * len(runs)
+        runs = _starting_runs(df, row_id, requests, rows, seed, n_init, location)
+    scan = _Scan(vectors, columns, requests, {c: location[c][0] for c in columns}, tasks)
+    active = list(runs)
     for _ in range(max_iter):
-        sums, counts, _ = _assign_and_sum(vectors, shape.width, runs, sorted(active), mean, tasks)
-        for run in sorted(active):
-            filled = counts[run] > 0
-            moved = runs[run].copy()
-            moved[filled] = sums[run][filled] / counts[run][filled, None]
-            shift = float(((moved - runs[run]) ** 2).sum())
-            runs[run], steps[run] = moved, steps[run] + 1
-            if shift <= tol * spread:
-                active.discard(run)
+        still = []
+        for run, (sums, counts, _) in zip(active, scan.assign_and_sum(active)):
+            filled = counts > 0
+            moved = run.centers.copy()
+            moved[filled] = sums[filled] / counts[filled, None]
+            shift = float(((moved - run.centers) ** 2).sum())
+            run.centers, run.steps = moved, run.steps + 1
+            if shift > tol * location[requests[run.request].column][1]:
+                still.append(run)
+        active = still
         if not active:
             break
-    _, counts, costs = _assign_and_sum(vectors, shape.width, runs, range(len(runs)), mean, tasks)
-    best: dict[int, KMeansModel] = {}
-    for run, centers in enumerate(runs):
-        k = len(centers)
-        if k not in best or costs[run] < best[k].inertia:
-            if (counts[run] > 0).sum() < 2:
+    best: list[dict[int, KMeansModel]] = [{} for _ in requests]
+    for run, (_, counts, cost) in zip(runs, scan.assign_and_sum(runs)):
+        found, k = best[run.request], len(run.centers)
+        if k not in found or cost < found[k].inertia:
+            if (counts > 0).sum() < 2:
                 raise ValueError("K-means produced fewer than two clusters")
-            best[k] = KMeansModel(centers + mean, costs[run], steps[run])
+            found[k] = KMeansModel(run.centers + location[requests[run.request].column][0], cost, run.steps)
     return best
 
 
-def _location(vectors: DataFrame, column: str, width: int) -> tuple[np.ndarray, float]:
+def _location(vectors: DataFrame, column: str) -> tuple[np.ndarray, float]:
     """Mean vector and the mean per-feature variance (which scales the tolerance)."""
     found = vectors.select(
         Summarizer.metrics("mean", "variance").summary(array_to_vector(F.col(column))).alias("s")
@@ -94,16 +136,20 @@ def _location(vectors: DataFrame, column: str, width: int) -> tuple[np.ndarray,
     return found["mean"].toArray(), float(found["variance"].toArray().mean())
 
 
-def _starting_centres(df, row_id, column, shape, ks, seed, n_init, mean) -> list[np.ndarray]:
-    """Spread-out starting points drawn from a bounded hash sample, per k and restart."""
-    sample = sample_rows(df, row_id, max_samples=max(SEED_ROWS, 4 * max(ks)), seed=seed, rows=shape.rows)
-    table = sample.select(hash_order(row_id, seed).alias("h"), column).orderBy("h").toArrow()
-    points = to_matrix(table.column(1), shape.width) - mean
+def _starting_runs(df, row_id, requests, rows, seed, n_init, location) -> list[_Run]:
+    """Spread-out starting points drawn from one bounded hash sample, per k and restart."""
+    wanted = max(SEED_ROWS, 4 * max(max(r.ks) for r in requests))
+    columns = list(location)
+    sample = sample_rows(df, row_id, max_samples=wanted, seed=seed, rows=rows)
+    table = sample.select(hash_order(row_id, seed).alias("h"), *[f"`{c}`" for c in columns]).orderBy("h").toArrow()
     runs = []
-    for k in ks:
-        for restart in range(n_init):
-            random = np.random.default_rng([seed, k, restart])
-            runs.append(_spread_points(points, k, random))
+    for place, request in enumerate(requests):
+        points = to_matrix(table.column(1 + columns.index(request.column)), request.width)
+        points = points - location[request.column][0]
+        for k in request.ks:
+            for restart in range(n_init):
+                random = np.random.default_rng([seed, k, restart])
+                runs.append(_Run(place, _spread_points(points, k, random)))
     return runs
 
 
@@ -125,40 +171,64 @@ def _spread_points(points: np.ndarray, k: int, random: np.random.Generator) -> n
     return points[chosen].copy()
 
 
-def _assign_and_sum(vectors, width, runs, wanted, mean, tasks):
-    """One pass: per run the coordinate sums and counts of each cluster, and the cost."""
-    wanted = list(wanted)
-    centres = np.vstack([runs[run] for run in wanted])
-    sizes = [len(runs[run]) for run in wanted]
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    norms = np.einsum("ij,ij->i", centres, centres)
+@dataclass
+class _Scan:
+    """Passes over the vector columns of one frame."""
+
+    vectors: DataFrame
+    columns: list[str]
+    requests: Sequence[KMeansRequest]
+    means: dict[str, np.ndarray]
+    tasks: int
+
+    def assign_and_sum(self, runs: Sequence[_Run]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        """One pass: per run the coordinate sums and counts of each cluster, and the cost."""
+        places = [[i for i, run in enumerate(runs) if self.requests[run.request].column == c] for c in self.columns]
+        groups = [
+            (index, self.means[column], [runs[i].centers for i in members])
+            for index, (column, members) in enumerate(zip(self.columns, places))
+            if members
+        ]
+        sizes = [sum(len(c) for c in centers) * (len(mean) + 2) for _, mean, centers in groups]
+        flat = sum_partials(self.vectors, _assign_partial(groups), sum(sizes), self.tasks)
+        results: list = [None] * len(runs)
+        filled = [members for members in places if members]
+        for (_, mean, centers), members, cells in zip(groups, filled, np.split(flat, np.cumsum(sizes)[:-1])):
+            width = len(mean)
+            blocks = np.split(cells.reshape(-1, width + 2), np.cumsum([len(c) for c in centers])[:-1])
+            for place, block in zip(members, blocks):
+                results[place] = (block[:, :width], block[:, width], float(block[:, -1].sum()))
+        return results
+
 
+def _assign_partial(groups):
     def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-        sums = np.zeros((bounds[-1], width + 2))
+        stacks = [np.vstack(centers) for _, _, centers in groups]
+        norms = [np.einsum("ij,ij->i", stack, stack) for stack in stacks]
+        sums = [np.zeros((len(stack), stack.shape[1] + 2)) for stack in stacks]
         seen = False
         for batch in batches:
             if not batch.num_rows:
                 continue
             seen = True
-            rows = to_matrix(batch.column(0), width) - mean
-            scores = norms - 2.0 * (rows @ centres.T)
-            squares = np.einsum("ij,ij->i", rows, rows)
-            padded = np.column_stack([rows, np.ones(len(rows))])
-            for start, stop in zip(bounds[:-1], bounds[1:]):
-                block = scores[:, start:stop]
-                label = block.argmin(axis=1)
-                cost = np.maximum(block[np.arange(len(rows)), label] + squares, 0.0)
-                member = (label[:, None] == np.arange(stop - start)).astype(float)
-                sums[start:stop, :-1] += member.T @ padded
-                sums[start:stop, -1] += cost @ member
-        return sums if seen else None
-
-    cells = sum_partials(vectors, partial, int(bounds[-1]) * (width + 2), tasks).reshape(-1, width + 2)
-    sums, counts, costs = {}, {}, {}
-    for place, run in enumerate(wanted):
-        block = cells[bounds[place] : bounds[place + 1]]
-        sums[run], counts[run], costs[run] = block[:, :width], block[:, width], float(block[:, -1].sum())
-    return sums, counts, costs
+            for (index, mean, centers), stack, norm, out in zip(groups, stacks, norms, sums):
+                rows = to_matrix(batch.column(index), len(mean)) - mean
+                scores = norm - 2.0 * (rows @ stack.T)
+                squares = np.einsum("ij,ij->i", rows, rows)
+                padded = np.column_stack([rows, np.ones(len(rows))])
+                start = 0
+                for block in centers:
+                    stop = start + len(block)
+                    near = scores[:, start:stop]
+                    label = near.argmin(axis=1)
+                    cost = np.maximum(near[np.arange(len(rows)), label] + squares, 0.0)
+                    member = (label[:, None] == np.arange(len(block))).astype(float)
+                    out[start:stop, :-1] += member.T @ padded
+                    out[start:stop, -1] += cost @ member
+                    start = stop
+        return np.concatenate([out.ravel() for out in sums]) if seen else None
+
+    return partial
 
 
 def nearest_centre(vector: Column, centers: np.ndarray) -> Column:

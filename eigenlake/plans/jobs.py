@@ -7,25 +7,33 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eigenlake.functions.blocks import task_count
 from eigenlake.operators import explore
 from eigenlake.operators.affinity import affinity_edges, check_perplexity, joint_affinities
 from eigenlake.operators.clean import Dataset, MatrixShape, dataset_report, load_dataset
-from eigenlake.operators.cluster_metrics import EXACT_ROWS, evaluate_labellings, group_views
-from eigenlake.operators.clustering import evaluate_kmeans, fallback_labels, separability
+from eigenlake.operators.cluster_metrics import EXACT_ROWS, group_views
+from eigenlake.operators.clustering import (
+    CLASS_COLUMN,
+    class_label,
+    cluster_representations,
+    fallback_labels,
+    separable_classes,
+    sweep_table,
+)
 from eigenlake.operators.diagnostics import (
     component_alignment,
     reconstruction_curve,
     reconstruction_report,
     top_component_features,
 )
-from eigenlake.operators.kmeans import fit_kmeans, label_all
+from eigenlake.operators.kmeans import KMeansRequest, label_all
 from eigenlake.operators.lowrank import compress_images
 from eigenlake.operators.neighbours import nearest_neighbours, position_table
 from eigenlake.operators.preprocess import Preprocessor
 from eigenlake.operators.sample import sample_rows, split_rows, train_size
 from eigenlake.operators.series import denoise, series_errors
 from eigenlake.operators.spectral import SpectralModel, build_reducer
-from eigenlake.session import release, stage
+from eigenlake.session import release, spread, stage
 from eigenlake.sources.images import read_image_planes
 from eigenlake.sources.models import load_model, load_preprocessor, save_model, save_preprocessor
 from eigenlake.sources.sinks import coordinates, create_run_directory, write_coordinates
@@ -80,7 +88,8 @@ def prepare(
         rows=size,
     )
     keep = [data.row_id, "split", *([target] if target else []), *data.passthrough]
-    frame = stage(state.transform(split, keep), "matrix")
+    matrix = spread(state.transform(split, keep), data.row_id, rows, task_count(data.frame))
+    frame = stage(matrix, "matrix")
     return Prepared(data, state, frame, rows, size)
 
 
@@ -185,23 +194,24 @@ def train(
         shape=prepared.train_shape,
     )
     reduced = stage(_reduce(prepared.frame, model), "reduced")
-    options = dict(n_clusters=n_clusters, reference=target, seed=seed, n_init=n_init, exact_rows=exact_rows)
     key = prepared.data.row_id
-    before = evaluate_kmeans(
-        reduced, key, "features", shape=MatrixShape(prepared.rows, prepared.width), **options
-    )
-    after = evaluate_kmeans(
-        reduced, key, method, shape=MatrixShape(prepared.rows, model.count), **options
+    requests = [
+        KMeansRequest("features", prepared.width, (n_clusters,)),
+        KMeansRequest(method, model.count, (n_clusters,)),
+    ]
+    (_, [before]), ([after_model], [after]) = cluster_representations(
+        reduced, key, requests, prepared.rows, references=[target, target],
+        seed=seed, n_init=n_init, exact_rows=exact_rows,
     )
     metrics = [
         *_run_facts(prepared, train_fraction, seed),
         *_metric_rows("model", {"selected_components": model.count, "variance_retained": model.retained}),
         *_metric_rows("reconstruction", _reconstruction(reduced, model, prepared.width)),
-        *_metric_rows("clustering_original", before.metrics),
-        *_metric_rows("clustering_reduced", after.metrics),
+        *_metric_rows("clustering_original", before),
+        *_metric_rows("clustering_reduced", after),
     ]
     components = model.components_table(spark, prepared.data.features)
-    labelled = label_all(reduced, [after.model], method).withColumn("cluster", F.col("labels")[0])
+    labelled = label_all(reduced, [after_model], method).withColumn("cluster", F.col("labels")[0])
     threshold = variance_threshold if n_components is None else None
     result = JobResult(prepared.preprocessor, {method: model}, _shared_tables(prepared))
     result.tables |= {
@@ -257,25 +267,38 @@ def compare(
     frame = prepared.frame
     for model in models.values():
         frame = _reduce(frame, model)
+    classes = None
+    if group_col is not None:
+        classes = separable_classes(
+            prepared.frame, group_col, rows=rows, train_rows=prepared.train_rows, width=width
+        )
+    if classes is not None:
+        frame = class_label(frame, group_col)
+        for name, model in models.items():
+            frame = model.with_count(2).transform(frame, "features", f"{name}_2d", check=False)
     frame = stage(frame, "compared")
-    widths = {"features": width, **{name: m.count for name, m in models.items()}}
 
     sweep_ks = list(range(2, min(max_clusters, rows - 1) + 1)) if target is not None else []
-    ks = sorted({n_clusters, *sweep_ks})
-    place = ks.index(n_clusters)
+    ks = tuple(sorted({n_clusters, *sweep_ks}))
+    shown = {"features": "original", "pca": "pca", "svd": "svd"}
+    widths = {"features": width, **{name: m.count for name, m in models.items()}}
+    requests = [KMeansRequest(name, widths[name], ks) for name in shown]
+    references = [target] * len(requests)
+    if classes is not None:
+        planar = {"features": width, "pca_2d": 2, "svd_2d": 2}
+        requests += [KMeansRequest(name, size, (classes[1],)) for name, size in planar.items()]
+        references += [CLASS_COLUMN] * len(planar)
+    found = cluster_representations(
+        frame, key, requests, rows, references=references, seed=seed, n_init=n_init, exact_rows=exact_rows
+    )
     metrics = _run_facts(prepared, train_fraction, seed)
     sweep, clusters = [], {}
-    for name, size in widths.items():
-        fitted = fit_kmeans(frame, key, name, ks=ks, seed=seed, n_init=n_init, shape=MatrixShape(rows, size))
-        ordered = [fitted[k] for k in ks]
-        found = evaluate_labellings(
-            label_all(frame, ordered, name), key, ks, MatrixShape(rows, size),
-            column=name, reference=target, exact_rows=exact_rows, seed=seed,
-        )
-        shown = "original" if name == "features" else name
-        metrics += _metric_rows(f"clustering_{shown}", found[place])
-        sweep += [(shown, k, m, float(v)) for k, values in zip(ks, found) if k in sweep_ks for m, v in values.items()]
-        clusters[name] = fitted[n_clusters]
+    for (name, label), (fitted, values) in zip(shown.items(), found):
+        place = ks.index(n_clusters)
+        clusters[name] = fitted[place]
+        metrics += _metric_rows(f"clustering_{label}", values[place])
+        swept = [i for i, k in enumerate(ks) if k in sweep_ks]
+        sweep.append((label, [ks[i] for i in swept], [values[i] for i in swept]))
     for name, model in models.items():
         metrics += _metric_rows(name, {"selected_components": model.count, "variance_retained": model.retained})
         metrics += _metric_rows(f"reconstruction_{name}", _reconstruction(frame, model, width))
@@ -294,8 +317,8 @@ def compare(
         tables[f"{column}_overlap"] = explore.curves_overlap(
             curve.where("method = 'pca'"), curve.where("method = 'svd'"), "k", column
         )
-    if sweep:
-        tables["clustering_sweep"] = spark.createDataFrame(sweep, "representation string, k int, metric string, value double")
+    if sweep_ks:
+        tables["clustering_sweep"] = sweep_table(frame, sweep)
         tables["sweep_curve"] = explore.metric_curve(tables["clustering_sweep"], "adjusted_rand_index")
     for name, model in models.items():
         labelled = label_all(frame, [clusters[name]], name).withColumn("cluster", F.col("labels")[0])
@@ -305,17 +328,10 @@ def compare(
         if group_col is not None and group_col in frame.columns and model.count >= 2:
             points = labelled.withColumns({"x": F.col(name)[0], "y": F.col(name)[1]})
             tables[f"{name}_group_clusters"] = group_views(points, group_col, [key, "x", "y", "cluster"])
-    if group_col is not None and min(prepared.train_rows, width) >= 2:
-        planar = frame.select(f"`{key}`", "features", *([f"`{group_col}`"] if group_col in frame.columns else []))
-        for name, model in models.items():
-            planar = model.with_count(2).transform(planar, "features", f"{name}_2d", check=False)
-        staged = stage(planar, "planar")
-        found = separability(
-            staged, key, group_col, {"features": width, "pca_2d": 2, "svd_2d": 2},
-            rows=rows, train_rows=prepared.train_rows, width=width, seed=seed, n_init=n_init, exact_rows=exact_rows,
-        )
-        if found is not None:
-            tables["class_counts"], tables["separability"] = found
+    if classes is not None:
+        tables["class_counts"] = classes[0]
+        scored = [(r.column, r.ks, m) for r, (_, m) in zip(requests[len(shown):], found[len(shown):])]
+        tables["separability"] = sweep_table(frame, scored)
     tables["metrics"] = spark.createDataFrame(metrics, METRIC_SCHEMA)
     release(prepared.frame)
     return result
@@ -361,7 +377,7 @@ def affinity_graph(
     joint = joint_affinities(sample, key, shape, perplexity)
     parameters = [("sample_size", float(shape.rows)), ("perplexity", float(perplexity)), ("random_state", float(seed))]
     return {
-        "edges": affinity_edges(joint, key, position_table(sample, key)),
+        "edges": affinity_edges(joint, key, position_table(sample, key, shape)),
         "labels": fallback_labels(sample, key, "features", shape, target, seed=seed),
         "parameters": df.sparkSession.createDataFrame(parameters, "parameter string, value double"),
     }

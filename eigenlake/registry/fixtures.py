@@ -84,11 +84,9 @@ def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("series_id"), hour_index(F.col("ts")).alias("t")
     )
     counts = hours.groupBy("series_id", "t").agg(F.count(F.lit(1)).cast("double").alias("value"))
-    span = counts.agg(F.min("t").alias("low"), F.max("t").alias("high"))
-    # The calendar has one row per type and hour; the single-row span is broadcast.
-    calendar = (
-        counts.select("series_id").distinct().join(F.broadcast(span))
-        .select("series_id", F.explode(F.sequence("low", "high")).alias("t"))
+    low, high = counts.agg(F.min("t"), F.max("t")).first()
+    calendar = counts.select("series_id").distinct().withColumn(
+        "t", F.explode(F.sequence(F.lit(low), F.lit(high)))
     )
     return calendar.join(counts, ["series_id", "t"], "left").select(
         "series_id", "t", F.coalesce("value", F.lit(0.0)).alias("value")

@@ -47,6 +47,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Below this many rows the tasks' fixed costs outweigh more parallelism.
+SPREAD_ROWS = 10_000
+
+
+def spread(df: DataFrame, key: str, rows: int, tasks: int) -> DataFrame:
+    """Enough tasks for all cores where a small table fell into fewer partitions than that.
+
+    Repeated numeric passes are bound by the cores, not by bytes, which is what adaptive
+    partition sizes look at. Tables with enough partitions are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if tasks < cores and rows >= SPREAD_ROWS else df
+
+
 def release(*frames: DataFrame) -> None:
     """Drop the session cache of staged frames that no returned result depends on."""
     for frame in frames:

@@ -75,7 +75,7 @@ def test_affinities_and_divergence(spark, points):
     joint = affinity.joint_affinities(df, "row_id", shape, 5.0)
     np.testing.assert_allclose(column(joint, "weights"), expected, atol=1e-5)
     assert column(joint, "weights").sum() == pytest.approx(1.0)
-    edges = affinity.affinity_edges(joint, "row_id", position_table(df, "row_id")).collect()
+    edges = affinity.affinity_edges(joint, "row_id", position_table(df, "row_id", shape)).collect()
     assert len(edges) == 24 * 23
     assert all(abs(r["weight"] - expected[r["i"], r["j"]]) < 1e-5 for r in edges)
     y = np.random.default_rng(2).normal(size=(24, 2))
