@@ -28,6 +28,7 @@ from eigenlake.functions.blocks import (
 )
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.sample import sample_rows
+from eigenlake.session import stage
 
 EXACT_ROWS = 20_000
 SAMPLED_QUERIES = 1_000
@@ -150,13 +151,11 @@ def silhouette_scores(
     bounds = np.concatenate([[0], np.cumsum(ks)]).astype(int)
     if blocks == 1:
         return _scores_in_place(df, row_id, shape, column, labels, bounds)
-    parts = [
-        silhouette_of(
-            df, collect_block(in_block(df, row_id, b, blocks), row_id, column, shape.width, labels),
-            ks, shape, column, labels, df.schema[row_id].dataType.simpleString(),
-        )
-        for b in range(blocks)
-    ]
+    id_type = df.schema[row_id].dataType.simpleString()
+    parts = []
+    for number in range(blocks):
+        block = collect_block(in_block(df, row_id, number, blocks), row_id, column, shape.width, labels)
+        parts.append(stage(silhouette_of(df, block, ks, shape, column, labels, id_type), "silhouette"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -211,6 +210,7 @@ def silhouette_of(df, queries, ks, shape, column="features", labels="labels", id
 
     cells = (len(queries.ids) + 1) * int(bounds[-1])
     grid = sum_partials(df.select(column, labels), partial, cells).reshape(-1, int(bounds[-1]))
+    shared.unpersist()
     out = np.column_stack(
         [
             _scores(
