@@ -203,30 +203,30 @@ class _Scan:
 
 def _assign_partial(groups):
     def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-        stacks = [np.vstack(centers) for _, _, centers in groups]
-        norms = [np.einsum("ij,ij->i", stack, stack) for stack in stacks]
-        sums = [np.zeros((len(stack), stack.shape[1] + 2)) for stack in stacks]
+        sums = [[np.zeros((len(c), len(mean) + 2)) for c in centers] for _, mean, centers in groups]
         seen = False
         for batch in batches:
             if not batch.num_rows:
                 continue
             seen = True
-            for (index, mean, centers), stack, norm, out in zip(groups, stacks, norms, sums):
+            for (index, mean, centers), blocks in zip(groups, sums):
                 rows = to_matrix(batch.column(index), len(mean)) - mean
-                scores = norm - 2.0 * (rows @ stack.T)
                 squares = np.einsum("ij,ij->i", rows, rows)
-                padded = np.column_stack([rows, np.ones(len(rows))])
-                start = 0
-                for block in centers:
-                    stop = start + len(block)
-                    near = scores[:, start:stop]
-                    label = near.argmin(axis=1)
-                    cost = np.maximum(near[np.arange(len(rows)), label] + squares, 0.0)
-                    member = (label[:, None] == np.arange(len(block))).astype(float)
-                    out[start:stop, :-1] += member.T @ padded
-                    out[start:stop, -1] += cost @ member
-                    start = stop
-        return np.concatenate([out.ravel() for out in sums]) if seen else None
+                columns = np.ascontiguousarray(rows.T)
+                # Coordinates, one, and the row's cost: their sums per cluster are the result.
+                padded = np.column_stack([rows, np.ones(len(rows)), squares])
+                for center, block in zip(centers, blocks):
+                    near = (-2.0 * center) @ columns
+                    near += np.einsum("ij,ij->i", center, center)[:, None]
+                    lowest = near.min(axis=0)
+                    padded[:, -1] = np.maximum(lowest + squares, 0.0)
+                    found = (near == lowest).astype(float) @ padded
+                    if found[:, -2].sum() != len(rows):
+                        # Equally near centres: the first one takes the row.
+                        first = near.argmin(axis=0) == np.arange(len(center))[:, None]
+                        found = first.astype(float) @ padded
+                    block += found
+        return np.concatenate([b.ravel() for blocks in sums for b in blocks]) if seen else None
 
     return partial
 

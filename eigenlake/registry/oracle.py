@@ -149,10 +149,11 @@ EVENT_CELLS = """ev AS (SELECT event_id, ts, user_id, event_type,
   FROM events)"""
 
 PERPLEXITY = 30.0
-CALIBRATION = f"""sq AS (SELECT a.row_id AS i, b.row_id AS j,
-    greatest(list_dot_product(a.f, a.f) + list_dot_product(b.f, b.f) - 2 * list_dot_product(a.f, b.f), 0) AS d2
-  FROM v a, v b WHERE a.row_id <> b.row_id),
-dl AS (SELECT i AS row_id, list(d2 ORDER BY j) AS d FROM sq GROUP BY i),
+
+
+def calibration(distances: str, perplexity: float) -> str:
+    """Bisection per row over the steps in ``distances``, which end in dl(row_id, d)."""
+    return f"""{distances},
 bis(s, row_id, beta, lo, hi, used, total, entropy, done) AS (
   SELECT 0, row_id, 1.0::DOUBLE, '-Infinity'::DOUBLE, 'Infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, false FROM dl
   UNION ALL
@@ -161,13 +162,31 @@ bis(s, row_id, beta, lo, hi, used, total, entropy, done) AS (
          ELSE CASE WHEN isinf(lo) THEN beta / 2 ELSE (beta + lo) / 2 END END,
     CASE WHEN e > goal THEN beta ELSE lo END, CASE WHEN e <= goal THEN beta ELSE hi END,
     beta, tot, e, abs(e - goal) < 1e-5
-  FROM (SELECT *, ln({PERPLEXITY}) AS goal,
+  FROM (SELECT *, ln({perplexity}) AS goal,
       CASE WHEN tot <= 1e-300 THEN ln(len(d)) ELSE ln(tot) + beta * list_dot_product(d, w) / tot END AS e
     FROM (SELECT *, list_sum(w) AS tot FROM (
       SELECT bis.*, d, list_transform(d, lambda x: exp(-x * beta)) AS w
       FROM bis JOIN dl USING (row_id) WHERE s < 60 AND NOT done)))),
 cal AS (SELECT row_id, arg_max(used, s) AS beta, arg_max(total, s) AS total, arg_max(entropy, s) AS entropy
   FROM bis WHERE s > 0 GROUP BY row_id)"""
+
+
+CALIBRATION = calibration(
+    """sq AS (SELECT a.row_id AS i, b.row_id AS j,
+    greatest(list_dot_product(a.f, a.f) + list_dot_product(b.f, b.f) - 2 * list_dot_product(a.f, b.f), 0) AS d2
+  FROM v a, v b WHERE a.row_id <> b.row_id),
+dl AS (SELECT i AS row_id, list(d2 ORDER BY j) AS d FROM sq GROUP BY i)""",
+    PERPLEXITY,
+)
+NEIGHBOUR_PERPLEXITY = 5.0
+NEIGHBOUR_CALIBRATION = calibration(
+    """near AS (SELECT i, j, d * d AS d2 FROM (
+    SELECT *, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rank FROM pairs) WHERE rank <= 15),
+dl AS (SELECT i AS row_id, list(d2 ORDER BY d2, j) AS d FROM near GROUP BY i)""",
+    NEIGHBOUR_PERPLEXITY,
+)
+NEIGHBOUR_WEIGHTS = """np AS (SELECT i, j, CASE WHEN total <= 1e-300 THEN 1.0 / 15 ELSE exp(-d2 * beta) / total END AS p
+  FROM near JOIN cal ON cal.row_id = i)"""
 JOINT = """nn AS (SELECT count(*) AS n FROM v),
 cond AS (SELECT i, j, CASE WHEN total <= 1e-300 THEN 1.0 / (n - 1) ELSE exp(-d2 * beta) / total END AS p
   FROM sq JOIN cal ON cal.row_id = i, nn),

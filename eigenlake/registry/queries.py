@@ -1004,11 +1004,17 @@ def kl_divergence(spark, sf_dir):
     return rounded(spark.createDataFrame([(value,)], "kl_divergence double"), ["kl_divergence"])
 
 
-@query("neighbour_affinities")
+@query(
+    "neighbour_affinities",
+    with_steps(
+        [sql.V, sql.PAIRS, sql.NEIGHBOUR_CALIBRATION, sql.NEIGHBOUR_WEIGHTS],
+        f"SELECT i, j, {r('sum(p) / (2 * (SELECT count(*) FROM v))', 8)} AS weight FROM (SELECT i, j, p FROM np UNION ALL SELECT j, i, p FROM np) GROUP BY i, j",
+    ),
+)
 def neighbour_affinities(spark, sf_dir):
     frame = stage(fx.vectors(spark, sf_dir), "v")
     edges = neighbours.nearest_neighbours(frame, "row_id", NEIGHBOURS, clean.check_matrix(frame))
-    return rounded(affinity.neighbour_affinities(edges, "row_id", 5.0), ["weight"], 8)
+    return rounded(affinity.neighbour_affinities(edges, "row_id", sql.NEIGHBOUR_PERPLEXITY), ["weight"], 8)
 
 
 @query("fallback_labels", with_steps([sql.V], "SELECT row_id, label FROM v"))
