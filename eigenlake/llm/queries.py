@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eigenlake.llm.minhash_dedup import near_duplicates
+from eigenlake.llm.mixing import mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,7 +39,7 @@ def words_sql(text: str) -> str:
     f"""WITH RECURSIVE w AS (SELECT doc_id, {words_sql('text')} AS w FROM documents),
     sets AS (SELECT doc_id, list_distinct(list_transform(
         CASE WHEN len(w) = 0 THEN [] ELSE range(1, greatest(len(w) - 4, 1) + 1) END,
-        i -> array_to_string(list_slice(w, i, i + 4), ' '))) AS s FROM w),
+        lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS s FROM w),
     items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
     shared AS (SELECT a.doc_id AS u, b.doc_id AS v, a.n + b.n AS total, count(*) AS common
         FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY 1, 2, 3),
@@ -50,3 +51,31 @@ def words_sql(text: str) -> str:
 )
 def op5_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), threshold_percent=85)
+
+
+MIX_SQL = """WITH d AS (SELECT doc_id, source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size,
+        row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
+    w AS (SELECT *, [3, 1, 2][(rank - 1) % 3 + 1] AS weight FROM s),
+    f AS (SELECT *, (sum(source_size) OVER () * 3 / 2.0
+        - (sum(2 * source_size) OVER o - 2 * source_size))
+        / (sum(weight) OVER () - (sum(weight) OVER o - weight)) AS level FROM w
+        WINDOW o AS (ORDER BY 2 * source_size / weight, rank)),
+    t AS (SELECT *, least(2.0 * source_size, weight * max(level) OVER ())::DOUBLE AS target FROM f),
+    p AS (SELECT d.doc_id, d.size, t.rank, t.source_size, t.target, sum(d.size) OVER
+        (PARTITION BY t.rank ORDER BY md5('17:' || d.doc_id), d.doc_id) AS words
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    c AS (SELECT *, (turn * source_size + words)::DOUBLE / target AS finish
+        FROM p, (VALUES (0), (1)) AS turns(turn) WHERE target > 0),
+    g AS (SELECT *, sum(size) OVER (ORDER BY finish, rank, words, turn, size DESC ROWS UNBOUNDED PRECEDING) AS used FROM c),
+    k AS (SELECT doc_id, sum(greatest(0, least(size, (SELECT sum(size) * 3 // 2 FROM d) - (used - size)))) AS taken
+        FROM g GROUP BY doc_id)
+    SELECT p.doc_id, p.size, p.source_size::BIGINT AS source_size, p.target,
+        coalesce(k.taken, 0)::BIGINT AS taken FROM p LEFT JOIN k ON p.doc_id = k.doc_id"""
+
+
+@query("op2_mix_sources", MIX_SQL)
+def op2_mix_sources(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
