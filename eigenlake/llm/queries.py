@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
+from eigenlake.llm.toxicity import fit_toxicity, score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +80,10 @@ MIX_SQL = """WITH d AS (SELECT doc_id, source,
 def op2_mix_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = score_documents(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "held_out", "score", "predicted", "n_passages")
