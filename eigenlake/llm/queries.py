@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eigenlake.llm.decontaminate import contaminated
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
 from eigenlake.llm.toxicity import fit_toxicity, score_documents
@@ -87,3 +88,8 @@ def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = score_documents(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", "held_out", "score", "predicted", "n_passages")
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -108,7 +108,7 @@ def fit_toxicity(
     Labels that are null are left out; without both classes every text scores 0.
     """
     staging = Staging(docs.sparkSession, "toxicity")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = docs.select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("text"))
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~is_held_out(F.col("doc_id")))
     chosen = chosen.groupBy(F.col("doc_id").cast("long")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = chosen.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample_rows)
@@ -239,7 +239,7 @@ def _logistic(best: np.ndarray, total: np.ndarray, label: np.ndarray) -> tuple[f
 def score_texts(rows: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``rows(text, ...)`` with ``score, best, total, passages``.
 
-    ``passages`` are the significant segments in code points of the text with their evidence,
+    ``passages`` are the significant segments in code points of the lower-cased text with their evidence,
     ``best`` and ``total`` the largest and the summed evidence (0 without any). A null or empty
     text has none.
     """
@@ -259,7 +259,7 @@ def score_texts(rows: DataFrame, model: ToxicityModel, keep: list[str]) -> DataF
                 row += len(part)
 
     schema = ", ".join([*fields, "score double, best double, total double", f"passages {SPAN}"])
-    return rows.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    return rows.select(*keep, F.lower(F.col("text").cast("string")).alias("_text")).mapInArrow(run, schema)
 
 
 def _segments(part: pa.Array, hasher: SpanHasher, model: ToxicityModel):
