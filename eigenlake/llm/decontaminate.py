@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from eigenlake.llm.rows import filter_by_text
 from eigenlake.llm.text import SHINGLE_WORDS, SpanHasher, shingles, string_parts, words
 
 BLOCKS = 8
@@ -210,19 +211,18 @@ def _finder(block: pa.Table, percent: int):
 
 def without_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled."""
-    schema = docs.schema
     for block in item_passes(items):
         index = ItemIndex.build(block.column("text"))
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def task(index=index):
             hasher = SpanHasher()
-            for batch in batches:
-                clean, row = np.ones(batch.num_rows, bool), 0
-                for part in string_parts(batch.column(batch.num_columns - 1)):
-                    clean[[row + m[0] for m in index.matches(part, hasher, percent)]] = False
-                    row += len(part)
-                yield batch.select(range(batch.num_columns - 1)).filter(pa.array(clean))
-
-        folded = docs.select("*", F.lower(F.col("text").cast("string")).alias("_folded_text"))
-        docs = folded.mapInArrow(run, schema)
+
+            def clean(part: pa.Array) -> np.ndarray:
+                mask = np.ones(len(part), bool)
+                mask[[m[0] for m in index.matches(part, hasher, percent)]] = False
+                return mask
+
+            return clean
+
+        docs = filter_by_text(docs, task)
     return docs

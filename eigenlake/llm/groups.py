@@ -88,6 +88,44 @@ def pairs(starts: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np
         first = last
 
 
+def bounded_groups(
+    batches: Iterator[pa.RecordBatch], key: str, limit: int
+) -> Iterator[tuple[pa.Table, np.ndarray | None]]:
+    """As ``whole_groups`` for groups of up to ``limit`` rows; larger ones come in pieces with None."""
+    carried, over = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if over:
+            same = table.column(key).to_numpy() == carried
+            cut = len(same) if same.all() else int(np.argmin(same))
+            if cut:
+                yield table.slice(0, cut), None
+            if cut == table.num_rows:
+                continue
+            table, carried, over = table.slice(cut), None, False
+        if carried is not None:
+            table = pa.concat_tables([carried, table])
+        starts = _starts(table, [key])
+        bounds = np.concatenate([starts, [table.num_rows]])
+        large = np.flatnonzero(np.diff(bounds)[:-1] > limit)
+        previous = 0
+        for g in [*large.tolist(), len(starts) - 1]:
+            if g > previous:
+                part = table.slice(bounds[previous], bounds[g] - bounds[previous]).combine_chunks()
+                yield part, bounds[previous : g + 1] - bounds[previous]
+            if g < len(starts) - 1:
+                yield table.slice(bounds[g], bounds[g + 1] - bounds[g]), None
+            previous = g + 1
+        carried = table.slice(bounds[-2])
+        if carried.num_rows > limit:
+            yield carried, None
+            carried, over = carried.column(key)[0].as_py(), True
+    if carried is not None and not over:
+        yield carried.combine_chunks(), np.array([0, carried.num_rows])
+
+
 class Forest:
     """Disjoint sets over the rows of one table; the spanning links are what gets emitted."""
 

@@ -331,3 +331,12 @@ def _intersections(sets: list[np.ndarray], side: np.ndarray) -> np.ndarray:
             dense.append(matrix)
         out += dense[0] @ dense[1].T
     return out.astype(np.int64)
+
+
+def without_near_duplicates(docs: DataFrame, threshold_percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    found = near_duplicates(docs, threshold_percent)
+    dropped = Staging(docs.sparkSession, "dropped").keep(
+        found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id")).distinct(), "ids"
+    )
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped_id"), "left_anti")

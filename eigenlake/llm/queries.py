@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eigenlake.llm.decontaminate import contaminated
+from eigenlake.llm.line_dedup import repeated_lines
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
 from eigenlake.llm.toxicity import fit_toxicity, score_documents
@@ -93,3 +94,9 @@ def op8_toxicity(spark, sf_dir):
 @query("op9_decontaminate")
 def op9_decontaminate(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_line_dedup")
+def op7_line_dedup(spark, sf_dir):
+    found = repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line_no", "kept_doc_id", "kept_line_no")

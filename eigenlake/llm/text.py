@@ -47,10 +47,12 @@ class SpanHasher:
         self.up = self.down = np.ones(1, np.uint64)
 
     def load(self, data: np.ndarray) -> None:
+        """Take bytes, or code points as wider integers."""
         if len(self.up) < len(data):
             self.up, self.down = powers(_BASE, len(data)), powers(_INVERSE, len(data) + 1)
+        symbols = _BYTE[data] if data.dtype == np.uint8 else mix(data.astype(np.uint64))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * self.up[: len(data)], out=self.sums[1:])
+        np.cumsum(symbols * self.up[: len(data)], out=self.sums[1:])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         value = (self.sums[end] - self.sums[start]) * self.down[start]
@@ -84,6 +86,13 @@ def bytes_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0] : ends[-1]], ends - ends[0]
 
 
+def code_points(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of a string array and the offsets of its rows in them."""
+    data, rows = bytes_of(array)
+    count = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), count[rows]
+
+
 @dataclass(frozen=True)
 class Words:
     """Words of several texts: hashes, byte spans and the first word of every text."""

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eigenlake.llm.rows import filter_by_text
 from eigenlake.llm.staging import Staging
 from eigenlake.llm.text import SpanHasher, Words, bytes_of, distinct, mix, string_parts, words
 
@@ -302,3 +303,18 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         F.size("passages").cast("long").alias("n_passages"),
         "passages",
     )
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows of ``docs`` that the model does not predict to be toxic, with all their columns."""
+
+    def task():
+        hasher = SpanHasher()
+
+        def clean(part: pa.Array) -> np.ndarray:
+            best, total, _ = _segments(part, hasher, model)
+            return model.probability(best, total) < 0.5
+
+        return clean
+
+    return filter_by_text(docs, task)
