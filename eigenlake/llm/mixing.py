@@ -1,8 +1,10 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 The documents of a source are shuffled; each gets a virtual finish time, the words of its source
-up to and including it divided by the source's target. Taking documents in that order keeps
-all sources near their targets at any moment; the order is cut where the budget is used up.
+up to and including it divided by the source's target. Rows come out range-sorted by that time,
+which keeps all sources near their targets at any moment of a training run. The targets add up to
+the budget, so it is used up at virtual time 1; the order is cut there, and the document that
+a source has in service at that moment is taken in part.
 """
 
 from __future__ import annotations
@@ -14,13 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eigenlake.llm.staging import Staging
 
-# Bins of one histogram of finish times, and rows that need no further histogram.
-BINS = 4096
-FEW_ROWS = 10_000
 # Documents of one source that are put in order together, on average.
 TOGETHER = 2_000
 
 
+ADDED = ("size", "source_size", "target", "finish", "taken")
+
+
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in a text; null has none."""
     pieces = F.split(text, r"[\x20\x09-\x0D]+")
@@ -61,17 +63,17 @@ def mix(
     cap: int = 2,
     seed: int = 17,
 ) -> DataFrame:
-    """``docs(doc_id, text, source, ...)`` with ``size, source_size, target, taken``.
-
-    ``taken`` counts the words the mix takes of a document, repeats included: at most ``cap``
-    passes over a source are made, and the document at the cut is taken in part, so that all
-    ``taken`` add up to the budget. Texts that are null or empty have size 0 and are never
-    taken; null sources form one source; rows may repeat. Other columns, also of the names
-    added here, are replaced or kept as they are. The order is that of md5(seed:doc_id), so
-    runs agree.
+    """``docs(doc_id, text, source, ...)`` with ``size, source_size, target, finish, taken``.
+
+    ``finish`` is the virtual time of a document's first pass, by which the rows are sorted;
+    ``taken`` counts the words the mix takes of it by time 1, in at most ``cap`` passes over its
+    source. A source's ``taken`` add up to its target, rounded down. Texts that are null or
+    empty have size 0 and are never taken; null sources form one source; rows may repeat.
+    Columns of the five added names are replaced, all others stay as they are. Documents are
+    shuffled by md5(seed:doc_id), so runs agree.
     """
     staging = Staging(docs.sparkSession, "mix")
-    rows = docs.drop("size", "source_size", "target", "taken").withColumns(
+    rows = docs.drop(*ADDED).withColumns(
         {
             "size": word_count(F.col("text").cast("string")),
             "_order": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))),
@@ -83,8 +85,7 @@ def mix(
     sources = narrow.groupBy("_source", F.col("source").cast("string").alias("source"))
     sources = sources.agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     sources = staging.keep(source_targets(sources, weights, share, cap), "sources")
-    total, largest = sources.agg(F.sum("source_size"), F.max("rows")).first()
-    budget = share[0] * (total or 0) // share[1]
+    largest = sources.agg(F.max("rows")).first()[0]
     digits = min(8, max(2, math.ceil(math.log(max(1, (largest or 1) / TOGETHER), 16))))
 
     def bucketed(frame: DataFrame) -> DataFrame:
@@ -93,65 +94,17 @@ def mix(
     sums = bucketed(narrow).groupBy("_source", "_bucket").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("_before", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
-    starts = staging.keep(starts.join(sources.drop("source", "rows", "weight"), "_source"), "starts")
+    starts = staging.keep(starts.join(sources.drop("source", "rows", "weight", "rank"), "_source"), "starts")
     within = Window.partitionBy("_source", "_bucket").orderBy("_order", "doc_id", "size", "_tie")
     within = within.rowsBetween(Window.unboundedPreceding, 0)
 
-    def placed(frame: DataFrame) -> DataFrame:
-        joined = bucketed(frame).join(starts, ["_source", "_bucket"])
-        return joined.withColumn("_words", F.col("_before") + F.sum("size").over(within))
-
-    cut = _cut(staging.keep(placed(narrow).select("size", "rank", "_words", "source_size", "target"), "placed"), cap, budget)
+    placed = bucketed(rows).join(starts, ["_source", "_bucket"])
+    placed = placed.withColumn("_words", F.col("_before") + F.sum("size").over(within))
     taken = F.lit(0)
     for turn in range(cap):
-        taken = taken + _taken(turn, cut)
-    added = ["size", "source_size", "target", "taken"]
-    kept = [c for c in rows.columns if not c.startswith("_") and c not in added]
-    return placed(rows).withColumn("taken", taken.cast("long")).select(*[F.col(f"`{c}`") for c in kept], *added)
-
-
-def _finish(turn) -> Column:
-    """Virtual finish time of the ``turn``-th pass; a source without target never comes."""
-    passed = turn * F.col("source_size") + F.col("_words")
-    return F.when(F.col("target") > 0, passed / F.col("target"))
-
-
-def _cut(placed: DataFrame, cap: int, budget: int) -> tuple | None:
-    """The copy at which the budget ends, and the words still to take of it; None if all fit."""
-    turns = placed.where("size > 0").withColumn("turn", F.explode(F.array(*[F.lit(t) for t in range(cap)])))
-    turns = turns.withColumn("finish", _finish(F.col("turn"))).where("finish is not null")
-    low, high = turns.agg(F.min("finish"), F.max("finish")).first()
-    left = budget
-    while low is not None:
-        width = (high - low) / BINS
-        inside = turns.where(F.col("finish").between(low, high))
-        place = F.least(F.floor((F.col("finish") - low) / width), F.lit(BINS - 1)) if width > 0 else F.lit(0)
-        bins = inside.groupBy(place.alias("bin")).agg(
-            F.sum("size"), F.count("*"), F.min("finish"), F.max("finish")
-        )
-        for _, words, count, least, most in sorted(bins.collect(), key=lambda row: row[0]):
-            if words > left:
-                break
-            left -= words
-        else:
-            return None
-        if count <= FEW_ROWS or least == most or (least, most) == (low, high):
-            few = turns.where(F.col("finish").between(least, most))
-            for row in few.orderBy("finish", "rank", "_words", "turn").toLocalIterator():
-                if row["size"] > left:
-                    return row["finish"], row["rank"], row["_words"], row["turn"], left
-                left -= row["size"]
-            return None
-        low, high = least, most
-    return None
-
-
-def _taken(turn: int, cut: tuple | None) -> Column:
-    whole = F.when(F.col("target") > 0, F.col("size")).otherwise(0)
-    if cut is None:
-        return whole
-    finish, rank, words, at, rest = cut
-    place = F.struct(_finish(F.lit(turn)).alias("a"), F.col("rank").alias("b"), F.col("_words").alias("c"), F.lit(turn).alias("d"))
-    end = F.struct(F.lit(finish).alias("a"), F.lit(rank).alias("b"), F.lit(words).cast("long").alias("c"), F.lit(at).alias("d"))
-    part = F.when(place == end, F.least(F.col("size"), F.lit(rest)))
-    return F.when(F.col("target") > 0, F.when(place < end, F.col("size")).otherwise(F.coalesce(part, F.lit(0)))).otherwise(0)
+        left = F.floor("target") - (turn * F.col("source_size") + F.col("_words") - F.col("size"))
+        taken = taken + F.greatest(F.lit(0), F.least(F.col("size"), left))
+    finish = F.when(F.col("target") > 0, F.col("_words") / F.col("target"))
+    placed = placed.withColumns({"finish": finish, "taken": taken.cast("long")})
+    kept = [c for c in docs.columns if c not in ADDED]
+    return placed.orderBy("finish", "_order", "_tie").select(*[F.col(f"`{c}`") for c in kept], *ADDED)

@@ -66,16 +66,12 @@ MIX_SQL = """WITH d AS (SELECT doc_id, source,
         / (sum(weight) OVER () - (sum(weight) OVER o - weight)) AS level FROM w
         WINDOW o AS (ORDER BY 2 * source_size / weight, rank)),
     t AS (SELECT *, least(2.0 * source_size, weight * max(level) OVER ())::DOUBLE AS target FROM f),
-    p AS (SELECT d.doc_id, d.size, t.rank, t.source_size, t.target, sum(d.size) OVER
-        (PARTITION BY t.rank ORDER BY md5('17:' || d.doc_id), d.doc_id) AS words
-        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-    c AS (SELECT *, (turn * source_size + words)::DOUBLE / target AS finish
-        FROM p, (VALUES (0), (1)) AS turns(turn) WHERE target > 0),
-    g AS (SELECT *, sum(size) OVER (ORDER BY finish, rank, words, turn, size DESC ROWS UNBOUNDED PRECEDING) AS used FROM c),
-    k AS (SELECT doc_id, sum(greatest(0, least(size, (SELECT sum(size) * 3 // 2 FROM d) - (used - size)))) AS taken
-        FROM g GROUP BY doc_id)
-    SELECT p.doc_id, p.size, p.source_size::BIGINT AS source_size, p.target,
-        coalesce(k.taken, 0)::BIGINT AS taken FROM p LEFT JOIN k ON p.doc_id = k.doc_id"""
+    p AS (SELECT d.doc_id, d.size, t.source_size::BIGINT AS source_size, t.target, sum(d.size) OVER
+        (PARTITION BY t.rank ORDER BY md5('17:' || d.doc_id), d.doc_id)::BIGINT AS words
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target,
+        (greatest(0, least(size, floor(target)::BIGINT - (words - size)))
+        + greatest(0, least(size, floor(target)::BIGINT - (source_size + words - size))))::BIGINT AS taken FROM p"""
 
 
 @query("op2_mix_sources", MIX_SQL)
