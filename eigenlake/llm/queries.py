@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eigenlake.llm.decontaminate import contaminated
+from eigenlake.llm.embedding_dedup import near_vectors
 from eigenlake.llm.line_dedup import repeated_lines
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
@@ -96,3 +97,18 @@ def op9_decontaminate(spark, sf_dir):
 def op7_line_dedup(spark, sf_dir):
     found = repeated_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "line_no", "kept_doc_id", "kept_line_no")
+
+
+@query(
+    "op4_embedding_dedup",
+    """WITH RECURSIVE links AS (SELECT a.vec_id AS u, b.vec_id AS v
+        FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.93),
+    reach AS (SELECT vec_id AS u, vec_id AS v FROM embeddings
+        UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v)
+    SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.u = e.vec_id) AS n_links,
+        min(v) AS component_id, min(v) = e.vec_id AS kept
+    FROM embeddings e JOIN reach ON reach.u = e.vec_id GROUP BY e.vec_id""",
+)
+def op4_embedding_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
