@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eigenlake.llm.decontaminate import contaminated
 from eigenlake.llm.embedding_dedup import near_vectors
+from eigenlake.llm.html_text import extract_text
 from eigenlake.llm.line_dedup import repeated_lines
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
@@ -112,3 +113,8 @@ def op7_line_dedup(spark, sf_dir):
 )
 def op4_embedding_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_html_text")
+def op10_html_text(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
