@@ -12,7 +12,9 @@ from eigenlake.llm.html_text import extract_text
 from eigenlake.llm.line_dedup import repeated_lines
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
+from eigenlake.llm.staging import Staging
 from eigenlake.llm.toxicity import fit_toxicity, score_documents
+from eigenlake.llm.warc import page_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +120,16 @@ def op4_embedding_dedup(spark, sf_dir):
 @query("op10_html_text")
 def op10_html_text(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op6_warc",
+    """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS n, sha256(html) AS h FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+    SELECT page_id, n AS payload_bytes, h AS payload_digest,
+        CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to FROM f""",
+)
+def op6_warc(spark, sf_dir):
+    return page_digests(table(spark, sf_dir, "pages"), f"{Staging(spark, 'warc').root}/archives")
