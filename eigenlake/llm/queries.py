@@ -12,6 +12,7 @@ from eigenlake.llm.html_text import extract_text
 from eigenlake.llm.line_dedup import repeated_lines
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
+from eigenlake.llm.secrets import find_secrets
 from eigenlake.llm.staging import Staging
 from eigenlake.llm.toxicity import fit_toxicity, score_documents
 from eigenlake.llm.warc import page_digests
@@ -133,3 +134,8 @@ def op10_html_text(spark, sf_dir):
 )
 def op6_warc(spark, sf_dir):
     return page_digests(table(spark, sf_dir, "pages"), f"{Staging(spark, 'warc').root}/archives")
+
+
+@query("op3_secrets")
+def op3_secrets(spark, sf_dir):
+    return find_secrets(table(spark, sf_dir, "documents"))
