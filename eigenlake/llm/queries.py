@@ -14,6 +14,7 @@ from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
 from eigenlake.llm.secrets import find_secrets
 from eigenlake.llm.staging import Staging
+from eigenlake.llm.token_counts import count_tokens
 from eigenlake.llm.toxicity import fit_toxicity, score_documents
 from eigenlake.llm.warc import page_digests
 
@@ -139,3 +140,8 @@ def op6_warc(spark, sf_dir):
 @query("op3_secrets")
 def op3_secrets(spark, sf_dir):
     return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark, sf_dir):
+    return count_tokens(table(spark, sf_dir, "documents"))
