@@ -169,7 +169,8 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFr
     ``docs(doc_id, text, ...)``, ``items(item_id, text, ...)``. Words are split at white space and
     ASCII punctuation and lower-cased. A window has as many words as the item (or is the whole of a
     shorter document) and matches if the weighted Jaccard similarity of its five-word shingles is
-    at least ``percent``; fewer words are one shingle. Null or empty texts match nothing, equal
+    at least ``percent``; a whole text or item of fewer words is one shingle, so such an item
+    only equals a document as short. Null or empty texts match nothing, equal
     items are all reported, repeated rows each. Other columns are not read.
     """
     parts = None
