@@ -30,8 +30,6 @@ from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.sample import sample_rows
 from eigenlake.session import stage
 
-EXACT_ROWS = 20_000
-SAMPLED_QUERIES = 1_000
 METRIC_SCHEMA = "run int, metric string, value double"
 
 
@@ -223,22 +221,21 @@ def silhouette_of(df, queries, ks, shape, column="features", labels="labels", id
     return df.sparkSession.createDataFrame(result, f"row_id {id_type}, scores array<double>")
 
 
-def silhouette(df, row_id, ks, shape, column="features", labels="labels", *, exact_rows=EXACT_ROWS, seed=42):
-    """Mean silhouette per labelling and the name it may be reported under.
+def silhouette(df, row_id, ks, shape, column="features", labels="labels", *, sample=None, seed=42):
+    """Mean silhouette per labelling: exact over all rows, at any size.
 
-    Up to ``exact_rows`` rows: exact over all rows, named ``silhouette``. Beyond: the mean
-    over an exact-size hash sample of rows, each measured against every row, named
-    ``silhouette_sampled`` (linear cost). Pass ``exact_rows=None`` for exact at any size.
+    ``sample`` is for callers who want linear cost: the mean over that many rows in hash order,
+    each measured against every row.
     """
-    if exact_rows is None or shape.rows <= exact_rows:
-        scored, name = silhouette_scores(df, row_id, ks, shape, column, labels), "silhouette"
+    if sample is None or shape.rows <= sample:
+        scored = silhouette_scores(df, row_id, ks, shape, column, labels)
     else:
-        sample = sample_rows(df, row_id, max_samples=SAMPLED_QUERIES, seed=seed, rows=shape.rows)
-        queries = collect_block(sample, row_id, column, shape.width, labels)
+        chosen = sample_rows(df, row_id, max_samples=sample, seed=seed, rows=shape.rows)
+        queries = collect_block(chosen, row_id, column, shape.width, labels)
         id_type = df.schema[row_id].dataType.simpleString()
-        scored, name = silhouette_of(df, queries, ks, shape, column, labels, id_type), "silhouette_sampled"
+        scored = silhouette_of(df, queries, ks, shape, column, labels, id_type)
     means = scored.agg(*[F.avg(F.col("scores")[r]) for r in range(len(ks))]).first()
-    return name, [float(v) for v in means]
+    return [float(v) for v in means]
 
 
 def silhouette_squared(df: DataFrame, column: str = "features", cluster: str = "cluster") -> float:
@@ -318,14 +315,14 @@ def evaluate_labellings(
     column: str = "features",
     labels: str = "labels",
     reference: str | None = None,
-    exact_rows: int | None = EXACT_ROWS,
+    silhouette_sample: int | None = None,
     seed: int = 42,
 ) -> list[dict[str, float]]:
     """All metrics of every labelling; agreement metrics only with a reference column."""
     results = internal_metrics(df, ks, shape, column, labels)
-    name, means = silhouette(df, row_id, ks, shape, column, labels, exact_rows=exact_rows, seed=seed)
+    means = silhouette(df, row_id, ks, shape, column, labels, sample=silhouette_sample, seed=seed)
     for result, value in zip(results, means):
-        result[name] = value
+        result["silhouette"] = value
     if reference is not None:
         for row in agreement(contingency(df, reference, labels)).collect():
             results[row["run"]]["adjusted_rand_index"] = row["adjusted_rand_index"]

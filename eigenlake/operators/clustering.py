@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from eigenlake.operators.clean import MatrixShape, check_matrix
-from eigenlake.operators.cluster_metrics import EXACT_ROWS, class_counts, evaluate_labellings
+from eigenlake.operators.cluster_metrics import class_counts, evaluate_labellings
 from eigenlake.operators.kmeans import (
     KMeansModel,
     KMeansRequest,
@@ -17,6 +17,7 @@ from eigenlake.operators.kmeans import (
     label_all,
     nearest_centre,
 )
+from eigenlake.session import stage
 
 SWEEP_SCHEMA = "representation string, k int, metric string, value double"
 
@@ -39,21 +40,23 @@ def cluster_representations(
     references: Sequence[str | None],
     seed: int = 42,
     n_init: int = 20,
-    exact_rows: int | None = EXACT_ROWS,
+    silhouette_sample: int | None = None,
 ) -> list[tuple[list[KMeansModel], list[dict[str, float]]]]:
     """Fit all requests in shared passes, then score each: (models, metrics) per request."""
     fitted = fit_kmeans_together(df, row_id, requests, rows, seed=seed, n_init=n_init)
     out = []
     for request, models, reference in zip(requests, fitted, references):
         ordered = [models[k] for k in request.ks]
+        kept = [row_id, request.column, *([reference] if reference is not None else [])]
+        labelled = label_all(df.select(*[f"`{c}`" for c in dict.fromkeys(kept)]), ordered, request.column)
         metrics = evaluate_labellings(
-            label_all(df, ordered, request.column),
+            stage(labelled, "labels"),
             row_id,
             request.ks,
             MatrixShape(rows, request.width),
             column=request.column,
             reference=reference,
-            exact_rows=exact_rows,
+            silhouette_sample=silhouette_sample,
             seed=seed,
         )
         out.append((ordered, metrics))
@@ -69,14 +72,14 @@ def evaluate_kmeans(
     reference: str | None = None,
     seed: int = 42,
     n_init: int = 20,
-    exact_rows: int | None = EXACT_ROWS,
+    silhouette_sample: int | None = None,
     shape: MatrixShape | None = None,
 ) -> ClusterResult:
     """Fit, label and score one k. The frame should be staged: it is scanned repeatedly."""
     shape = shape or check_matrix(df, column)
     request = KMeansRequest(column, shape.width, (n_clusters,))
     [(models, metrics)] = cluster_representations(
-        df, row_id, [request], shape.rows, references=[reference], seed=seed, n_init=n_init, exact_rows=exact_rows
+        df, row_id, [request], shape.rows, references=[reference], seed=seed, n_init=n_init, silhouette_sample=silhouette_sample
     )
     label = nearest_centre(F.col(column), models[0].centers)
     return ClusterResult(df.select(f"`{row_id}`", label.alias("cluster")), metrics[0], models[0])
@@ -93,7 +96,7 @@ def clustering_sweep(
     rows: int | None = None,
     seed: int = 42,
     n_init: int = 20,
-    exact_rows: int | None = EXACT_ROWS,
+    silhouette_sample: int | None = None,
 ) -> DataFrame:
     """Metrics for every k and representation: ``(representation, k, metric, value)``.
 
@@ -110,7 +113,7 @@ def clustering_sweep(
     requests = [KMeansRequest(name, width, ks) for name, width in representations.items()]
     found = cluster_representations(
         df, row_id, requests, size, references=[reference] * len(requests),
-        seed=seed, n_init=n_init, exact_rows=exact_rows,
+        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample,
     )
     return sweep_table(df, [(r.column, r.ks, metrics) for r, (_, metrics) in zip(requests, found)])
 
@@ -134,14 +137,18 @@ def class_label(df: DataFrame, group: str) -> DataFrame:
     return df.withColumn(CLASS_COLUMN, F.coalesce(F.col(f"`{group}`").cast("string"), F.lit("<missing>")))
 
 
+# More classes than this make no cluster count: their centres go to every task.
+MAX_CLASSES = 1_000
+
+
 def separable_classes(df: DataFrame, group: str, *, rows: int, train_rows: int, width: int) -> tuple[DataFrame, int] | None:
     """Class counts and their number, or None when separability cannot be measured: the
-    column is absent, has fewer than two classes, or the training data is too small."""
+    column is absent, has fewer than two or over ``MAX_CLASSES`` classes, or the training data is too small."""
     if group not in df.columns or min(train_rows, width) < 2:
         return None
     counts = class_counts(df, group)
     classes = counts.count()
-    return (counts, classes) if 2 <= classes < rows else None
+    return (counts, classes) if 2 <= classes <= min(MAX_CLASSES, rows - 1) else None
 
 
 def separability(
@@ -155,7 +162,7 @@ def separability(
     width: int,
     seed: int = 42,
     n_init: int = 20,
-    exact_rows: int | None = EXACT_ROWS,
+    silhouette_sample: int | None = None,
 ) -> tuple[DataFrame, DataFrame] | None:
     """Does a class column survive the reduction? K-means with one cluster per class on each
     representation, scored against the classes: (class counts, metrics) or None."""
@@ -166,7 +173,7 @@ def separability(
     requests = [KMeansRequest(name, size, (classes,)) for name, size in representations.items()]
     scored = cluster_representations(
         class_label(df, group), row_id, requests, rows, references=[CLASS_COLUMN] * len(requests),
-        seed=seed, n_init=n_init, exact_rows=exact_rows,
+        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample,
     )
     return counts, sweep_table(df, [(r.column, r.ks, m) for r, (_, m) in zip(requests, scored)])
 

@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eigenlake.functions.blocks import sum_partials
 
-MAX_FEATURES = 12
-MAX_COMPONENTS = 5
 # Up to this many features the correlation is one JVM aggregate.
 PAIRWISE_FEATURES = 12
 GRID_POINTS = 200
@@ -38,58 +36,49 @@ def _ranges(df: DataFrame, features: Sequence[str]):
     return [row[f"r{i}"] for i in range(len(features))]
 
 
-def feature_histograms(df: DataFrame, features: Sequence[str], bins: int = 30) -> DataFrame:
-    """``(feature, bin, low, high, n)`` for the first features, missing values dropped.
+def feature_histograms(
+    df: DataFrame, features: Sequence[str], bins: int = 30, max_features: int | None = None
+) -> DataFrame:
+    """``(feature, bin, low, high, n)`` of all features or the first ``max_features``, missing values dropped.
 
     Bins have equal width between each feature's minimum and maximum. Counts are combined
-    in the tasks, so the shuffle carries features x bins rows per task.
+    in the tasks, so the shuffle carries features x bins rows per task. Empty bins have n = 0;
+    a constant feature has one bin.
     """
-    names = list(features)[:MAX_FEATURES]
+    names = list(features)[:max_features]
     if not names:
         raise ValueError("No features available for distribution plot")
     ranges = _ranges(df, names)
-    cells = []
+    cells, grid = [], []
     for name, r in zip(names, ranges):
         if not r["n"]:
             continue
-        value = F.col(f"`{name}`")
-        width = (r["high"] - r["low"]) / bins
-        place = (
-            F.least(F.floor((value - F.lit(r["low"])) / F.lit(width)), F.lit(bins - 1)) if width > 0 else F.lit(0)
-        )
+        value, low = F.col(f"`{name}`"), float(r["low"])
+        width = (float(r["high"]) - low) / bins
+        place = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else F.lit(0)
         cells.append(
             F.struct(F.lit(name).alias("feature"), F.when(value.isNotNull(), place.cast("int")).alias("bin"))
         )
-    counts = (
-        df.select(F.explode(F.array(*cells)).alias("c"))
-        .where(F.col("c.bin").isNotNull())
-        .groupBy("c.feature", "c.bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    edges = F.create_map(
-        *[
-            part
-            for name, r in zip(names, ranges)
-            if r["n"]
-            for part in (F.lit(name), F.struct(F.lit(float(r["low"])).alias("low"), F.lit(float((r["high"] - r["low"]) / bins)).alias("step")))
-        ]
-    )
-    edge = edges[F.col("feature")]
-    return counts.select(
-        "feature",
-        "bin",
-        (edge["low"] + F.col("bin") * edge["step"]).alias("low"),
-        (edge["low"] + (F.col("bin") + 1) * edge["step"]).alias("high"),
-        "n",
+        grid += [(name, b, low + b * width, low + (b + 1) * width) for b in range(bins if width > 0 else 1)]
+    schema = "feature string, bin int, low double, high double"
+    edges = df.sparkSession.createDataFrame(grid, schema)
+    counts = df.select(F.explode(F.array(*cells)).alias("c")).where(F.col("c.bin").isNotNull()) if cells else None
+    if counts is None:
+        return edges.withColumn("n", F.lit(0).cast("long"))
+    counts = counts.groupBy("c.feature", "c.bin").agg(F.count(F.lit(1)).alias("n"))
+    return edges.join(counts, ["feature", "bin"], "left").select(
+        "feature", "bin", "low", "high", F.coalesce("n", F.lit(0).cast("long")).alias("n")
     )
 
 
-def feature_density(df: DataFrame, features: Sequence[str], points: int = GRID_POINTS) -> DataFrame:
+def feature_density(
+    df: DataFrame, features: Sequence[str], points: int = GRID_POINTS, max_features: int | None = None
+) -> DataFrame:
     """``(feature, x, density)``: Gaussian kernel density on an even grid over each feature's
     range. Bandwidth by Scott's rule, sample deviation x n^(-1/5). The grid travels to the
     rows; each task sends one partial sum per grid point. Constant features have no curve.
     """
-    names = list(features)[:MAX_FEATURES]
+    names = list(features)[:max_features]
     ranges = _ranges(df, names)
     kept = [(n, r) for n, r in zip(names, ranges) if r["spread"]]
     if not kept:
@@ -184,10 +173,17 @@ def variance_curves(spectra: Mapping[str, DataFrame], threshold: float | None) -
 
 
 def curves_overlap(left: DataFrame, right: DataFrame, key: str = "k", value: str = "cumulative") -> DataFrame:
-    """One row: do two curves have equal length and equal values within rounding?"""
+    """One row: do two curves have equal length and equal values within rounding, how many points, how far apart?"""
     joined = left.select(key, F.col(value).alias("a")).join(right.select(key, F.col(value).alias("b")), key, "full")
-    close = F.abs(F.col("a") - F.col("b")) <= 1e-12 + 1e-10 * F.abs(F.col("b"))
-    return joined.agg(F.coalesce(F.bool_and(F.coalesce(close, F.lit(False))), F.lit(False)).alias("overlap"))
+    apart = F.abs(F.col("a") - F.col("b"))
+    close = apart <= 1e-12 + 1e-10 * F.abs(F.col("b"))
+    return joined.agg(
+        F.coalesce(F.bool_and(F.coalesce(close, F.lit(False))), F.lit(False)).alias("overlap"),
+        F.count(F.lit(1)).alias("points"),
+        F.max(apart).alias("gap"),
+        F.sum("a").alias("left_sum"),
+        F.sum("b").alias("right_sum"),
+    )
 
 
 def embedding_points(df: DataFrame, dimensions: int, label: str, keep: Sequence[str], column: str = "reduced") -> DataFrame:
@@ -203,10 +199,10 @@ def embedding_points(df: DataFrame, dimensions: int, label: str, keep: Sequence[
     )
 
 
-def loadings_table(components: DataFrame, features: Sequence[str], max_components: int = MAX_COMPONENTS) -> DataFrame:
-    """First components x features, signed: one row per component."""
+def loadings_table(components: DataFrame, features: Sequence[str], max_components: int | None = None) -> DataFrame:
+    """All components, or the first ``max_components``, x features, signed: one row per component."""
     return (
-        components.where(F.col("component") <= max_components)
+        components.where(F.lit(True) if max_components is None else F.col("component") <= max_components)
         .groupBy("component")
         .pivot("feature", list(features))
         .agg(F.first("loading"))

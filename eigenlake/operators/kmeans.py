@@ -12,13 +12,15 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eigenlake.functions.arrow import to_lists, to_matrix
-from eigenlake.functions.blocks import squared_distances, sum_partials, task_count
+from eigenlake.functions.blocks import DIRECT_TASKS, FINAL_TASKS, FOLD_TASKS, squared_distances, sum_partials, task_count
 from eigenlake.functions.numeric import EXPRESSION_TERMS, squared_distance_to
 from eigenlake.operators.clean import MatrixShape, check_matrix
-from eigenlake.operators.sample import hash_order, sample_rows
+from eigenlake.session import stage
 
-# Rows the starting centres are drawn from; the iterations themselves use every row.
-SEED_ROWS = 2048
+# k-means||: passes that draw candidates, and candidates drawn per pass and wanted centre.
+SEED_PASSES = 5
+OVERSAMPLING = 2
+LEAST_DRAWN = 64
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,19 @@ class _Run:
     request: int
     centers: np.ndarray
     steps: int = 0
+    candidates: np.ndarray | None = None
+
+    def refilled(self, moved: np.ndarray, filled: np.ndarray) -> np.ndarray:
+        """Empty clusters restart from the candidates that are farthest from every used centre."""
+        if filled.all() or self.candidates is None:
+            return moved
+        moved = moved.copy()
+        nearest = squared_distances(self.candidates, moved[filled]).min(axis=1)
+        for cluster in np.flatnonzero(~filled):
+            far = int(nearest.argmax())
+            moved[cluster] = self.candidates[far]
+            nearest = np.minimum(nearest, squared_distances(self.candidates, self.candidates[[far]])[:, 0])
+        return moved
 
 
 def fit_kmeans(
@@ -64,11 +79,12 @@ def fit_kmeans(
     shape: MatrixShape | None = None,
 ) -> dict[int, KMeansModel]:
     """Best of ``n_init`` restarts for every k, on all rows of one column. ``init`` gives
-    the starting centres of a single run instead."""
+    the starting centres of a single run instead. The two columns are staged, as every pass reads them."""
     shape = shape or check_matrix(df, column)
     request = KMeansRequest(column, shape.width, tuple(ks))
+    staged = stage(df.select(f"`{row_id}`", f"`{column}`"), "kmeans")
     return fit_kmeans_together(
-        df, row_id, [request], shape.rows, seed=seed, n_init=n_init, max_iter=max_iter, tol=tol, init=init
+        staged, row_id, [request], shape.rows, seed=seed, n_init=n_init, max_iter=max_iter, tol=tol, init=init
     )[0]
 
 
@@ -95,14 +111,11 @@ def fit_kmeans_together(
     columns = list(dict.fromkeys(request.column for request in requests))
     vectors = df.select(*[f"`{name}`" for name in columns])
     tasks = task_count(vectors)
-    location = {r.column: None for r in requests}
-    for request in requests:
-        if location[request.column] is None:
-            location[request.column] = _location(vectors, request.column)
+    location = _locations(vectors, columns)
     if init is not None:
         runs = [_Run(0, np.array(init, dtype=float) - location[requests[0].column][0])]
     else:
-        runs = _starting_runs(df, row_id, requests, rows, seed, n_init, location)
+        runs = _starting_runs(df, row_id, requests, columns, seed, n_init, location, tasks)
     scan = _Scan(vectors, columns, requests, {c: location[c][0] for c in columns}, tasks)
     active = list(runs)
     for _ in range(max_iter):
@@ -111,6 +124,7 @@ def fit_kmeans_together(
             filled = counts > 0
             moved = run.centers.copy()
             moved[filled] = sums[filled] / counts[filled, None]
+            moved = run.refilled(moved, filled)
             shift = float(((moved - run.centers) ** 2).sum())
             run.centers, run.steps = moved, run.steps + 1
             if shift > tol * location[requests[run.request].column][1]:
@@ -121,53 +135,132 @@ def fit_kmeans_together(
     best: list[dict[int, KMeansModel]] = [{} for _ in requests]
     for run, (_, counts, cost) in zip(runs, scan.assign_and_sum(runs)):
         found, k = best[run.request], len(run.centers)
-        if k not in found or cost < found[k].inertia:
-            if (counts > 0).sum() < 2:
-                raise ValueError("K-means produced fewer than two clusters")
+        if (counts > 0).sum() >= 2 and (k not in found or cost < found[k].inertia):
             found[k] = KMeansModel(run.centers + location[requests[run.request].column][0], cost, run.steps)
+    if any(k not in found for request, found in zip(requests, best) for k in request.ks):
+        raise ValueError("K-means produced fewer than two clusters")
     return best
 
 
-def _location(vectors: DataFrame, column: str) -> tuple[np.ndarray, float]:
-    """Mean vector and the mean per-feature variance (which scales the tolerance)."""
+def _locations(vectors: DataFrame, columns: Sequence[str]) -> dict[str, tuple[np.ndarray, float]]:
+    """Mean vector and mean per-feature variance (which scales the tolerance) of every column, in one pass."""
     found = vectors.select(
-        Summarizer.metrics("mean", "variance").summary(array_to_vector(F.col(column))).alias("s")
-    ).first()["s"]
-    return found["mean"].toArray(), float(found["variance"].toArray().mean())
+        *[
+            Summarizer.metrics("mean", "variance").summary(array_to_vector(F.col(f"`{c}`"))).alias(f"s{i}")
+            for i, c in enumerate(columns)
+        ]
+    ).first()
+    return {
+        c: (found[f"s{i}"]["mean"].toArray(), float(found[f"s{i}"]["variance"].toArray().mean()))
+        for i, c in enumerate(columns)
+    }
 
 
-def _starting_runs(df, row_id, requests, rows, seed, n_init, location) -> list[_Run]:
-    """Spread-out starting points drawn from one bounded hash sample, per k and restart."""
-    wanted = max(SEED_ROWS, 4 * max(max(r.ks) for r in requests))
-    columns = list(location)
-    sample = sample_rows(df, row_id, max_samples=wanted, seed=seed, rows=rows)
-    table = sample.select(hash_order(row_id, seed).alias("h"), *[f"`{c}`" for c in columns]).orderBy("h").toArrow()
+def _starting_runs(df, row_id, requests, columns, seed, n_init, location, tasks) -> list[_Run]:
+    """Spread-out starting points per k and restart, from candidates that k-means|| draws from all rows.
+
+    All requests share the passes. The candidates of a column, weighted by the rows nearest to
+    each, are a few times its largest k; only they reach the driver.
+    """
+    keyed = df.select(F.xxhash64(F.lit(seed), F.col(f"`{row_id}`")).alias("_key"), *[f"`{c}`" for c in columns])
+    wanted = {c: max(LEAST_DRAWN, OVERSAMPLING * max(max(r.ks) for r in requests if r.column == c)) for c in columns}
+    candidates = {c: np.zeros((0, len(location[c][0]))) for c in columns}
+    for turn in range(SEED_PASSES + 1):
+        drawn = _draw(keyed, columns, candidates, wanted, location, seed + turn, tasks)
+        candidates = {c: np.vstack([candidates[c], drawn[c]]) for c in columns}
+    candidates = {c: np.unique(points, axis=0) for c, points in candidates.items()}
+    pools = [KMeansRequest(c, len(location[c][0]), (len(candidates[c]),)) for c in columns]
+    scan = _Scan(keyed.drop("_key"), list(columns), pools, {c: location[c][0] for c in columns}, tasks)
+    counted = scan.assign_and_sum([_Run(i, candidates[c]) for i, c in enumerate(columns)])
+    weights = {c: counts for c, (_, counts, _) in zip(columns, counted)}
     runs = []
     for place, request in enumerate(requests):
-        points = to_matrix(table.column(1 + columns.index(request.column)), request.width)
-        points = points - location[request.column][0]
+        points = candidates[request.column]
         for k in request.ks:
             for restart in range(n_init):
                 random = np.random.default_rng([seed, k, restart])
-                runs.append(_Run(place, _spread_points(points, k, random)))
+                runs.append(_Run(place, _spread_points(points, weights[request.column], k, random), candidates=points))
     return runs
 
 
-def _spread_points(points: np.ndarray, k: int, random: np.random.Generator) -> np.ndarray:
-    # Each next centre: the best of a few candidates drawn by squared distance so far.
-    chosen = [int(random.integers(len(points)))]
+def _draw(keyed, columns, candidates, wanted, location, seed, tasks) -> dict[str, np.ndarray]:
+    """One pass: for every column, rows drawn without replacement with a chance that follows their cost.
+
+    A row's key is an exponential variate over its squared distance to the nearest candidate (1
+    before there are any), so the smallest keys are a weighted sample, and each task and each merge keeps
+    just those. The variate comes from the row's id: the same in any plan.
+    """
+    plan = [(i, location[c][0], candidates[c], wanted[c]) for i, c in enumerate(columns)]
+
+    def smallest(parts, number):
+        keys = np.concatenate([p[0] for p in parts])
+        rows = np.concatenate([p[1] for p in parts])
+        order = np.argsort(keys, kind="stable")[:number]
+        return keys[order], rows[order]
+
+    def as_batch(found):
+        flat = [(i, k, row) for i, (keys, rows) in enumerate(found) for k, row in zip(keys.tolist(), rows.tolist())]
+        columns_ = list(zip(*flat)) if flat else [[], [], []]
+        kinds = (pa.int32(), pa.float64(), pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns_, kinds)], names=["place", "k", "row"])
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(np.zeros(0), np.zeros((0, len(mean)))) for _, mean, _, _ in plan]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy().view(np.uint64)
+            for i, mean, near, number in plan:
+                rows = to_matrix(batch.column(1 + i), len(mean)) - mean
+                mixed = key * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 2654435761 + i) % 2**63)
+                mixed ^= mixed >> np.uint64(29)
+                mixed *= np.uint64(0xBF58476D1CE4E5B9)
+                mixed ^= mixed >> np.uint64(32)
+                uniform = ((mixed >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+                cost = squared_distances(rows, near).min(axis=1) if len(near) else np.ones(len(rows))
+                keys = np.divide(-np.log(uniform), cost, out=np.full(len(rows), np.inf), where=cost > 0)
+                some = np.isfinite(keys)
+                found[i] = smallest([found[i], (keys[some], rows[some])], number)
+        yield as_batch(found)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(np.zeros(0), np.zeros((0, len(mean)))) for _, mean, _, _ in plan]
+        for batch in batches:
+            place, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, mean, _, number in plan:
+                own = np.flatnonzero(place == i)
+                rows = to_matrix(batch.column(2).take(pa.array(own)), len(mean))
+                found[i] = smallest([found[i], (keys[own], rows)], number)
+        yield as_batch(found)
+
+    schema = "place int, k double, row array<double>"
+    drawn = keyed.mapInArrow(sample, schema)
+    for limit, parts in ((FOLD_TASKS, FOLD_TASKS), (DIRECT_TASKS, FINAL_TASKS)):
+        if tasks > limit:
+            drawn = drawn.repartition(parts).mapInArrow(merge, schema)
+    out, table = {}, list(merge(drawn.toArrow().combine_chunks().to_batches()))[0]
+    place = table.column(0).to_numpy()
+    for i, mean, _, _ in plan:
+        out[columns[i]] = to_matrix(table.column(2).take(pa.array(np.flatnonzero(place == i))), len(mean))
+    return out
+
+
+def _spread_points(points: np.ndarray, weights: np.ndarray, k: int, random: np.random.Generator) -> np.ndarray:
+    # Each next centre: the best of a few candidates drawn by weighted squared distance so far.
+    weights = np.maximum(weights, 1e-9)
+    chosen = [int(random.choice(len(points), p=weights / weights.sum()))]
     nearest = squared_distances(points, points[chosen])[:, 0]
     trials = 2 + int(np.log(k))
     while len(chosen) < k:
-        mass = nearest.cumsum()
+        mass = (nearest * weights).cumsum()
         if mass[-1] <= 0:
             chosen.append(int(random.integers(len(points))))
             continue
         drawn = np.searchsorted(mass, random.random(trials) * mass[-1]).clip(max=len(points) - 1)
-        candidates = np.minimum(squared_distances(points, points[drawn]), nearest[:, None])
-        pick = int(candidates.sum(axis=0).argmin())
+        reached = np.minimum(squared_distances(points, points[drawn]), nearest[:, None])
+        pick = int((reached * weights[:, None]).sum(axis=0).argmin())
         chosen.append(int(drawn[pick]))
-        nearest = candidates[:, pick]
+        nearest = reached[:, pick]
     return points[chosen].copy()
 
 

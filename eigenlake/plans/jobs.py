@@ -11,7 +11,7 @@ from eigenlake.functions.blocks import task_count
 from eigenlake.operators import explore
 from eigenlake.operators.affinity import affinity_edges, check_perplexity, joint_affinities
 from eigenlake.operators.clean import Dataset, MatrixShape, dataset_report, load_dataset
-from eigenlake.operators.cluster_metrics import EXACT_ROWS, group_views
+from eigenlake.operators.cluster_metrics import group_views
 from eigenlake.operators.clustering import (
     CLASS_COLUMN,
     class_label,
@@ -84,6 +84,7 @@ def prepare(
     state = Preprocessor.fit(
         split.where(F.col("split") == "train"),
         data.features,
+        booleans=data.booleans,
         approximate_median=approximate_median,
         rows=size,
     )
@@ -179,7 +180,7 @@ def train(
     row_id: str | None = None,
     exclude: Sequence[str] = (),
     n_init: int = 20,
-    exact_rows: int | None = EXACT_ROWS,
+    silhouette_sample: int | None = None,
 ) -> JobResult:
     """Fit one reducer, evaluate it and return a reusable model with its report tables."""
     fit = build_reducer(method)
@@ -201,7 +202,7 @@ def train(
     ]
     (_, [before]), ([after_model], [after]) = cluster_representations(
         reduced, key, requests, prepared.rows, references=[target, target],
-        seed=seed, n_init=n_init, exact_rows=exact_rows,
+        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample,
     )
     metrics = [
         *_run_facts(prepared, train_fraction, seed),
@@ -241,7 +242,7 @@ def compare(
     row_id: str | None = None,
     exclude: Sequence[str] = (),
     n_init: int = 20,
-    exact_rows: int | None = EXACT_ROWS,
+    silhouette_sample: int | None = None,
     max_clusters: int = 10,
 ) -> JobResult:
     """Fit PCA and SVD on the same split and state and compare every outcome.
@@ -289,7 +290,7 @@ def compare(
         requests += [KMeansRequest(name, size, (classes[1],)) for name, size in planar.items()]
         references += [CLASS_COLUMN] * len(planar)
     found = cluster_representations(
-        frame, key, requests, rows, references=references, seed=seed, n_init=n_init, exact_rows=exact_rows
+        frame, key, requests, rows, references=references, seed=seed, n_init=n_init, silhouette_sample=silhouette_sample
     )
     metrics = _run_facts(prepared, train_fraction, seed)
     sweep, clusters = [], {}
@@ -351,27 +352,28 @@ def transform(spark: SparkSession, df: DataFrame, *, model_path: str, preprocess
 
 
 def _bounded_sample(df, target, max_samples, seed, row_id, exclude):
-    """All rows standardised by their own statistics, then an exact-size sample of them."""
-    if max_samples < 3:
+    """All rows standardised by their own statistics, then an exact-size sample of them (None: all)."""
+    if max_samples is not None and max_samples < 3:
         raise ValueError("max_samples must be at least 3")
     prepared = prepare(df, target=target, train_fraction=1.0, seed=seed, row_id=row_id, exclude=exclude)
     key = prepared.data.row_id
+    if max_samples is None or max_samples >= prepared.rows:
+        return prepared.frame.drop("split"), key, MatrixShape(prepared.rows, prepared.width)
     sample = sample_rows(prepared.frame, key, max_samples=max_samples, seed=seed, rows=prepared.rows)
-    shape = MatrixShape(min(max_samples, prepared.rows), prepared.width)
-    return stage(sample.drop("split"), "sample"), key, shape
+    return stage(sample.drop("split"), "sample"), key, MatrixShape(max_samples, prepared.width)
 
 
 def affinity_graph(
     df: DataFrame,
     *,
     target: str | None = "quality",
-    max_samples: int = 1000,
+    max_samples: int | None = 1000,
     perplexity: float = 30.0,
     seed: int = 42,
     row_id: str | None = None,
     exclude: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """Perplexity-calibrated affinities of a bounded sample: edges, labels, parameters."""
+    """Perplexity-calibrated affinities of a bounded sample, or of all rows of a small table: edges, labels, parameters."""
     sample, key, shape = _bounded_sample(df, target, max_samples, seed, row_id, exclude)
     check_perplexity(perplexity, shape.rows)
     joint = joint_affinities(sample, key, shape, perplexity)
@@ -387,13 +389,13 @@ def knn_graph(
     df: DataFrame,
     *,
     target: str | None = "quality",
-    max_samples: int = 5000,
+    max_samples: int | None = 5000,
     n_neighbors: int = 15,
     seed: int = 42,
     row_id: str | None = None,
     exclude: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """Exact nearest-neighbour graph of a bounded sample: edges, labels, parameters."""
+    """Exact nearest-neighbour graph of a sample or (``max_samples=None``) of all rows: edges, labels, parameters."""
     sample, key, shape = _bounded_sample(df, target, max_samples, seed, row_id, exclude)
     parameters = [("sample_size", float(shape.rows)), ("n_neighbors", float(n_neighbors)), ("random_state", float(seed))]
     return {

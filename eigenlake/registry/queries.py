@@ -18,8 +18,9 @@ from eigenlake.operators.spectral import build_reducer, choose_component_count,
 from eigenlake.plans import jobs
 from eigenlake.registry import fixtures as fx, oracle as sql
 from eigenlake.registry.oracle import D, r, with_steps
-from eigenlake.session import stage
+from eigenlake.session import fresh_path, stage
 from eigenlake.sources.images import normalise_pixels
+from eigenlake.sources.models import load_preprocessor, save_preprocessor
 from eigenlake.sources.sinks import coordinates
 from eigenlake.sources.tables import combine_labelled
 
@@ -145,6 +146,28 @@ def feature_discovery(spark, sf_dir):
     return spark.createDataFrame([(order.index(f) + 1, f) for f in found], "pos bigint, feature string")
 
 
+@query(
+    "mixed_text_scores",
+    """WITH e AS (SELECT event_id AS row_id, CASE WHEN event_id % 5 < 2 THEN NULL ELSE (event_id % 97)::DOUBLE END AS x,
+        (event_id % 2 = 0)::INTEGER::DOUBLE AS b FROM events),
+    i AS (SELECT row_id, coalesce(x, (SELECT median(x) FROM e)) AS x, b FROM e),
+    s AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(b) AS mb, stddev_pop(b) AS sb FROM i)
+    SELECT row_id, round((x - mx) / sx, 6) + 0.0 AS mixed, round((b - mb) / sb, 6) + 0.0 AS flag FROM i, s""",
+)
+def mixed_text_scores(spark, sf_dir):
+    """True/false words are missing cells in a column of numbers and 0/1 in a column of their own, also after saving."""
+    key = F.col("event_id")
+    word = F.when(key % 5 == 0, "true").when(key % 5 == 1, "False").otherwise((key % 97).cast("string"))
+    frame = fx.table(spark, sf_dir, "events").select(
+        key.alias("row_id"), word.alias("mixed"), F.when(key % 2 == 0, " True").otherwise("false").alias("flag")
+    )
+    data = clean.load_dataset(frame, target=None, row_id="row_id")
+    path = fresh_path(spark, "preprocessor")
+    save_preprocessor(spark, Preprocessor.fit(data.frame, data.features, booleans=data.booleans), path)
+    scored = load_preprocessor(spark, path).transform(frame, ["row_id"])
+    return rounded(scored.select("row_id", F.col("features")[0].alias("mixed"), F.col("features")[1].alias("flag")), ["mixed", "flag"])
+
+
 @query(
     "finite_coercion",
     with_steps(
@@ -213,7 +236,7 @@ def _state_value(feature: str, part: str) -> str:
     "preprocessor_state",
     with_steps(
         DIRTY_STEPS,
-        f"SELECT pos, feature, {r('median', 4)} AS median, {r('mean', 4)} AS mean, {r('scale', 4)} AS scale, is_constant FROM state",
+        f"SELECT pos, feature, {r('median', 4)} AS median, {r('mean', 4)} AS mean, {r('scale', 4)} AS scale, is_constant, false AS is_boolean FROM state",
     ),
 )
 def preprocessor_state(spark, sf_dir):
@@ -572,7 +595,7 @@ def reconstruction_curve(spark, sf_dir):
 
 @query(
     "component_alignment",
-    with_steps([*sql.SPECTRAL], "SELECT component, 1.0::DOUBLE AS cosine FROM eig, pick WHERE component <= k"),
+    with_steps([*sql.SPECTRAL], f"SELECT component, {r('abs(list_dot_product(v, v)) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(v, v)))')} AS cosine FROM eig, pick WHERE component <= k"),
 )
 def component_alignment(spark, sf_dir):
     prepared = profile(spark, sf_dir)
@@ -789,7 +812,7 @@ def separability(spark, sf_dir):
     frame = stage(model.transform(prepared.frame, output="pca_2d"), "planar")
     _, metrics = clustering.separability(
         frame, "row_id", "flag", {"features": D, "pca_2d": 2},
-        rows=prepared.rows, train_rows=prepared.train_rows, width=D, exact_rows=5_000,
+        rows=prepared.rows, train_rows=prepared.train_rows, width=D,
     )
     return rounded(metrics, ["value"], 4)
 
@@ -820,8 +843,9 @@ RANGES = "rg AS (SELECT feature, min(x) AS lo, max(x) AS hi, count(*) AS n, stdd
     with_steps(
         [sql.F1, sql.DIRTY, LONG_DIRTY, RANGES,
          f"st AS (SELECT *, (hi - lo) / {BINS} AS w FROM rg)",
-         f"b AS (SELECT feature, lo, w, CASE WHEN w > 0 THEN least(floor((x - lo) / w), {BINS - 1}) ELSE 0 END::INTEGER AS bin, count(*) AS n FROM lg JOIN st USING (feature) GROUP BY ALL)"],
-        f"SELECT feature, bin, {r('lo + bin * w', 4)} AS low, {r('lo + (bin + 1) * w', 4)} AS high, n FROM b",
+         f"b AS (SELECT feature, CASE WHEN w > 0 THEN least(floor((x - lo) / w), {BINS - 1}) ELSE 0 END::INTEGER AS bin, count(*) AS n FROM lg JOIN st USING (feature) GROUP BY ALL)",
+         f"e AS (SELECT feature, lo, w, bin::INTEGER AS bin FROM st, range({BINS}) t(bin) WHERE w > 0 OR bin = 0)"],
+        f"SELECT feature, bin, {r('lo + bin * w', 4)} AS low, {r('lo + (bin + 1) * w', 4)} AS high, coalesce(n, 0) AS n FROM e LEFT JOIN b USING (feature, bin)",
     ),
 )
 def feature_histograms(spark, sf_dir):
@@ -872,12 +896,19 @@ def variance_curves(spark, sf_dir):
     return rounded(explore.variance_curves(spectra, 0.95), ["cumulative"])
 
 
-@query("curve_overlap", with_steps([sql.F1], "SELECT count(*) > 0 AS overlap FROM f1"))
+@query(
+    "curve_overlap",
+    with_steps(
+        [*sql.SPECTRAL],
+        f"""SELECT bool_and(abs(a.cumulative - b.cumulative) <= 1e-10) AS overlap, count(*) AS points,
+        {r('max(abs(a.cumulative - b.cumulative))')} AS gap, {r('sum(a.cumulative)')} AS left_sum, {r('sum(b.cumulative)')} AS right_sum
+        FROM spec a FULL JOIN spec b USING (component)""",
+    ),
+)
 def curve_overlap(spark, sf_dir):
     prepared = profile(spark, sf_dir)
-    return explore.curves_overlap(
-        fit_pca(prepared.train, shape=prepared.train_shape).spectrum_table(spark), fit_svd(prepared.train, shape=prepared.train_shape).spectrum_table(spark), "component"
-    )
+    pca, svd = (fit(prepared.train, shape=prepared.train_shape).spectrum_table(spark) for fit in (fit_pca, fit_svd))
+    return rounded(explore.curves_overlap(pca, svd, "component"), ["gap", "left_sum", "right_sum"])
 
 
 @query(
@@ -915,19 +946,17 @@ def loadings_table(spark, sf_dir):
 @query("metric_curve")
 def metric_curve(spark, sf_dir):
     frame, shape, _ = labelled_vectors(spark, sf_dir)
-    sweep = clustering.clustering_sweep(frame, "row_id", {"features": shape.width}, "ref", max_clusters=5, rows=shape.rows)
+    sweep = clustering.clustering_sweep(frame, "row_id", {"features": shape.width}, "ref", rows=shape.rows)
     return rounded(explore.metric_curve(sweep, "adjusted_rand_index"), ["value"], 4)
 
 
 # --- neighbour graph -------------------------------------------------------------------
 
 
-def _sampled_vectors(spark, sf_dir, max_samples):
-    """An exact-size sample of the embeddings (all of them while they are fewer)."""
-    frame = fx.vectors(spark, sf_dir)
-    rows = frame.count()
-    sample = stage(sample_rows(frame, "row_id", max_samples=max_samples, rows=rows), "sample")
-    return sample, MatrixShape(min(rows, max_samples), fx.VECTOR_WIDTH)
+def _all_vectors(spark, sf_dir):
+    """All embeddings, staged, and their shape; dense work on them is bounded by its own check."""
+    frame = stage(fx.vectors(spark, sf_dir), "vectors")
+    return frame, MatrixShape(frame.count(), fx.VECTOR_WIDTH)
 
 
 @query(
@@ -935,7 +964,7 @@ def _sampled_vectors(spark, sf_dir, max_samples):
     with_steps([sql.V], f"SELECT a.row_id AS i, {r('sum(list_distance(a.f, b.f) ** 2)', 4)} AS total, {r('max(list_distance(a.f, b.f) ** 2)')} AS farthest FROM v a, v b GROUP BY a.row_id"),
 )
 def pairwise_distances(spark, sf_dir):
-    sample, shape = _sampled_vectors(spark, sf_dir, 5000)
+    sample, shape = _all_vectors(spark, sf_dir)
     table = neighbours.pairwise_distances(sample, "row_id", shape)
     return table.select(
         F.col("row_id").alias("i"),
@@ -964,7 +993,7 @@ def nearest_neighbours(spark, sf_dir):
     with_steps([sql.V, sql.CALIBRATION], f"SELECT row_id, {r('beta', 4)} AS beta, {r('entropy', 4)} AS entropy FROM cal"),
 )
 def perplexity_calibration(spark, sf_dir):
-    sample, shape = _sampled_vectors(spark, sf_dir, 1000)
+    sample, shape = _all_vectors(spark, sf_dir)
     table = affinity.calibrated_rows(sample, "row_id", shape, sql.PERPLEXITY)
     return rounded(table.select("row_id", "beta", "entropy"), ["beta", "entropy"], 4)
 
@@ -977,7 +1006,7 @@ def perplexity_calibration(spark, sf_dir):
     ),
 )
 def joint_affinities(spark, sf_dir):
-    sample, shape = _sampled_vectors(spark, sf_dir, 1000)
+    sample, shape = _all_vectors(spark, sf_dir)
     joint = affinity.joint_affinities(sample, "row_id", shape, sql.PERPLEXITY)
     return joint.select(
         "row_id",
@@ -997,7 +1026,7 @@ def joint_affinities(spark, sf_dir):
     ),
 )
 def kl_divergence(spark, sf_dir):
-    sample, shape = _sampled_vectors(spark, sf_dir, 1000)
+    sample, shape = _all_vectors(spark, sf_dir)
     joint = affinity.joint_affinities(sample, "row_id", shape, sql.PERPLEXITY)
     embedding = sample.select("row_id", F.array(F.col("features")[0] * 10, F.col("features")[1] * 10).alias("embedding"))
     value = affinity.kl_divergence(joint, embedding, "row_id", shape.rows, 2)
@@ -1013,7 +1042,7 @@ def kl_divergence(spark, sf_dir):
 )
 def neighbour_affinities(spark, sf_dir):
     frame = stage(fx.vectors(spark, sf_dir), "v")
-    edges = neighbours.nearest_neighbours(frame, "row_id", NEIGHBOURS, clean.check_matrix(frame))
+    edges = stage(neighbours.nearest_neighbours(frame, "row_id", NEIGHBOURS, clean.check_matrix(frame)), "edges")
     return rounded(affinity.neighbour_affinities(edges, "row_id", sql.NEIGHBOUR_PERPLEXITY), ["weight"], 8)
 
 
@@ -1175,35 +1204,51 @@ def series_errors(spark, sf_dir):
 
 @query("train_job")
 def train_job(spark, sf_dir):
-    result = jobs.train(fx.order_profile(spark, sf_dir), method="pca", target="target", row_id="row_id", exact_rows=2_000)
+    result = jobs.train(fx.order_profile(spark, sf_dir), method="pca", target="target", row_id="row_id")
     return rounded(result.tables["metrics"], ["value"], 4)
 
 
 @query("compare_job")
 def compare_job(spark, sf_dir):
     result = jobs.compare(
-        fx.order_profile(spark, sf_dir), target="target", group_col="flag", row_id="row_id", exact_rows=2_000, n_init=5
+        fx.order_profile(spark, sf_dir), target="target", group_col="flag", row_id="row_id"
     )
     return rounded(result.tables["metrics"], ["value"], 4)
 
 
-@query("affinity_graph_job")
+def _vector_columns(spark, sf_dir):
+    """Embeddings as one numeric column per dimension, with their label as target."""
+    columns = [F.col("features")[i].alias(f"f{i + 1}") for i in range(fx.VECTOR_WIDTH)]
+    return fx.vectors(spark, sf_dir).select("row_id", F.col("label").cast("double").alias("label"), *columns)
+
+
+# The embeddings standardised per dimension, under the name that the graph steps read.
+STANDARD_V = [
+    sql.V.replace("v AS", "raw_v AS", 1),
+    f"raw_cells AS (SELECT row_id, label, k, f[k] AS x FROM raw_v, range(1, {fx.VECTOR_WIDTH + 1}) r(k))",
+    "dims AS (SELECT k, avg(x) AS m, stddev_pop(x) AS s FROM raw_cells GROUP BY k)",
+    "v AS (SELECT row_id, label, list((x - m) / s ORDER BY k) AS f FROM raw_cells JOIN dims USING (k) GROUP BY row_id, label)",
+]
+
+
+@query(
+    "affinity_graph_job",
+    with_steps(
+        [*STANDARD_V, sql.CALIBRATION, sql.JOINT], f"SELECT i, j, {r('w', 8)} AS weight FROM joint WHERE i <> j"
+    ),
+)
 def affinity_graph_job(spark, sf_dir):
-    graph = jobs.affinity_graph(fx.order_profile(spark, sf_dir), target="target", row_id="row_id", max_samples=500)
-    return rounded(graph["edges"].where(F.col("weight") > 1e-6), ["weight"], 8)
+    graph = jobs.affinity_graph(_vector_columns(spark, sf_dir), target="label", row_id="row_id", max_samples=None)
+    return rounded(graph["edges"], ["weight"], 8)
 
 
 @query(
     "knn_graph_job",
     with_steps(
-        [sql.F1,
-         "sm AS (SELECT * FROM f1 QUALIFY row_number() OVER (ORDER BY md5('42:' || row_id::VARCHAR)) <= 1000)",
-         "al AS (SELECT " + ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in F1_NAMES) + " FROM f1)",
-         "zz AS (SELECT row_id, [" + ", ".join(f"({f} - m_{f}) / s_{f}" for f in F1_NAMES) + "] AS f FROM sm, al)",
-         "pr AS (SELECT a.row_id, b.row_id AS neighbour, list_distance(a.f, b.f) AS d FROM zz a, zz b WHERE a.row_id <> b.row_id)"],
-        f"SELECT row_id, neighbour, rank::INTEGER AS rank, {r('d')} AS distance FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY d, neighbour) AS rank FROM pr) WHERE rank <= {NEIGHBOURS}",
+        [*STANDARD_V, sql.PAIRS],
+        f"SELECT i AS row_id, j AS neighbour, rank::INTEGER AS rank, {r('d')} AS distance FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rank FROM pairs) WHERE rank <= {NEIGHBOURS}",
     ),
 )
 def knn_graph_job(spark, sf_dir):
-    graph = jobs.knn_graph(fx.order_profile(spark, sf_dir), target="target", row_id="row_id", max_samples=1000)
+    graph = jobs.knn_graph(_vector_columns(spark, sf_dir), target="label", row_id="row_id", max_samples=None)
     return rounded(graph["edges"], ["distance"])

@@ -31,6 +31,12 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, or in the warehouse, which a cluster shares as well."""
+    folder = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/eigenlake/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Keep a frame that several jobs read.
 
@@ -42,7 +48,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     folder = shared_folder(spark)
     if folder is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{folder.rstrip('/')}/eigenlake/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 

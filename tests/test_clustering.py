@@ -94,16 +94,15 @@ def test_silhouette_in_blocks_equals_in_place(labelled):
     np.testing.assert_allclose(blocks, whole, atol=1e-7)
 
 
-def test_sampled_silhouette_has_its_own_name(labelled, monkeypatch):
+def test_silhouette_is_sampled_on_request_only(labelled):
     x, first, second, _, df = labelled
-    monkeypatch.setattr(cm, "SAMPLED_QUERIES", 20)
-    name, values = cm.silhouette(df, "row_id", [5, 2], MatrixShape(70, 3), exact_rows=30)
-    assert name == "silhouette_sampled"
+    values = cm.silhouette(df, "row_id", [5, 2], MatrixShape(70, 3), sample=20)
     from eigenlake.operators.sample import sample_rows
 
     rows = [r["row_id"] for r in sample_rows(df, "row_id", max_samples=20).collect()]
     assert values[0] == pytest.approx(brute_silhouette(x, first)[rows].mean(), abs=1e-7)
-    assert cm.silhouette(df, "row_id", [5, 2], MatrixShape(70, 3), exact_rows=None)[0] == "silhouette"
+    exact = cm.silhouette(df, "row_id", [5, 2], MatrixShape(70, 3))
+    assert exact == pytest.approx([brute_silhouette(x, first).mean(), brute_silhouette(x, second).mean()], abs=1e-7)
 
 
 def test_squared_silhouette(labelled):
