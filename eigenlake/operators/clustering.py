@@ -41,9 +41,10 @@ def cluster_representations(
     seed: int = 42,
     n_init: int = 20,
     silhouette_sample: int | None = None,
+    **fit_options,
 ) -> list[tuple[list[KMeansModel], list[dict[str, float]]]]:
     """Fit all requests in shared passes, then score each: (models, metrics) per request."""
-    fitted = fit_kmeans_together(df, row_id, requests, rows, seed=seed, n_init=n_init)
+    fitted = fit_kmeans_together(df, row_id, requests, rows, seed=seed, n_init=n_init, **fit_options)
     out = []
     for request, models, reference in zip(requests, fitted, references):
         ordered = [models[k] for k in request.ks]
@@ -74,12 +75,17 @@ def evaluate_kmeans(
     n_init: int = 20,
     silhouette_sample: int | None = None,
     shape: MatrixShape | None = None,
+    **fit_options,
 ) -> ClusterResult:
-    """Fit, label and score one k. The frame should be staged: it is scanned repeatedly."""
+    """Fit, label and score one k. The frame should be staged: it is scanned repeatedly.
+
+    ``fit_options`` (``init``, ``max_iter``, ``tol``) go to the fit.
+    """
     shape = shape or check_matrix(df, column)
     request = KMeansRequest(column, shape.width, (n_clusters,))
     [(models, metrics)] = cluster_representations(
-        df, row_id, [request], shape.rows, references=[reference], seed=seed, n_init=n_init, silhouette_sample=silhouette_sample
+        df, row_id, [request], shape.rows, references=[reference], seed=seed, n_init=n_init,
+        silhouette_sample=silhouette_sample, **fit_options,
     )
     label = nearest_centre(F.col(column), models[0].centers)
     return ClusterResult(df.select(f"`{row_id}`", label.alias("cluster")), metrics[0], models[0])

@@ -100,21 +100,17 @@ def _factor_spread(rows: DataFrame, ranks: Sequence[int]) -> DataFrame:
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            keys = list(zip(table["image_id"].to_pylist(), table["channel"].to_pylist()))
-            for key in dict.fromkeys(keys):
-                places = np.flatnonzero([k == key for k in keys])
-                part = table.take(pa.array(places))
-                width = len(part["pixels"][0])
-                matrix = to_matrix(part["pixels"], width)
-                basis = np.array(part["basis"][0].as_py()).reshape(width, -1)
+            for first, last in _plane_runs(batch):
+                part = batch.slice(first, last - first)
+                matrix = to_matrix(part["pixels"], len(part["pixels"][0]))
+                basis = np.array(part["basis"][0].as_py()).reshape(matrix.shape[1], -1)
                 scores = matrix @ basis
                 for r in wanted:
                     yield pa.RecordBatch.from_arrays(
                         [
-                            part["image_id"].combine_chunks(),
-                            part["channel"].combine_chunks(),
-                            part["row_idx"].combine_chunks(),
+                            part["image_id"],
+                            part["channel"],
+                            part["row_idx"],
                             pa.array([r] * len(matrix), pa.int32()),
                             to_lists(matrix),
                             to_lists(scores[:, :r] @ basis[:, :r].T),
@@ -122,37 +118,61 @@ def _factor_spread(rows: DataFrame, ranks: Sequence[int]) -> DataFrame:
                         names=["image_id", "channel", "row_idx", "rank", "pixels", "rebuilt"],
                     )
 
-    return rows.join(bases, ["image_id", "channel"]).mapInArrow(project, REBUILT_SCHEMA)
+    joined = rows.join(bases, ["image_id", "channel"])
+    return joined.sortWithinPartitions("image_id", "channel").mapInArrow(project, REBUILT_SCHEMA)
+
+
+def _plane_runs(batch: pa.RecordBatch) -> list[tuple[int, int]]:
+    """First and last row of each plane in a batch that is sorted by image and channel."""
+    if not batch.num_rows:
+        return []
+    image = batch.column("image_id").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    channel = batch.column("channel").to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero((image[1:] != image[:-1]) | (channel[1:] != channel[:-1])) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]))
 
 
 def plane_grams(rows: DataFrame) -> DataFrame:
     """``(image_id, channel, i, j, value)`` Gram cells (i <= j) per plane. Tasks add up the
-    rows they hold of each plane before anything is shuffled."""
+    rows they hold of each plane, over all their batches, before anything is shuffled."""
+
+    def cells_of(done) -> pa.RecordBatch:
+        corners = [np.triu_indices(len(gram)) for _, _, gram in done]
+        sizes = [len(i) for i, _ in corners]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat([image for image, _, _ in done], sizes), pa.string()),
+                pa.array(np.repeat([channel for _, channel, _ in done], sizes), pa.int32()),
+                pa.array(np.concatenate([i for i, _ in corners]), pa.int32()),
+                pa.array(np.concatenate([j for _, j in corners]), pa.int32()),
+                pa.array(np.concatenate([gram[c] for c, (_, _, gram) in zip(corners, done)])),
+            ],
+            names=["image_id", "channel", "i", "j", "value"],
+        )
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = None
         for batch in batches:
-            sums: dict[tuple, np.ndarray] = {}
-            table = pa.Table.from_batches([batch])
-            keys = list(zip(table["image_id"].to_pylist(), table["channel"].to_pylist()))
-            for key in dict.fromkeys(keys):
-                part = table.take(pa.array(np.flatnonzero([k == key for k in keys])))
-                matrix = to_matrix(part["pixels"], len(part["pixels"][0]))
-                sums[key] = matrix.T @ matrix
-            for (image, channel), gram in sums.items():
-                i, j = np.triu_indices(len(gram))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([image] * len(i), pa.string()),
-                        pa.array([channel] * len(i), pa.int32()),
-                        pa.array(i, pa.int32()),
-                        pa.array(j, pa.int32()),
-                        pa.array(gram[i, j]),
-                    ],
-                    names=["image_id", "channel", "i", "j", "value"],
-                )
-
-    cells = rows.select("image_id", "channel", "pixels").mapInArrow(
-        partial, "image_id string, channel int, i int, j int, value double"
+            done = []
+            for first, last in _plane_runs(batch):
+                key = batch["image_id"][first].as_py(), batch["channel"][first].as_py()
+                pixels = batch["pixels"].slice(first, last - first)
+                matrix = to_matrix(pixels, len(pixels[0]))
+                gram = matrix.T @ matrix
+                if current is not None and current[:2] == key:
+                    gram += current[2]
+                elif current is not None:
+                    done.append(current)
+                current = (*key, gram)
+            if done:
+                yield cells_of(done)
+        if current is not None:
+            yield cells_of([current])
+
+    cells = (
+        rows.select("image_id", "channel", "pixels")
+        .sortWithinPartitions("image_id", "channel")
+        .mapInArrow(partial, "image_id string, channel int, i int, j int, value double")
     )
     return cells.groupBy("image_id", "channel", "i", "j").agg(F.sum("value").alias("value"))
 

@@ -684,6 +684,43 @@ def kmeans_fit(spark, sf_dir):
     )
 
 
+def _started_metrics_sql(steps: int) -> str:
+    """All metrics of the labels that so many steps from the given centres reach."""
+    lloyd = _lloyd_sql(steps).removeprefix("WITH RECURSIVE ").rsplit("\nSELECT", 1)[0]
+    lloyd = lloyd.replace(sql.V, sql.V.replace("v AS", "raw_v AS", 1)).replace("FROM v,", "FROM raw_v,").replace("FROM v ", "FROM raw_v ").replace("SELECT v.row_id", "SELECT raw_v.row_id").replace("GROUP BY v.row_id", "GROUP BY raw_v.row_id")
+    parts = [
+        lloyd, f"v AS (SELECT row_id, f, label FROM a{steps})", sql.CELLS, sql.CENTROIDS, sql.OWN, sql.PAIRS, sql.SILHOUETTE, *MARGINS[1:],
+        "gm AS (SELECT list(m ORDER BY k) AS g FROM (SELECT k, avg(x) AS m FROM cells GROUP BY k))",
+        "bw AS (SELECT sum(n * list_distance(c, g) ** 2) AS b, count(*) AS k FROM cen, gm)",
+        "k2 AS (SELECT label, s, c FROM (SELECT label, avg(d) AS s FROM own GROUP BY label) JOIN cen USING (label))",
+        """q AS (SELECT (SELECT sum(n * (n - 1) / 2) FROM ct) AS t, (SELECT sum(n * (n - 1) / 2) FROM ra) AS a,
+          (SELECT sum(n * (n - 1) / 2) FROM ca) AS b, (SELECT n * (n - 1) / 2 FROM tt) AS p,
+          (SELECT -sum(n / t * ln(n / t)) FROM ra, (SELECT n AS t FROM tt)) AS hr,
+          (SELECT -sum(n / t * ln(n / t)) FROM ca, (SELECT n AS t FROM tt)) AS hc,
+          (SELECT sum(ct.n / t * ln(ct.n * t / (ra.n * ca.n))) FROM ct JOIN ra USING (reference) JOIN ca USING (cluster), (SELECT n AS t FROM tt)) AS mi)""",
+    ]
+    found = {
+        "inertia": "SELECT sum(d * d) AS value FROM own",
+        "calinski_harabasz": "SELECT any_value(b) * (count(*) - any_value(k)) / (sum(d * d) * (any_value(k) - 1)) AS value FROM own, bw",
+        "davies_bouldin": "SELECT avg(m) AS value FROM (SELECT a.label, max((a.s + b.s) / list_distance(a.c, b.c)) AS m FROM k2 a, k2 b WHERE a.label <> b.label GROUP BY a.label)",
+        "silhouette": "SELECT avg(s) AS value FROM sil",
+        "adjusted_rand_index": "SELECT (t - a * b / p) / ((a + b) / 2 - a * b / p) AS value FROM q",
+        "normalized_mutual_information": "SELECT mi / ((hr + hc) / 2) AS value FROM q",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS metric, {r('value', 4)} AS value FROM ({text})" for name, text in found.items())
+    return with_steps(parts, rows)
+
+
+def kmeans_metrics_from_start(spark, sf_dir):
+    """``evaluate_kmeans`` from stated centres in a stated number of steps."""
+    frame = stage(fx.vectors(spark, sf_dir).withColumn("ref", F.col("row_id") % 4), "v")
+    start = _first_per_label(frame)
+    found = clustering.evaluate_kmeans(
+        frame, "row_id", n_clusters=len(start), reference="ref", init=start, max_iter=2, tol=0.0
+    )
+    return rounded(spark.createDataFrame(list(found.metrics.items()), "metric string, value double"), ["value"], 4)
+
+
 @query("inertia", with_steps([sql.V, sql.CELLS, sql.CENTROIDS, sql.OWN], f"SELECT {r('sum(d * d)', 4)} AS value FROM own"))
 def inertia(spark, sf_dir):
     return _internal(spark, sf_dir, "inertia")
@@ -753,6 +790,9 @@ MARGINS = [sql.V, sql.CONTINGENCY,
            "tt AS (SELECT sum(n) AS n FROM ct)"]
 
 
+query("kmeans_metrics_from_start", _started_metrics_sql(2))(kmeans_metrics_from_start)
+
+
 def _agreement(spark, sf_dir, metric):
     frame, _, _ = labelled_vectors(spark, sf_dir)
     table = cluster_metrics.agreement(cluster_metrics.contingency(frame, "ref"))

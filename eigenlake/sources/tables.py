@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,7 +16,7 @@ from eigenlake.functions.numeric import (
     numeric_value,
 )
 from eigenlake.operators.clean import trim_header
-from eigenlake.sources.storage import is_file, path_exists
+from eigenlake.sources.storage import matching_files, path_exists
 
 HEADER_LINES = 50
 
@@ -46,33 +46,52 @@ def check_header(lines: list[str], separator: str) -> list[str]:
     return names
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV-like table with detected separator and typed columns (BIGINT, DOUBLE, BOOLEAN
-    or STRING), or a parquet table when the path ends in ``.parquet``."""
-    if not path_exists(spark, path):
-        raise FileNotFoundError(f"Dataset not found: {path}")
-    if path.endswith(".parquet"):
-        frame = spark.read.parquet(path)
+def read_table(
+    spark: SparkSession, path: str | Sequence[str], *, sep: str | None = None, multi_line: bool | None = None
+) -> DataFrame:
+    """A CSV-like table with typed columns (BIGINT, DOUBLE, BOOLEAN or STRING), or a parquet
+    table when the paths end in ``.parquet``.
+
+    ``path`` is a file, a folder, a glob or a list of these; all files have the first file's header.
+    ``sep`` is detected on the first lines unless given. Quoted line breaks are looked for in
+    all lines unless ``multi_line`` says whether there are any; with them a file can't be split
+    between tasks.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    if paths and all(p.rstrip("/").endswith(".parquet") for p in paths):
+        absent = [p for p in paths if not path_exists(spark, p)]
+        if absent:
+            raise FileNotFoundError(f"Dataset not found: {absent}")
+        frame = spark.read.parquet(*paths)
         if not frame.take(1):
             raise ValueError("Dataset is empty")
         return trim_header(frame)
-    if not is_file(spark, path):
-        raise ValueError(f"Dataset path is not a file: {path}")
-    lines = [row["value"] for row in spark.read.text(path).take(HEADER_LINES)]
-    lines = [line.lstrip("﻿") for line in lines if line.strip()]
+    files = []
+    for name in paths:
+        found = matching_files(spark, name)
+        if not found and not path_exists(spark, name):
+            raise FileNotFoundError(f"Dataset not found: {name}")
+        files += found
+    if not files:
+        raise ValueError("Dataset is empty")
+    lines = [row["value"].lstrip("\ufeff") for row in spark.read.text(files[0]).take(HEADER_LINES)]
+    lines = [line for line in lines if line.strip()]
     if not lines:
         raise ValueError("Dataset is empty")
-    separator = detect_separator(lines)
+    separator = sep or detect_separator(lines)
     names = check_header(lines, separator)
+    if multi_line is None:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        multi_line = bool(spark.read.text(files).where(quotes % 2 == 1).take(1))
     raw = (
         spark.read.option("sep", separator)
         .option("header", True)
         .option("enforceSchema", True)
-        .option("multiLine", any(line.count('"') % 2 for line in lines))
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .option("escape", '"')
         .schema(", ".join(f"c{i} string" for i in range(len(names))))
-        .csv(path)
+        .csv(files)
         .toDF(*names)
     )
     present = raw.select(

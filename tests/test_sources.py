@@ -46,10 +46,29 @@ def test_missing_path_and_directory(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tables.read_table(spark, str(tmp_path / "none.csv"))
     (tmp_path / "folder").mkdir()
-    with pytest.raises(ValueError, match="not a file"):
+    with pytest.raises(ValueError, match="empty"):
         tables.read_table(spark, str(tmp_path / "folder"))
 
 
+def test_folders_globs_lists_and_separators(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, value in (("a.csv", "1~x"), ("b.csv", "2~y")):
+        write(tmp_path / "in" / name, f"k~v\n{value}\n")
+    write(tmp_path / "in" / "_SUCCESS", "")
+    folder = str(tmp_path / "in")
+    for path in (folder, f"{folder}/*.csv", [f"{folder}/a.csv", f"{folder}/b.csv"]):
+        rows = tables.read_table(spark, path, sep="~").collect()
+        assert sorted(map(tuple, rows)) == [(1, "x"), (2, "y")]
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, f"{folder}/*.txt")
+
+
+def test_late_quoted_line_break(spark, tmp_path):
+    lines = "".join(f"{i},plain\n" for i in range(60)) + '60,"two\nlines"\n'
+    rows = tables.read_table(spark, write(tmp_path / "late.csv", "k,v\n" + lines)).collect()
+    assert len(rows) == 61 and {r["v"] for r in rows} == {"plain", "two\nlines"}
+
+
 def test_labelled_union_keeps_duplicates(spark):
     one = spark.createDataFrame([(1, 2.0), (1, 2.0)], "a int, b double")
     two = spark.createDataFrame([(3.0, 4)], "b double, a int")
