@@ -26,6 +26,8 @@ LEAST_WORDS = 5
 LEAST_CHARS = 30
 # Rows of one key that are compared in one task.
 BLOCK_ROWS = 1024
+# Bits of the set of candidate lines that tasks look into before they send a line's text; its size is fixed.
+FILTER_BITS = 1 << 22
 # Prints of lines that a task remembers, so as not to send their keys again.
 SEEN_LINES = 1 << 20
 
@@ -251,6 +253,39 @@ def within_distance(left: str, right: str, distance: int) -> bool:
     return any(mask >> end & 1 for mask in reach)
 
 
+def line_texts(docs: DataFrame, wanted: DataFrame, staging: Staging) -> DataFrame:
+    """``line, text`` of the lines whose print is in ``wanted(line)``, once each.
+
+    A bit set of fixed size keeps almost all other lines from being sent; the join is exact.
+    """
+    bit = F.pmod("line", F.lit(FILTER_BITS))
+    words_of = wanted.groupBy(F.shiftright(bit, 5).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(line, {FILTER_BITS}) & 31 as int))")).alias("bits")
+    )
+    found = words_of.toArrow()
+    bits = np.zeros(FILTER_BITS // 32, np.uint32)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen = SpanHasher(), np.zeros(0, np.uint64)
+        for batch in batches:
+            for part in string_parts(batch.column(0)):
+                data, _, _, start, end = find_lines(part)
+                hasher.load(data)
+                line = hasher.spans(start, end)
+                place = (line.view(np.int64) % FILTER_BITS).astype(np.int64)
+                maybe = np.flatnonzero((bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1)
+                line, first = np.unique(line[maybe], return_index=True)
+                new = ~np.isin(line, seen)
+                line, first = line[new], maybe[first[new]]
+                seen = line if len(seen) + len(line) > SEEN_LINES else np.concatenate([seen, line])
+                texts = [data[a:b].tobytes().decode("utf-32-le") for a, b in zip(start[first], end[first], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(line.view(np.int64)), pa.array(texts, pa.string())], names=["line", "text"])
+
+    sent = docs.select(F.col("text").cast("string")).mapInArrow(run, "line long, text string")
+    return staging.keep(sent.join(wanted, "line", "left_semi").dropDuplicates(["line"]), "texts")
+
+
 def _confirm(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,15 +313,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     owners = staging.keep(owners, "owners")
     candidates = staging.keep(candidate_pairs(docs, distance, staging), "candidates")
     wanted = candidates.select(F.col("u").alias("line")).union(candidates.select(F.col("v").alias("line"))).distinct()
-    # A line's text is read from the document that holds it first.
-    held = wanted.join(owners, "line").select("line", "first.*").groupBy("doc_id", "doc_print")
-    held = staging.keep(held.agg(F.collect_set(F.struct("line", "line_no")).alias("held")), "held")
-    text = F.col("text").cast("string")
-    sources = docs.select("doc_id", F.xxhash64(text).alias("doc_print"), text.alias("text"))
-    same = sources["doc_id"].eqNullSafe(held["doc_id"]) & (sources["doc_print"] == held["doc_print"])
-    texts = sources.join(held, same).select(F.split("text", "\n", -1).alias("all"), F.explode("held").alias("one"))
-    texts = texts.select("one.line", F.element_at("all", F.col("one.line_no") + 1).alias("text"))
-    texts = staging.keep(texts.dropDuplicates(["line"]), "texts")
+    texts = line_texts(docs, staging.keep(wanted, "wanted"), staging)
     both = candidates.join(texts.select(F.col("line").alias("u"), F.col("text").alias("left")), "u")
     both = both.join(texts.select(F.col("line").alias("v"), F.col("text").alias("right")), "v")
     links = both.select("u", "v", "left", "right").mapInArrow(_confirm(distance), "u long, v long")
