@@ -1,3 +1,5 @@
+"""Fixtures that the test modules of this folder import."""
+
 from __future__ import annotations
 
 import os

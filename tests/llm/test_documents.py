@@ -12,6 +12,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
+from fixtures import texts  # noqa: E402, F401
 
 from eigenlake.llm import decontaminate, secrets, token_counts  # noqa: E402
 from eigenlake.llm.decontaminate import contaminated, without_items  # noqa: E402

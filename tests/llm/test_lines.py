@@ -6,6 +6,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
+from fixtures import texts  # noqa: E402, F401
 
 from eigenlake.llm import line_dedup  # noqa: E402
 from eigenlake.llm.line_dedup import repeated_lines, within_distance, without_repeated_lines  # noqa: E402

@@ -10,6 +10,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
+from fixtures import texts  # noqa: E402, F401
 
 from eigenlake.llm import groups, minhash_dedup  # noqa: E402
 from eigenlake.llm.components import connected  # noqa: E402

@@ -3,11 +3,16 @@ from __future__ import annotations
 import html
 import random
 import re
+import sys
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
 import pytest
 
+sys.path.insert(0, str(Path(__file__).parent))
+from fixtures import sf_dir  # noqa: E402, F401
+
 from eigenlake.llm.html_text import extract_text, main_text
 from eigenlake.llm.warc import page_digests, parse_records, read_records, read_transactions, write_archives
 

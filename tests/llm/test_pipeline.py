@@ -7,6 +7,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
+from fixtures import sf_dir  # noqa: E402, F401
 
 import __spark_entry__  # noqa: E402
 import corpus_pipeline  # noqa: E402
