@@ -36,7 +36,7 @@ from eigenlake.operators.spectral import SpectralModel, build_reducer
 from eigenlake.session import release, spread, stage
 from eigenlake.sources.images import read_image_planes
 from eigenlake.sources.models import load_model, load_preprocessor, save_model, save_preprocessor
-from eigenlake.sources.sinks import coordinates, create_run_directory, write_coordinates
+from eigenlake.sources.sinks import coordinates, write_bundle
 
 METRIC_SCHEMA = "section string, metric string, value double"
 
@@ -104,12 +104,10 @@ class JobResult:
 
     def write(self, spark: SparkSession, root: str, kind: str) -> str:
         """Write everything to a new run directory and return its path."""
-        path = create_run_directory(spark, root, kind)
+        path = write_bundle(spark, self.tables, root, kind)
         save_preprocessor(spark, self.preprocessor, f"{path}/preprocessor")
         for name, model in self.models.items():
             save_model(spark, model, f"{path}/{name}_model", self.preprocessor.features)
-        for name, table in self.tables.items():
-            write_coordinates(table, f"{path}/{name}")
         return path
 
 
@@ -347,7 +345,9 @@ def score(df: DataFrame, preprocessor: Preprocessor, model: SpectralModel, keep:
 
 
 def transform(spark: SparkSession, df: DataFrame, *, model_path: str, preprocessor_path: str, keep=None) -> DataFrame:
-    """``score`` with state loaded from a run directory."""
+    """``score`` with state loaded from a run directory; a batch without rows is an error."""
+    if not df.isStreaming and df.isEmpty():
+        raise ValueError("Dataset is empty")
     return score(df, load_preprocessor(spark, preprocessor_path), load_model(spark, model_path), keep)
 
 

@@ -8,6 +8,7 @@ import __spark_entry__ as contract
 from conftest import column
 from eigenlake import session
 from eigenlake.plans import jobs
+from eigenlake.sources.sinks import write_bundle
 from eigenlake.sources.tables import read_table
 from eigenlake.streaming.scoring import score_stream
 from test_graphs_and_tables import series_frame
@@ -163,3 +164,14 @@ def test_entry_contract(spark):
     assert set(contract.oracle_sql()) <= names
     result = contract.entry(spark)
     assert result.count() == 1473 and "component_1" in result.columns
+
+
+def test_graph_bundle(spark, tmp_path, matrix_frame):
+    frame = matrix_frame(np.random.default_rng(1).normal(size=(30, 3))).select(
+        "row_id", *[F.col("features")[i].alias(f"c{i}") for i in range(3)]
+    )
+    graph = jobs.knn_graph(frame, target=None, row_id="row_id", n_neighbors=3, max_samples=None)
+    path = write_bundle(spark, graph, str(tmp_path), "umap")
+    assert spark.read.parquet(f"{path}/edges").count() == 90
+    found = {r["parameter"]: r["value"] for r in spark.read.json(f"{path}/parameters_json").collect()}
+    assert found["sample_size"] == 30
