@@ -28,7 +28,7 @@ from eigenlake.functions.blocks import (
 )
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.sample import sample_rows
-from eigenlake.session import stage
+from eigenlake.session import small_side, stage
 
 METRIC_SCHEMA = "run int, metric string, value double"
 
@@ -302,8 +302,8 @@ def class_counts(df: DataFrame, group: str) -> DataFrame:
 def group_views(df: DataFrame, group: str, keep: Sequence[str]) -> DataFrame:
     """Rows of every group with at least two rows, with their global cluster labels."""
     counted = df.where(F.col(f"`{group}`").isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("__rows"))
-    kept = counted.where(F.col("__rows") >= 2).select(group)
-    return df.join(kept, group, "left_semi").select(*[f"`{c}`" for c in [group, *keep]])
+    kept = stage(counted.where(F.col("__rows") >= 2).select(group), "groups")
+    return df.join(small_side(kept), group, "left_semi").select(*[f"`{c}`" for c in [group, *keep]])
 
 
 def evaluate_labellings(

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from eigenlake.functions.arrow import to_lists, to_matrix
+from eigenlake.session import small_side, stage
 
 # Planes up to this size are factored inside one task; taller ones are spread over tasks.
 PLANE_BYTES = 64 * 1024 * 1024
@@ -51,7 +52,7 @@ def rebuild_planes(
     tall = sizes.where(F.col("height") * F.col("width") * 8 > plane_bytes).select("image_id", "channel")
     if not tall.take(1):
         return _factor_whole(rows, ranks)
-    keys = ["image_id", "channel"]
+    keys, tall = ["image_id", "channel"], small_side(stage(tall, "tall"))
     whole = _factor_whole(rows.join(tall, keys, "left_anti"), ranks)
     return whole.unionByName(_factor_spread(rows.join(tall, keys, "left_semi"), ranks))
 
@@ -182,6 +183,7 @@ def clip_to_image(rebuilt: DataFrame, planes: DataFrame) -> DataFrame:
     limits = planes.groupBy(F.col("image_id").cast("string").alias("image_id")).agg(
         F.min(F.array_min("pixels")).alias("low"), F.max(F.array_max("pixels")).alias("high")
     )
+    limits = small_side(stage(limits, "limits"))
     clipped = F.transform("rebuilt", lambda x: F.least(F.greatest(x, F.col("low")), F.col("high")))
     return rebuilt.join(limits, "image_id").withColumn("rebuilt", clipped)
 

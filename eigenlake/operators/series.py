@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from eigenlake.functions.numeric import is_finite
-from eigenlake.session import stage
+from eigenlake.session import small_side, stage
 
 # Fixed value: the longest default window.
 DEFAULT_WINDOW = 200
@@ -29,7 +29,7 @@ def check_series(series: DataFrame, rank: int | None = None, window: int | None
         F.count(F.when(~F.coalesce(is_finite(F.col("value")), F.lit(False)), 1)).alias("bad"),
     )
     length = F.least(F.floor(F.col("n") / 2), F.lit(DEFAULT_WINDOW)) if window is None else F.lit(int(window))
-    sizes = sizes.withColumn("window", length.cast("int"))
+    sizes = stage(sizes.withColumn("window", length.cast("int")), "sizes")
     limit = F.least(F.col("window"), F.col("n") - F.col("window") + 1)
     found = sizes.agg(
         F.min("n").alias("short"),
@@ -73,7 +73,7 @@ def index_series(series: DataFrame, order: str) -> DataFrame:
 def blocked(series: DataFrame, sizes: DataFrame, block_starts: int = BLOCK_STARTS) -> DataFrame:
     """Cut every series into blocks of window starts; samples a later block's neighbour
     needs are copied into it, so blocks of one series are independent."""
-    placed = series.join(sizes, "series_id").withColumn("at", (F.col("t") - F.col("first_t")).cast("bigint"))
+    placed = series.join(small_side(sizes), "series_id").withColumn("at", (F.col("t") - F.col("first_t")).cast("bigint"))
     starts = F.col("n") - F.col("window") + 1
     own = F.least(F.col("at"), starts - 1)
     last = F.floor(own / block_starts)
@@ -161,9 +161,9 @@ def denoise(
     sizes = check_series(series, rank, window)
     long = sizes.where(F.col("n") - F.col("window") + 1 > block_starts)
     if not long.take(1):
-        return _denoise_whole(series.join(sizes, "series_id"), rank)
+        return _denoise_whole(series.join(small_side(sizes), "series_id"), rank)
     short = sizes.where(F.col("n") - F.col("window") + 1 <= block_starts)
-    return _denoise_whole(series.join(short, "series_id"), rank).unionByName(
+    return _denoise_whole(series.join(small_side(short), "series_id"), rank).unionByName(
         _denoise_blocked(series, long, rank, block_starts)
     )
 

@@ -20,7 +20,7 @@ from eigenlake.registry import fixtures as fx, oracle as sql
 from eigenlake.registry.oracle import D, r, with_steps
 from eigenlake.session import fresh_path, stage
 from eigenlake.sources.images import normalise_pixels
-from eigenlake.sources.models import load_preprocessor, save_preprocessor
+from eigenlake.sources.models import load_model, load_preprocessor, save_model, save_preprocessor
 from eigenlake.sources.sinks import coordinates
 from eigenlake.sources.tables import combine_labelled
 
@@ -457,6 +457,25 @@ def svd_scores(spark, sf_dir):
     return model.transform(prepared.frame).select("row_id", *spread("reduced", D, "component_"))
 
 
+def _saved_and_loaded(spark, sf_dir, method):
+    """Scores of a model that was written and read back under its stored type."""
+    prepared, model = fitted_profile(spark, sf_dir, method, n_components=D)
+    path = fresh_path(spark, method)
+    save_model(spark, model, path, prepared.data.features)
+    loaded = load_model(spark, path, expected=method)
+    return loaded.transform(prepared.frame).select("row_id", *spread("reduced", D, "component_"))
+
+
+@query("saved_pca_scores", FULL_SCORES_SQL)
+def saved_pca_scores(spark, sf_dir):
+    return _saved_and_loaded(spark, sf_dir, "pca")
+
+
+@query("saved_svd_scores", FULL_SCORES_SQL)
+def saved_svd_scores(spark, sf_dir):
+    return _saved_and_loaded(spark, sf_dir, "svd")
+
+
 @query(
     "fit_transform_train",
     with_steps(SCORE_STEPS, f"SELECT row_id, {spread_sql('z', 2, 'component_')} FROM sc WHERE is_train"),
@@ -506,6 +525,24 @@ def score_new_rows(spark, sf_dir):
     return rounded(scored, [f"component_{i + 1}" for i in range(model.count)])
 
 
+@query("scored_from_run_directory", SCORE_NEW_SQL)
+def scored_from_run_directory(spark, sf_dir):
+    """New rows scored from the bundle of a training job (``transform``)."""
+    prepared, model = fitted_profile(spark, sf_dir)
+    result = jobs.JobResult(prepared.preprocessor, {"pca": model})
+    path = result.write(spark, fresh_path(spark, "bundle"), "train")
+    new = fx.order_profile(spark, sf_dir).withColumns(
+        {
+            "qty": F.when(F.col("row_id") % 7 != 0, F.col("qty")),
+            "price": F.when(F.col("row_id") % 11 == 0, F.lit(float("inf"))).otherwise(F.col("price")),
+        }
+    )
+    scored = jobs.transform(
+        spark, new, model_path=f"{path}/pca_model", preprocessor_path=f"{path}/preprocessor", keep=["row_id"]
+    )
+    return rounded(scored, [f"component_{i + 1}" for i in range(model.count)])
+
+
 @query(
     "full_reconstruction",
     with_steps([sql.F1, sql.SPLIT, sql.STATS, sql.Z], f"SELECT row_id, {spread_sql('f', D, 'x')} FROM z"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None) -> SparkSession:
@@ -53,6 +53,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Rows of a narrow per-key frame that may go to every task.
+SMALL_ROWS = 50_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A broadcast hint for a staged frame of few narrow rows, counted up to the bound; beyond it
+    the join is left to the optimizer. Keeps rows of a hot key where they are."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 # Below this many rows the tasks' fixed costs outweigh more parallelism.
 SPREAD_ROWS = 10_000
 

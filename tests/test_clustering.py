@@ -223,3 +223,14 @@ def test_group_views_and_fallback_labels(matrix_frame):
     assert len(rows) == 57 and {r["kind"] for r in rows} == {"a"}
     labels = clustering.fallback_labels(df, "row_id", "features", MatrixShape(60, 4), None, n_init=2)
     assert {r["label"] for r in labels.collect()} == set(range(6))
+
+
+def test_rare_clusters_are_found_from_all_rows(matrix_frame):
+    random = np.random.default_rng(0)
+    places = [[90, 0], [0, 90], [-90, 0], [0, -90]]
+    x = np.vstack([random.normal(size=(12_000, 2)), *[p + random.normal(size=(6, 2)) for p in places]])
+    label = np.concatenate([np.zeros(12_000, int), np.repeat([1, 2, 3, 4], 6)])
+    given = sum(((x[label == k] - x[label == k].mean(axis=0)) ** 2).sum() for k in range(5))
+    for seed in (1, 2):
+        model = kmeans.fit_kmeans(matrix_frame(x, partitions=4), "row_id", ks=[5], n_init=5, seed=seed)[5]
+        assert model.inertia <= 1.02 * given
