@@ -167,16 +167,22 @@ def _scores_in_place(df, row_id, shape, column, labels, bounds):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, points, carried = shared.value
-        member = _membership(carried, bounds)
-        counts = member.sum(axis=0)
+        # Points with the same labels in all labellings lie together: their distances are added up
+        # once, and only these sums are dealt out to the clusters.
+        combined, place = np.unique(carried, axis=0, return_inverse=True)
+        order = np.argsort(place.ravel(), kind="stable")
+        firsts = np.searchsorted(place.ravel()[order], np.arange(len(combined)))
+        member = _membership(combined, bounds)
+        counts = np.bincount(place.ravel(), minlength=len(combined)) @ member
         centre = points.mean(axis=0)
-        points = points - centre
+        points = (points - centre)[order]
         for batch in batches:
             rows = to_matrix(batch.column(1), width) - centre
             label = to_matrix(batch.column(2), runs).astype(np.int64)
             out = np.zeros((len(rows), runs))
             for tile in tiles(len(rows), len(points)):
-                sums = np.sqrt(squared_distances(rows[tile], points)) @ member
+                distances = squared_distances(rows[tile], points)
+                sums = np.add.reduceat(np.sqrt(distances, out=distances), firsts, axis=1) @ member
                 for run in range(runs):
                     span = slice(bounds[run], bounds[run + 1])
                     out[tile, run] = _scores(sums[:, span], label[tile, run], counts[span])
