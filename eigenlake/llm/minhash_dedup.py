@@ -145,6 +145,13 @@ def binary_rows(matrix: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
 
 
+def register_rows(column: pa.Array, width: int) -> np.ndarray:
+    """The registers of a binary column, one row each."""
+    first = np.frombuffer(column.buffers()[1], np.int32)[column.offset] // 2
+    raw = np.frombuffer(column.buffers()[2], np.uint16)
+    return raw[first : first + len(column) * width].reshape(len(column), width)
+
+
 def near_duplicates(
     docs: DataFrame, threshold_percent: int = 80, sketch: Sketch | None = None, margin: float = 5.0
 ) -> DataFrame:
@@ -202,9 +209,7 @@ def _alike(single, found, sketch: Sketch, percent: int, margin: float, staging:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, keys):
             ids, size = table.column("doc_id").to_numpy(), table.column("n_shingles").to_numpy()
-            raw = np.frombuffer(table.column("registers").chunk(0).buffers()[2], np.uint16)
-            offset = np.frombuffer(table.column("registers").chunk(0).buffers()[1], np.int32)[table.column("registers").chunk(0).offset] // 2
-            registers = raw[offset : offset + len(ids) * sketch.registers].reshape(len(ids), -1)
+            registers = register_rows(table.column("registers").chunk(0), sketch.registers)
             forest, u, v = Forest(len(ids)), [], []
             for left, right in pairs(starts, table.column("side").to_numpy()):
                 small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,14 +15,15 @@ from eigenlake.session import shared_folder
 def folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` if the cluster names one.
 
-    Unset, a local session (tests) gets a temporary folder and any other session the warehouse,
-    which executors share as well.
+    Unset, a local session (tests) gets a temporary folder that goes with the process, and any
+    other session the warehouse, which executors share as well.
     """
     named = shared_folder(spark)
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local["):
         named = tempfile.mkdtemp(prefix="eigenlake-")
+        atexit.register(shutil.rmtree, named, True)
         spark.conf.set("spark.checkpoint.dir", named)
         return named
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
