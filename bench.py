@@ -31,7 +31,6 @@ HEADLINE = [
     "joint_affinities",
     "rank_sweep",
     "series_denoise",
-    "compare_job",
 ]
 
 
