@@ -21,11 +21,17 @@ from eigenlake.llm.staging import Staging
 from eigenlake.llm.text import mix
 
 # Reference points and how many describe a vector. The points come from a sample of SAMPLE distinct vectors
-# (by md5 of the id), thinned so that no two are alike: a large cluster must not fill the nearest places.
+# (by md5 of the id), thinned so that no two are alike: a large cluster must not fill the nearest places. Where
+# thinning leaves fewer than LEAST_PIVOTS, the next limit is taken; the last one takes any vector.
 PIVOTS = 256
 SAMPLE = 4096
-APART = 0.7
+APART = (0.7, 0.8, 0.9, 0.95, 0.98, 0.995, float("inf"))
+LEAST_PIVOTS = 32
 NEAREST = 6
+# Pivots are halved until this share of the near pairs of the sample meet in a list; two pivots compare all pairs.
+# With fewer than LEAST_PAIRS near pairs, made neighbours of the sampled vectors are looked at as well.
+SAMPLE_RECALL = 0.97
+LEAST_PAIRS = 100
 # Rows of one list that are compared with as many others in one task; pairs verified in one step.
 BLOCK_ROWS = 256
 PAIR_ROWS = 1 << 14
@@ -49,18 +55,87 @@ def unit_rows(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def apart(units: list[np.ndarray], count: int) -> np.ndarray:
-    """Up to ``count`` of the vectors, in order, none with a cosine of ``APART`` or more to an earlier one."""
+def apart(units: list[np.ndarray], count: int, limit: float) -> np.ndarray:
+    """Up to ``count`` of the vectors, in order, none with a cosine of ``limit`` or more to an earlier one."""
     width = max((len(u) for u in units), default=1)
     chosen = np.zeros((0, width))
     for unit in units:
         row = np.zeros(width)
         row[: len(unit)] = unit
-        if len(chosen) < count and not (chosen @ row >= APART).any():
+        if len(chosen) < count and not (chosen @ row >= limit).any():
             chosen = np.vstack([chosen, row])
     return chosen
 
 
+def nearest_pivots(rows: list[np.ndarray], pivots: np.ndarray) -> np.ndarray:
+    """Numbers of the nearest pivots of each vector, ascending."""
+    width = np.array([len(r) for r in rows])
+    near = np.empty((len(rows), min(NEAREST, len(pivots))), np.int64)
+    for size in np.unique(width):
+        which = np.flatnonzero(width == size)
+        # Vectors of another dimension see the pivots cut or padded with zeros.
+        seen = np.zeros((len(pivots), size))
+        seen[:, : min(size, pivots.shape[1])] = pivots[:, :size]
+        likeness = np.stack([rows[i] for i in which]) @ seen.T
+        near[which] = np.argsort(-likeness, axis=1, kind="stable")[:, : near.shape[1]]
+    return np.sort(near, axis=1)
+
+
+def sample_pairs(units: list[np.ndarray], threshold: float) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Vectors, and row numbers of pairs of them with a cosine of ``threshold`` or more.
+
+    Where the sample holds few, a made neighbour at a random cosine from there to 1 is added for every vector.
+    """
+    width, left, right = np.array([len(u) for u in units]), [], []
+    for size in np.unique(width):
+        which = np.flatnonzero(width == size)
+        block = np.stack([units[i] for i in which])
+        for at in range(0, len(which), 512):
+            a, b = np.nonzero(block[at : at + 512] @ block.T >= threshold)
+            upper = a + at < b
+            left.append(which[a[upper] + at])
+            right.append(which[b[upper]])
+    left, right = np.concatenate(left), np.concatenate(right)
+    if len(left) >= LEAST_PAIRS:
+        # An even choice of them is enough for a share.
+        step = 1 + (len(left) >> 18)
+        return units, left[::step], right[::step]
+    rng, made = np.random.default_rng(11), []
+    for unit in units:
+        side = rng.normal(size=len(unit))
+        side -= (side @ unit) * unit
+        length = np.sqrt((side * side).sum())
+        cosine = rng.uniform(min(threshold, 1.0), 1.0)
+        made.append(cosine * unit + np.sqrt(1 - cosine * cosine) * side / length if length > 1e-9 else unit)
+    own = np.arange(len(units))
+    return [*units, *made], np.concatenate([left, own]), np.concatenate([right, own + len(units)])
+
+
+def choose_pivots(units: list[np.ndarray], threshold: float, most: int) -> np.ndarray:
+    """Two pivots at least (of two vectors or more), as many as let near pairs of the sample share two of them."""
+    if len(units) < 2:
+        return apart(units, 1, APART[-1])
+    most = max(2, most)
+    for limit in APART:
+        points = apart(units, most, limit)
+        if len(points) >= min(LEAST_PIVOTS, most, len(units)):
+            break
+    rows, left, right = sample_pairs(units, threshold)
+    while len(points) > 2:
+        near = nearest_pivots(rows, points)
+        met = 0
+        for at in range(0, len(left), PAIR_ROWS):
+            a, b = near[left[at : at + PAIR_ROWS]], near[right[at : at + PAIR_ROWS]]
+            shared = (a[:, :, None] == b[:, None, :]).sum(axis=(1, 2))
+            met += int((shared >= 2).sum())
+        if met >= SAMPLE_RECALL * len(left):
+            break
+        # So few pivots that any two vectors share two of them are no better than two pivots, with one list.
+        half = len(points) // 2
+        points = points[: half if half > 2 * NEAREST - 2 else 2]
+    return points
+
+
 def describe(pivots: np.ndarray):
     """Task function: nearest pivots of each vector, packed in ascending order, one byte each."""
 
@@ -68,19 +143,9 @@ def describe(pivots: np.ndarray):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = unit_rows(batch.column(2))
-            width = np.array([len(r) for r in rows])
-            near = np.empty((len(rows), min(NEAREST, len(pivots))), np.int64)
-            for size in np.unique(width):
-                which = np.flatnonzero(width == size)
-                # Vectors of another dimension see the pivots cut or padded with zeros.
-                seen = np.zeros((len(pivots), size))
-                seen[:, : min(size, pivots.shape[1])] = pivots[:, :size]
-                likeness = np.stack([rows[i] for i in which]) @ seen.T
-                near[which] = np.argsort(-likeness, axis=1, kind="stable")[:, : near.shape[1]]
-            near = np.sort(near, axis=1)
+            near = nearest_pivots(unit_rows(batch.column(2)), pivots)
             space = batch.column(1).to_numpy()
-            packed = np.zeros(len(rows), np.uint64)
+            packed = np.zeros(len(near), np.uint64)
             for i in range(near.shape[1]):
                 packed |= near[:, i].astype(np.uint64) << np.uint64(8 * i)
             for i, j in combinations(range(near.shape[1]), 2):
@@ -166,7 +231,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, pivots: int = PIVO
     compared as one and counted as many. Other columns are not read.
 
     The index is approximate: a pair is missed if it shares fewer than two of its ``NEAREST``
-    pivots; tests measure the recall. Every pair that is reported has been verified.
+    pivots; the pivots are chosen so that few pairs of a sample are, and tests measure the recall. Every pair that is reported has been verified.
     """
     staging = Staging(vectors.sparkSession, "vectors")
     vector = F.col("embedding").cast("array<double>")
@@ -185,7 +250,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, pivots: int = PIVO
     )
     classes = staging.keep(classes, "classes")
     sample = classes.orderBy(F.md5(F.col("class_id").cast("string")), "space").limit(SAMPLE).select("vector").toArrow()
-    points = apart(unit_rows(sample.column(0).combine_chunks()) if sample.num_rows else [], min(pivots, PIVOTS))
+    units = unit_rows(sample.column(0).combine_chunks()) if sample.num_rows else []
+    points = choose_pivots(units, threshold, min(pivots, PIVOTS))
     count = min(NEAREST, len(points))
     keyed = classes.select("class_id", "space", "vector").mapInArrow(
         describe(points), "list long, class_id long, space long, nearest long"

@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
@@ -56,3 +57,27 @@ def test_odd_vectors(spark):
     assert links[1] == (2, 1) and links[2] == (2, 1) and links[3] == (2, 1)
     assert all(links[i] == (0, i) for i in range(4, 15)) and links[None] == (0, None)
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def links_of(spark, points):
+    rows = [(i, [float(x) for x in p], 1, "x", 1) for i, p in enumerate(points)]
+    found = {r.vec_id: r.n_links for r in near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    unit = np.asarray(points, dtype=np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.93) & ~np.eye(len(unit), dtype=bool)
+    return np.array([found[i] for i in range(len(unit))]), linked.sum(axis=1)
+
+
+def test_two_near_vectors(spark):
+    reported, linked = links_of(spark, [[1.0, 0.0, 0.0], [0.995, 0.0998749, 0.0]])
+    assert reported.tolist() == linked.tolist() == [1, 1]
+
+
+@pytest.mark.parametrize("spread", [0.01, 0.03, 0.06])
+def test_recall_in_a_narrow_cone(spark, spread):
+    rng = np.random.default_rng(5)
+    centre = np.ones(32) / np.sqrt(32)
+    base = centre + rng.normal(size=(200, 32)) * spread
+    points = np.concatenate([base, base[:60] + rng.normal(size=(60, 32)) * 0.02])
+    reported, linked = links_of(spark, points)
+    assert (reported <= linked).all() and reported.sum() >= 0.9 * linked.sum() > 50
