@@ -241,7 +241,7 @@ def score_texts(rows: DataFrame, model: ToxicityModel, keep: list[str]) -> DataF
     """The columns ``keep`` of ``rows(text, ...)`` with ``score, best, total, passages``.
 
     ``passages`` are the significant segments in code points of the lower-cased text with their evidence,
-    ``best`` and ``total`` the largest and the summed evidence (0 without any). A null or empty
+    ``best`` and ``total`` the largest and the summed evidence (0 without any), where a token counts once per segment. A null or empty
     text has none.
     """
     fields = [f"`{name}` {kind}" for name, kind in rows.select(*keep).dtypes]
@@ -272,11 +272,7 @@ def _segments(part: pa.Array, hasher: SpanHasher, model: ToxicityModel):
     hot = np.unique(np.searchsorted(found.first, np.flatnonzero(scores > 0), "right") - 1)
     for i in hot.tolist():
         a, b = found.first[i], found.first[i + 1]
-        own = scores[a:b].copy()
-        # A token counts once per text, as in the fit: repetition alone is no evidence.
-        again = np.ones(len(own), bool)
-        again[np.unique(found.hashes[a:b], return_index=True)[1]] = False
-        own[again & (own > 0)] = model.ordinary
+        own, names = scores[a:b], found.hashes[a:b]
         text = data[rows[i] : rows[i + 1]].tobytes()
         offset = rows[i]
         for start, end, score in maximal_segments(own):
@@ -286,8 +282,14 @@ def _segments(part: pa.Array, hasher: SpanHasher, model: ToxicityModel):
                 spans[i].append(
                     {"start": len(text[:begins].decode()), "end": len(text[:ends].decode()), "evidence": evidence}
                 )
+                # For the text a token counts once per passage: repetition alone is no evidence.
+                inside = own[start:end]
+                again = np.ones(end - start, bool)
+                again[np.unique(names[start:end], return_index=True)[1]] = False
+                damped = np.where(again & (inside > 0), model.ordinary, inside)
+                evidence = max((model.evidence(s, int(b - a)) for *_, s in maximal_segments(damped)), default=0.0)
                 best[i] = max(best[i], evidence)
-                total[i] += evidence
+                total[i] += max(evidence, 0.0)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("evidence", pa.float64())]))
     return best, total, pa.array(spans, kind)
 

@@ -124,6 +124,18 @@ def test_toxic_documents_are_found(spark, texts):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in found if not r.predicted)
 
 
+def test_late_passage_that_repeats_words(spark, texts):
+    rows, labels = toxic_corpus()
+    model = fit_toxicity(texts(rows), spark.createDataFrame(labels, "doc_id long, toxic int, text int"), prior=50.0)
+    gap, dense = " ".join(["word1 word2 word3"] * 100), "vile rotten nasty foul"
+    scattered = f" {gap} ".join(dense.split())
+    given = [(1, f"{scattered} {gap} {dense} {gap} {dense} word5"), (2, f"{gap} {dense} {gap}")]
+    found = {r.doc_id: r for r in score_documents(texts(given), model).collect()}
+    cut = [given[0][1][p.start : p.end] for p in found[1].passages]
+    assert cut.count(dense) == 2 and [given[1][1][p.start : p.end] for p in found[2].passages] == [dense]
+    assert found[1].predicted == 1
+
+
 def test_no_labels(spark, texts):
     docs = texts([(1, "a b c")])
     model = fit_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
