@@ -3,7 +3,8 @@
 The text of a page is cut into blocks, each under the path of tags that leads to it. Text
 length, punctuation and link share are summed up per path and page and fused into one ratio (after Wu
 et al., "Web news extraction via path ratios", 2013), which is smoothed over neighbouring
-blocks in page order; blocks over a share of the page's mean ratio are its content.
+blocks in page order; blocks over a share of the page's mean ratio are its content. Inside an element that
+the markup names as content a block counts with the whole element, less its own link share.
 """
 
 from __future__ import annotations
@@ -72,12 +73,12 @@ ENDS = {
 
 
 class Page:
-    """Blocks of a page in order: ``(path, text, characters in links, in content)``."""
+    """Blocks of a page in order: ``(path, text, characters in links, path of the content element or "")``."""
 
     def __init__(self, source: str) -> None:
-        self.blocks: list[tuple[str, str, int, bool]] = []
-        # Open elements: name, path up to here, whether apart from the article, whether in content.
-        self.open: list[tuple[str, str, bool, bool]] = []
+        self.blocks: list[tuple[str, str, int, str]] = []
+        # Open elements: name, path up to here, whether apart from the article, path of the content element around.
+        self.open: list[tuple[str, str, bool, str]] = []
         self.links, self.text, self.linked = 0, [], 0
         at = 0
         while True:
@@ -110,7 +111,7 @@ class Page:
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            name, path, _, content = self.open[-1] if self.open else ("", "", False, False)
+            name, path, _, content = self.open[-1] if self.open else ("", "", False, "")
             self.blocks.append((path, text, self.linked, content))
         self.text, self.linked = [], 0
 
@@ -134,14 +135,14 @@ class Page:
                     del self.open[i:]
         elif self.open and self.open[-1][0] == "p":
             self.open.pop()
-        _, path, apart, content = self.open[-1] if self.open else ("", "", False, False)
+        _, path, apart, content = self.open[-1] if self.open else ("", "", False, "")
         names = [a or b or c for a, b, c in NAMED.findall(rest)] if rest else []
         words = set(PARTS.findall(" ".join(names).lower()))
         apart = apart or name in APART or bool(words & APART_NAMES and name not in ("html", "body"))
         # A header outside the article is the site's; an article inside another is a comment on it.
         apart = apart or (name == "header" and not content) or (name == "article" and "/article" in path)
         label = f"{path}/{name}" + (f".{' '.join(names)}" if names else "")
-        self.open.append((name, label, apart, content or name in CONTENT))
+        self.open.append((name, label, apart, label if name in CONTENT else content))
 
     def close(self, name: str) -> None:
         if name in INLINE:
@@ -155,20 +156,34 @@ class Page:
                 return
 
 
-def path_ratios(blocks: list[tuple[str, str, int, bool]]) -> list[float]:
-    """Fused ratio of each block's path: logs of text and of punctuation per block, times unlinked share."""
+def path_ratios(blocks: list[tuple[str, str, int, str]]) -> tuple[list[float], list[float]]:
+    """Fused ratio of each block's path, and of its content element (0 without one).
+
+    Logs of text and of punctuation per block, times the unlinked share of the path.
+    """
     sums: dict[str, list[float]] = {}
+    whole: dict[str, list[int]] = {}
     for path, text, linked, content in blocks:
         entry = sums.setdefault(path, [0, 0, 0, 0, NAMED_CONTENT if content else 1.0])
         entry[0] += len(text)
         entry[1] += len(PUNCTUATION.findall(text))
         entry[2] += min(linked, len(text))
         entry[3] += 1
+        if content:
+            entry = whole.setdefault(content, [0, 0, 0])
+            entry[0] += len(text)
+            entry[1] += len(PUNCTUATION.findall(text))
+            entry[2] += 1
     fused = {
         path: math.log1p(size / count) * (1 + math.log1p(marks / count)) * (1 - linked / size) * factor
         for path, (size, marks, linked, count, factor) in sums.items()
     }
-    return [fused[block[0]] for block in blocks]
+    named = {
+        path: NAMED_CONTENT * math.log1p(size / count) * (1 + math.log1p(marks / count))
+        for path, (size, marks, count) in whole.items()
+    }
+    free = {path: 1 - linked / size for path, (size, _, linked, *_) in sums.items()}
+    return [fused[b[0]] for b in blocks], [named[b[3]] * free[b[0]] if b[3] else 0.0 for b in blocks]
 
 
 def main_text(source: str | None) -> str:
@@ -176,7 +191,7 @@ def main_text(source: str | None) -> str:
     blocks = Page(source).blocks if source else []
     if not blocks:
         return ""
-    raw = path_ratios(blocks)
+    raw, named = path_ratios(blocks)
     smooth = []
     for i in range(len(raw)):
         total = weight = 0.0
@@ -189,7 +204,8 @@ def main_text(source: str | None) -> str:
     size = sum(len(block[1]) for block in blocks)
     bound = KEPT_SHARE * sum(s * len(block[1]) for s, block in zip(smooth, blocks, strict=True)) / size
     # Smoothing lifts short content blocks; it must not lift blocks of a path made of links.
-    return " ".join(b[1] for b, s, r in zip(blocks, smooth, raw, strict=True) if s >= bound and r > 0.02 * bound)
+    kept = [n >= bound or (s >= bound and r > 0.02 * bound) for s, r, n in zip(smooth, raw, named, strict=True)]
+    return " ".join(block[1] for block, stays in zip(blocks, kept, strict=True) if stays)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

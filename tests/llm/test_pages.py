@@ -36,6 +36,19 @@ def test_messy_page():
     )
 
 
+@pytest.mark.parametrize("root", ["article", "main"])
+def test_short_blocks_inside_content_stay(root):
+    prose = [f"Paragraph {i}, " + "with words, and more of them; " * 12 + "end." for i in range(7)]
+    items, cells = [f"item{i:02d}" for i in range(12)], [f"{i} g" for i in range(12)]
+    links = "".join(f"<li><a href=/{i}>Other {i}</a>" for i in range(12))
+    table = "".join(f"<tr><td>{c}<td>{c}" for c in cells)
+    body = "".join(f"<p>{p}</p>" for p in prose[:4]) + "<section><h2>Parts</h2><ul>" + "".join(f"<li>{i}" for i in items) + "</ul></section>"
+    body += f"<p>{prose[4]}</p><table>{table}</table><p>{prose[5]}</p><ul class=more>{links}</ul><p>{prose[6]}</p>"
+    want = [*prose[:4], "Parts", *items, prose[4], *[c for c in cells for _ in range(2)], prose[5], prose[6]]
+    found = main_text(f"<html><body><ul><li>Home<li>News<li>Shop<li>Help<li>More</ul><{root}>{body}</{root}></body></html>")
+    assert found.endswith(" ".join(want[1:])) and "Other 5" not in found and "Home" not in found
+
+
 @pytest.mark.parametrize("source", [None, "", "<p>", "<script>x", "<!-- x", "<div", "<a b='", "&", "<nav>x</nav>"])
 def test_broken_pages(source):
     assert isinstance(main_text(source), str)
