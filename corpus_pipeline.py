@@ -19,7 +19,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take repeated and nearly equal lines out of all documents but the first."""
-    return without_repeated_lines(docs)
+    return without_repeated_lines(docs, least_words=1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

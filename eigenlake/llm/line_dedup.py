@@ -21,7 +21,8 @@ from eigenlake.llm.text import SpanHasher, code_points, mix, string_parts
 
 # Edits between lines that count as one.
 DISTANCE = 2
-# Lines of fewer words are left alone; shorter lines are only compared for equality.
+# Lines of fewer words are left alone unless the caller says otherwise; lines of fewer code points are only compared
+# for equality.
 LEAST_WORDS = 5
 LEAST_CHARS = 30
 # Rows of one key that are compared in one task.
@@ -32,9 +33,16 @@ FILTER_BITS = 1 << 22
 SEEN_LINES = 1 << 20
 
 _SPACES = np.array([32, 9, 10, 11, 12, 13], np.uint32)
+# First and last code points of scripts written without spaces, whose characters count as words: Thai and Lao,
+# Myanmar, Khmer, kana and ideographs with their extensions.
+_UNSPACED = np.array(
+    [(0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+     (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x323AF)],
+    np.uint32,
+)
 
 
-def find_lines(part: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def find_lines(part: pa.Array, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Code points, and of every line with enough words: row, line number, start and end."""
     data, rows = code_points(part)
     breaks = np.flatnonzero(data == 10)
@@ -49,12 +57,16 @@ def find_lines(part: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     begins = ~space
     begins[1:] &= space[:-1]
     begins[rows[1:-1][rows[1:-1] < len(data)]] |= ~space[rows[1:-1][rows[1:-1] < len(data)]]
+    foreign = np.flatnonzero(data >= _UNSPACED[0, 0])
+    if len(foreign):
+        place = np.searchsorted(_UNSPACED[:, 0], data[foreign], "right") - 1
+        begins[foreign[data[foreign] <= _UNSPACED[place, 1]]] = True
     count = np.concatenate([[0], np.cumsum(begins)])
-    wanted = count[end] - count[start] >= LEAST_WORDS
+    wanted = count[end] - count[start] >= least_words
     return data, row[wanted], number[wanted], start[wanted], end[wanted]
 
 
-def line_table(docs: DataFrame) -> DataFrame:
+def line_table(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``doc_id, doc_print, line_no, line`` of every line with enough words; ``line`` is a 64-bit print.
 
     Equal lines have equal prints; two other lines share one with a chance of 2^-64.
@@ -66,7 +78,7 @@ def line_table(docs: DataFrame) -> DataFrame:
         for batch in batches:
             at = 0
             for part in string_parts(batch.column(2)):
-                data, row, number, start, end = find_lines(part)
+                data, row, number, start, end = find_lines(part, least_words)
                 hasher.load(data)
                 chosen = pa.array(row + at)
                 yield pa.RecordBatch.from_arrays(
@@ -105,7 +117,7 @@ def segment_keys(start: np.ndarray, length: np.ndarray, hasher: SpanHasher, dist
                 yield np.flatnonzero(fits), mix(found ^ mix(where)), int(bool(shorter or shift))
 
 
-def key_table(docs: DataFrame, distance: int) -> DataFrame:
+def key_table(docs: DataFrame, distance: int, least_words: int = LEAST_WORDS) -> DataFrame:
     """``key, line, letters, role`` of the lines long enough; a task sends a line once.
 
     ``letters`` adds up the line's code points in eight byte-wide classes.
@@ -115,7 +127,7 @@ def key_table(docs: DataFrame, distance: int) -> DataFrame:
         hasher, seen = SpanHasher(), np.zeros(0, np.uint64)
         for batch in batches:
             for part in string_parts(batch.column(0)):
-                data, _, _, start, end = find_lines(part)
+                data, _, _, start, end = find_lines(part, least_words)
                 hasher.load(data)
                 long = end - start >= LEAST_CHARS
                 line, first = np.unique(hasher.spans(start[long], end[long]), return_index=True)
@@ -166,7 +178,7 @@ def _alike(table: pa.Table, starts: np.ndarray, side: np.ndarray, distance: int)
     return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["u", "v"])
 
 
-def candidate_pairs(docs: DataFrame, distance: int, staging: Staging) -> DataFrame:
+def candidate_pairs(docs: DataFrame, distance: int, staging: Staging, least_words: int = LEAST_WORDS) -> DataFrame:
     """Pairs ``(u, v)`` of prints of different lines that share a segment and have nearly the same letters."""
     none = ["key", "line", "letters", "role"]
 
@@ -187,7 +199,7 @@ def candidate_pairs(docs: DataFrame, distance: int, staging: Staging) -> DataFra
                     )
 
     schema = "u long, v long, key long, line long, letters long, role byte"
-    keyed = key_table(docs, distance).repartition("key").sortWithinPartitions("key")
+    keyed = key_table(docs, distance, least_words).repartition("key").sortWithinPartitions("key")
     first = staging.keep(keyed.mapInArrow(run, schema), "first")
     # Keys of many lines come back here and are dealt out in blocks.
     later = first.where("key is not null").select(*none).distinct()
@@ -253,7 +265,7 @@ def within_distance(left: str, right: str, distance: int) -> bool:
     return any(mask >> end & 1 for mask in reach)
 
 
-def line_texts(docs: DataFrame, wanted: DataFrame, staging: Staging) -> DataFrame:
+def line_texts(docs: DataFrame, wanted: DataFrame, staging: Staging, least_words: int = LEAST_WORDS) -> DataFrame:
     """``line, text`` of the lines whose print is in ``wanted(line)``, once each.
 
     A bit set of fixed size keeps almost all other lines from being sent; the join is exact.
@@ -270,7 +282,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame, staging: Staging) -> DataFram
         hasher, seen = SpanHasher(), np.zeros(0, np.uint64)
         for batch in batches:
             for part in string_parts(batch.column(0)):
-                data, _, _, start, end = find_lines(part)
+                data, _, _, start, end = find_lines(part, least_words)
                 hasher.load(data)
                 line = hasher.spans(start, end)
                 place = (line.view(np.int64) % FILTER_BITS).astype(np.int64)
@@ -298,22 +310,22 @@ def _confirm(distance: int):
     return run
 
 
-def repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least_words: int = LEAST_WORDS) -> DataFrame:
     """Lines to take out: ``doc_id, doc_print, line_no, kept_doc_id, kept_line_no``.
 
-    Lines (between line feeds) of at least ``LEAST_WORDS`` words belong together if they are equal
-    or, from ``LEAST_CHARS`` characters on, joined by steps of at most ``distance`` edits of code
+    Lines (between line feeds) of at least ``least_words`` words (1: every line that is not blank; a character of
+    a script without spaces is a word) belong together if they are equal or, from ``LEAST_CHARS`` characters on, joined by steps of at most ``distance`` edits of code
     points. Of each class the first by doc_id (null last) and line number stays. Null and empty texts have no
     lines; rows that share doc_id and text are one document. ``doc_print`` is xxhash64 of the text.
     """
     staging = Staging(docs.sparkSession, "lines")
-    lines = staging.keep(line_table(docs), "lines")
+    lines = staging.keep(line_table(docs, least_words), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "doc_print", "line_no")
     owners = lines.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     owners = staging.keep(owners, "owners")
-    candidates = staging.keep(candidate_pairs(docs, distance, staging), "candidates")
+    candidates = staging.keep(candidate_pairs(docs, distance, staging, least_words), "candidates")
     wanted = candidates.select(F.col("u").alias("line")).union(candidates.select(F.col("v").alias("line"))).distinct()
-    texts = line_texts(docs, staging.keep(wanted, "wanted"), staging)
+    texts = line_texts(docs, staging.keep(wanted, "wanted"), staging, least_words)
     both = candidates.join(texts.select(F.col("line").alias("u"), F.col("text").alias("left")), "u")
     both = both.join(texts.select(F.col("line").alias("v"), F.col("text").alias("right")), "v")
     links = both.select("u", "v", "left", "right").mapInArrow(_confirm(distance), "u long, v long")
@@ -328,13 +340,13 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
 
 
-def without_repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, distance: int = DISTANCE, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``; other rows and columns stay as they are.
 
     A document that loses lines and keeps no word is left out.
     """
     staging = Staging(docs.sparkSession, "clean-lines")
-    drops = repeated_lines(docs, distance).groupBy("doc_id", "doc_print")
+    drops = repeated_lines(docs, distance, least_words).groupBy("doc_id", "doc_print")
     drops = staging.keep(drops.agg(F.collect_set("line_no").alias("_drop")).withColumnsRenamed({"doc_id": "_id", "doc_print": "_print"}), "drops")
     text = F.col("text").cast("string")
     marked = docs.join(drops, docs["doc_id"].eqNullSafe(drops["_id"]) & (F.xxhash64(text) == drops["_print"]), "left")

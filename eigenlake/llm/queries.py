@@ -100,7 +100,7 @@ def op9_decontaminate(spark, sf_dir):
 
 @query("op7_line_dedup")
 def op7_line_dedup(spark, sf_dir):
-    found = repeated_lines(table(spark, sf_dir, "documents"))
+    found = repeated_lines(table(spark, sf_dir, "documents"), least_words=1)
     return found.select("doc_id", "line_no", "kept_doc_id", "kept_line_no")
 
 

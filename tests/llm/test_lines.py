@@ -10,6 +10,7 @@ from fixtures import texts  # noqa: E402, F401
 
 from eigenlake.llm import line_dedup  # noqa: E402
 from eigenlake.llm.line_dedup import repeated_lines, within_distance, without_repeated_lines  # noqa: E402
+from eigenlake.llm.queries import QUERIES  # noqa: E402
 
 
 def edited(rng, text, edits):
@@ -77,3 +78,22 @@ def test_cleaned_documents(texts):
         1: f"{line}\nshort", 2: "own words of two\n", 4: "short\nshort", 5: None, 6: "",
     }
     assert without_repeated_lines(texts([])).collect() == []
+
+
+def test_short_lines_and_scripts_without_spaces(texts):
+    chinese = "我们在这里写下一行没有空格的文字"
+    rows = [(1, f"All rights reserved.\n{chinese}\nx"), (2, f"own words\nAll rights reserved.\n \n{chinese}"), (3, " \nx\n你好")]
+    every = repeated_lines(texts(rows), least_words=1).collect()
+    assert {(r.doc_id, r.line_no) for r in every} == {(2, 1), (2, 3), (3, 1)}
+    # By default short lines stay, whatever the script.
+    assert {(r.doc_id, r.line_no) for r in repeated_lines(texts(rows)).collect()} == {(2, 3)}
+    near = "一二三四五六七八九十" * 3
+    found = repeated_lines(texts([(1, near), (2, near + "末")])).collect()
+    assert [(r.doc_id, r.kept_doc_id) for r in found] == [(2, 1)]
+
+
+def test_registered_query_takes_every_line(spark, tmp_path):
+    rows = [(1, "All rights reserved."), (2, "own\nAll rights reserved.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in found] == [(2, 1, 1, 0)]
