@@ -2,8 +2,8 @@
 
 Long unbroken strings get an inferred encoding and three tests against randomness: chi-squared
 uniformity over its alphabet, a runs test over kinds of characters and a serial correlation. Their
-joint p-value is compared with that of ordinary prose of the same length, taken from all
-documents, and a false-discovery rate is controlled within every class of lengths.
+joint p-value is compared with that of ordinary prose of the same length, all of every
+document, and a false-discovery rate is controlled within every class of lengths.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ HEX_CHARS = 32
 CLASSES = (20, 24, 32, 48, 64, 128)
 # Bins of -log10 of the joint p-value, and the largest value that still counts as random.
 BIN, BINS, LARGEST = 0.05, 400, 2.0
+# Windows of prose that are tested in one step.
+WINDOW_STEP = 1 << 13
 
 _HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 _TOKEN = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"))
@@ -95,6 +97,50 @@ def disorder(text: bytes) -> float:
     return (joint - math.log1p(joint + joint * joint / 2)) / math.log(10)
 
 
+# Which alphabets hold a byte, one bit each, and the place of a byte in each.
+_IN = np.array([sum((c in a) << i for i, a in enumerate(ALPHABETS)) for c in range(256)], np.uint16)
+_PLACE = np.zeros((len(ALPHABETS), 256), np.int64)
+for _i, _alphabet in enumerate(ALPHABETS):
+    _PLACE[_i, list(_alphabet)] = np.arange(len(_alphabet))
+
+
+def _normal_tails(z: np.ndarray) -> np.ndarray:
+    return np.array([_normal_tail(v) for v in z.tolist()])
+
+
+def disorders(windows: np.ndarray) -> np.ndarray:
+    """``disorder`` of every row of bytes, none of which ends with an equals sign."""
+    out, n = np.zeros(len(windows)), windows.shape[1]
+    common = np.bitwise_and.reduce(_IN[windows], axis=1).astype(np.int64)
+    first = np.log2(common & -common).astype(np.int64)
+    for number in np.unique(first).tolist():
+        rows = np.flatnonzero(first == number)
+        raw, k = windows[rows], len(ALPHABETS[number])
+        x, m = _PLACE[number][raw], len(rows)
+        counts = np.bincount((x + k * np.arange(m)[:, None]).ravel(), minlength=k * m).reshape(m, k)
+        chi = (counts**2).sum(axis=1) * k / n - n
+        p_chi = _normal_tails((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
+        kinds = _KIND[raw]
+        same = (kinds == kinds[:, :1]).all(axis=1)
+        kinds[same] = 2 * x[same] >= k
+        groups = np.stack([(kinds == j).sum(axis=1) for j in range(4)]).astype(float)
+        runs = 1 + (kinds[:, 1:] != kinds[:, :-1]).sum(axis=1)
+        squares = (groups**2).sum(axis=0)
+        mean = n + 1 - squares / n
+        variance = (squares * (squares + n * (n + 1)) - 2 * n * (groups**3).sum(axis=0) - n**3) / (n * n * (n - 1))
+        varied = variance > 1e-9
+        p_runs = np.full(m, 1e-6)
+        p_runs[varied] = 2 * _normal_tails(np.abs(runs - mean)[varied] / np.sqrt(variance[varied]))
+        centred = x - x.mean(axis=1, keepdims=True)
+        power = (centred * centred).sum(axis=1)
+        lagged = (centred[:, 1:] * centred[:, :-1]).sum(axis=1)
+        serial = np.divide(lagged, power, out=np.ones(m), where=power > 0)
+        p_serial = 2 * _normal_tails(np.abs(serial + 1 / n) * math.sqrt(n))
+        joint = -sum(np.log(np.minimum(1.0, p)) for p in (p_chi, p_runs, p_serial))
+        out[rows] = (joint - np.log1p(joint + joint * joint / 2)) / math.log(10)
+    return out
+
+
 def length_class(length: int) -> int:
     return sum(length >= bound for bound in CLASSES) - 1
 
@@ -130,8 +176,8 @@ CANDIDATES = pa.list_(
 )
 
 
-def _scan(part: pa.Array) -> tuple[list, list, list, list]:
-    """Format spans, candidates, and one piece of prose (length class and bin) of every text."""
+def _scan(part: pa.Array) -> tuple[list, list, np.ndarray]:
+    """Format spans and candidates of every text; windows of prose per length class and bin of all."""
     data, rows = bytes_of(part)
     base: list[list] = [[] for _ in range(len(part))]
     strings: list[list] = [[] for _ in range(len(part))]
@@ -142,32 +188,39 @@ def _scan(part: pa.Array) -> tuple[list, list, list, list]:
     for row, start, end in zip(*long_runs(_HEX[data], rows, HEX_CHARS), strict=True):
         a = len(raw[row][: start - rows[row]].decode())
         base[row].append((a, 2, a + int(end - start)))
+    letters = _LETTER[data]
     for row, start, end in zip(*long_runs(_TOKEN[data], rows, CLASSES[0]), strict=True):
+        # What may be a secret is no prose.
+        letters[start:end] = False
         a, length = len(raw[row][: start - rows[row]].decode()), int(end - start)
         if not any(s < a + length and a < e for s, _, e in base[row]):
             strings[row].append((a, 3, a + length, length_class(length), _bin(disorder(data[start:end].tobytes()))))
-    prose_class, prose_bin = [], []
-    for text in raw:
-        # Letters of the text without what separates them, from a place that its content decides.
-        seed = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
-        number = seed % len(CLASSES)
-        cells = np.frombuffer(text, np.uint8)
-        letters = cells[_LETTER[cells]]
-        spare = len(letters) - CLASSES[number]
-        at = (seed >> 8) % (spare + 1) if spare >= 0 else 0
-        prose_class.append(number if spare >= 0 else None)
-        prose_bin.append(_bin(disorder(letters[at : at + CLASSES[number]].tobytes())) if spare >= 0 else None)
-    return [sorted(b) for b in base], strings, prose_class, prose_bin
+    # Letters of each text without what separates them, cut into windows of every length from its beginning.
+    prose = np.zeros((len(CLASSES), BINS), np.int64)
+    cells = data[letters]
+    first = np.concatenate([[0], np.cumsum(letters)])[rows]
+    for number, length in enumerate(CLASSES):
+        count = np.diff(first) // length
+        begin = np.repeat(first[:-1] - length * (np.cumsum(count) - count), count) + length * np.arange(count.sum())
+        for at in range(0, len(begin), WINDOW_STEP):
+            values = disorders(cells[begin[at : at + WINDOW_STEP, None] + np.arange(length)])
+            prose[number] += np.bincount(np.minimum(BINS - 1, (values / BIN).astype(np.int64)), minlength=BINS)
+    return [sorted(b) for b in base], strings, prose
+
+
+PROSE = pa.list_(pa.struct([("class", pa.int32()), ("bin", pa.int32()), ("n", pa.int64())]))
 
 
 def scan_texts(docs: DataFrame) -> DataFrame:
+    """Spans and candidates per row; ``prose`` of the first row of a piece counts the windows of the whole piece."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = 0
             for part in string_parts(batch.column(1)):
-                base, strings, prose_class, prose_bin = _scan(part)
+                base, strings, prose = _scan(part)
+                windows = [{"class": c, "bin": b, "n": prose[c, b]} for c, b in np.argwhere(prose).tolist()]
                 as_rows = [[dict(zip(("start", "kind", "end"), s, strict=True)) for s in b] for b in base]
                 names = ("start", "kind", "end", "class", "bin")
                 counts = [[sum(s[1] == number for s in b) for b in base] for number in range(3)]
@@ -179,16 +232,16 @@ def scan_texts(docs: DataFrame) -> DataFrame:
                         pa.array(digests),
                         pa.array(as_rows, SPANS),
                         pa.array([[dict(zip(names, s, strict=True)) for s in b] for b in strings], CANDIDATES),
-                        pa.array(prose_class, pa.int32()),
-                        pa.array(prose_bin, pa.int32()),
+                        pa.array([windows, *[None] * (len(part) - 1)], PROSE),
                     ],
-                    names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "base", "strings", "prose_class", "prose_bin"],
+                    names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "base", "strings", "prose"],
                 )
                 row += len(part)
 
     schema = f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string,"
     schema += " base array<struct<start:long,kind:int,end:long>>,"
-    schema += " strings array<struct<start:long,kind:int,end:long,class:int,bin:int>>, prose_class int, prose_bin int"
+    schema += " strings array<struct<start:long,kind:int,end:long,class:int,bin:int>>,"
+    schema += " prose array<struct<class:int,bin:int,n:long>>"
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))).mapInArrow(run, schema)
 
 
@@ -213,11 +266,11 @@ def find_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     """
     staging = Staging(docs.sparkSession, "secrets")
     found = staging.keep(scan_texts(docs), "scanned")
-    strings = found.select(F.explode("strings").alias("s")).select(F.lit(0).alias("what"), "s.class", "s.bin")
-    prose = found.where("prose_class is not null").select(F.lit(1), F.col("prose_class"), F.col("prose_bin"))
+    strings = found.select(F.explode("strings").alias("s")).select(F.lit(0).alias("what"), "s.class", "s.bin", F.lit(1).cast("long").alias("n"))
+    prose = found.select(F.explode("prose").alias("s")).select(F.lit(1), "s.class", "s.bin", "s.n")
     counts = np.zeros((2, len(CLASSES), BINS), np.int64)
     # At most 2 x classes x bins rows, whatever the input.
-    for what, number, bin_, n in strings.union(prose).groupBy("what", "class", "bin").count().collect():
+    for what, number, bin_, n in strings.union(prose).groupBy("what", "class", "bin").agg(F.sum("n")).collect():
         counts[what, number, bin_] = n
     bounds = F.array(*[F.lit(b) for b in discovery_bounds(counts[0], counts[1], rate)])
     random = F.filter("strings", lambda s: s["bin"] <= F.element_at(bounds, s["class"] + 1))

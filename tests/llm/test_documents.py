@@ -254,6 +254,26 @@ def test_secrets(texts):
     assert find_secrets(texts([])).collect() == []
 
 
+def test_disorder_of_many_windows():
+    rng = np.random.default_rng(2)
+    for alphabet in (b"abcdef", b"ABCDEFGH", b"abcxyz", b"aB", b"QRSTUVWXYZabcdefghijk", b"a", b"z09AF+/"):
+        for length in secrets.CLASSES:
+            windows = rng.choice(np.frombuffer(alphabet, np.uint8), (20, length))
+            assert np.allclose(secrets.disorders(windows), [secrets.disorder(w.tobytes()) for w in windows])
+
+
+def test_random_keys_of_a_small_table(texts):
+    rng = random.Random(4)
+    prose = ["under", "the", "information", "house", "reading", "of", "water", "and", "little", "mountain", "is"]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = []
+    for i in range(60):
+        key = ["".join(rng.choice(letters) for _ in range(64))] if i < 3 else []
+        rows.append((i, " ".join([rng.choice(prose) for _ in range(300)] + key + ["end"])))
+    found = {r.doc_id: r.n_random for r in find_secrets(texts(rows)).collect()}
+    assert found == {i: int(i < 3) for i in range(60)}
+
+
 # --- token counts ------------------------------------------------------------------------
 
 
