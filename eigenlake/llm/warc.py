@@ -132,6 +132,18 @@ def parse_records(data: memoryview) -> Iterator[tuple[dict[str, str], memoryview
         at = end + 4
 
 
+def head_end(block: memoryview) -> int:
+    """Where the body of an HTTP message begins."""
+    step = 4096
+    while True:
+        stop = bytes(block[:step]).find(b"\r\n\r\n")
+        if stop >= 0:
+            return stop + 4
+        if step >= len(block):
+            raise ValueError("no end of the HTTP headers in a block")
+        step *= 2
+
+
 RECORD = (
     "kind string, record_id string, capture string, uri string, refers_to string, digest string,"
     " fields map<string,string>, payload_digest string, payload_bytes long"
@@ -151,8 +163,7 @@ def read_records(spark: SparkSession, path: str, payload: bool = False) -> DataF
                 for headers, block in parse_records(memoryview(content.as_buffer())):
                     kind, body, fields = headers["warc-type"], None, None
                     if kind in ("response", "revisit"):
-                        head = bytes(block[:65536]).find(b"\r\n\r\n")
-                        body = block[head + 4 :]
+                        body = block[head_end(block) :]
                     elif kind == "metadata":
                         pairs = (line.partition(":") for line in bytes(block).decode().split("\r\n") if line)
                         fields = [(name.strip(), value.strip()) for name, _, value in pairs]

@@ -116,3 +116,19 @@ def test_files_and_nested_rows(spark, tmp_path):
 
 def test_no_pages(spark, tmp_path):
     assert page_digests(spark.createDataFrame([], SCHEMA), str(tmp_path / "none")).collect() == []
+
+
+def test_long_http_heads(spark, tmp_path):
+    body = b"the body\r\n\r\nof it"
+
+    def archive(name, block):
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:1>\r\nContent-Length: {len(block)}\r\n\r\n"
+        path = tmp_path / name
+        path.mkdir()
+        (path / "part-0").write_bytes(head.encode() + block + b"\r\n\r\n")
+        return read_records(spark, str(path))
+
+    found = archive("long", b"HTTP/1.1 200 OK\r\nX-Long: " + b"x" * 70_000 + b"\r\n\r\n" + body).collect()
+    assert [(r.payload_bytes, r.payload_digest) for r in found] == [(len(body), sha256(body).hexdigest())]
+    with pytest.raises(Exception, match="no end of the HTTP headers"):
+        archive("none", b"HTTP/1.1 200 OK\r\n").collect()
