@@ -143,18 +143,23 @@ def class_label(df: DataFrame, group: str) -> DataFrame:
     return df.withColumn(CLASS_COLUMN, F.coalesce(F.col(f"`{group}`").cast("string"), F.lit("<missing>")))
 
 
-# More classes than this make no cluster count: their centres go to every task.
+# More classes than this are refused: their centres go to every task.
 MAX_CLASSES = 1_000
 
 
 def separable_classes(df: DataFrame, group: str, *, rows: int, train_rows: int, width: int) -> tuple[DataFrame, int] | None:
     """Class counts and their number, or None when separability cannot be measured: the
-    column is absent, has fewer than two or over ``MAX_CLASSES`` classes, or the training data is too small."""
+    column is absent, has fewer than two classes, or the training data is too small. More than ``MAX_CLASSES``
+    classes are an error."""
     if group not in df.columns or min(train_rows, width) < 2:
         return None
     counts = class_counts(df, group)
     classes = counts.count()
-    return (counts, classes) if 2 <= classes <= min(MAX_CLASSES, rows - 1) else None
+    if not 2 <= classes <= rows - 1:
+        return None
+    if classes > MAX_CLASSES:
+        raise ValueError(f"column {group} has {classes} classes; separability takes {MAX_CLASSES} at most")
+    return counts, classes
 
 
 def separability(

@@ -234,3 +234,10 @@ def test_rare_clusters_are_found_from_all_rows(matrix_frame):
     for seed in (1, 2):
         model = kmeans.fit_kmeans(matrix_frame(x, partitions=4), "row_id", ks=[5], n_init=5, seed=seed)[5]
         assert model.inertia <= 1.02 * given
+
+
+def test_too_many_classes_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "MAX_CLASSES", 3)
+    df = spark.createDataFrame([(i, str(i % 4)) for i in range(12)], "row_id long, kind string")
+    with pytest.raises(ValueError, match="4 classes"):
+        clustering.separable_classes(df, "kind", rows=12, train_rows=9, width=2)
