@@ -11,21 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eigenlake.session import shared_folder
 
+# The folder of local sessions that name none, made once and deleted with the process.
+_local: list[str] = []
+
 
 def folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` if the cluster names one.
 
     Unset, a local session (tests) gets a temporary folder that goes with the process, and any
-    other session the warehouse, which executors share as well.
+    other session the warehouse, which executors share as well. No setting is changed.
     """
     named = shared_folder(spark)
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local["):
-        named = tempfile.mkdtemp(prefix="eigenlake-")
-        atexit.register(shutil.rmtree, named, True)
-        spark.conf.set("spark.checkpoint.dir", named)
-        return named
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="eigenlake-"))
+            atexit.register(shutil.rmtree, _local[0], True)
+        return f"file://{_local[0]}"
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
