@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eigenlake.llm.conversation_repair import damaged, repair_report
 from eigenlake.llm.decontaminate import contaminated
 from eigenlake.llm.embedding_dedup import near_vectors
+from eigenlake.llm.exact_dedup import exact_groups
 from eigenlake.llm.html_text import extract_text
 from eigenlake.llm.line_dedup import repeated_lines
 from eigenlake.llm.minhash_dedup import near_duplicates
@@ -145,3 +147,69 @@ def op3_secrets(spark, sf_dir):
 @query("op1_token_counts")
 def op1_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_exact_duplicates",
+    """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+)
+def op11_exact_duplicates(spark, sf_dir):
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+# Damage by CRC-32 of the key, then the cheapest way through rows x what has been accepted, step by step.
+REPAIR_SQL = r"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(4294967295, list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':'
+                || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT),
+            lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END),
+                xor(crc, b)), 4294967295)) % 20 AS kind FROM conversations),
+    d AS (SELECT conv_id, turn, copy, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM k, (VALUES (0), (1)) AS c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+    n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending, left(role, 1) AS initial FROM d),
+    f AS (SELECT *, lag(initial) OVER w || initial AS neighbours,
+        CASE WHEN ending = '' THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 3
+            WHEN ending NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault
+        FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
+    -- States: 0 nothing, 1 a system turn, 2 a turn of the user, 3 a whole pair.
+    nodes AS (SELECT DISTINCT conv_id, 0::BIGINT AS n, 0 AS state,
+            {'cost': 0::BIGINT, 'audit': '', 'turns': []::VARCHAR[]} AS best FROM f
+        UNION ALL
+        SELECT conv_id, n, state, min(best) FROM (
+            SELECT f.conv_id, f.n, e.state, {'cost': (m.cost + e.price + CASE e.edit WHEN 'D' THEN 0 ELSE fault END)::BIGINT,
+                'audit': m.audit || e.edit, 'turns': CASE e.edit WHEN 'D' THEN m.turns
+                    WHEN 'K' THEN list_append(m.turns, role || ':' || text)
+                    ELSE list_append(m.turns, CASE m.state WHEN 2 THEN 'assistant:' ELSE 'user:' END || text) END} AS best
+            FROM (SELECT conv_id, n, state, best.cost AS cost, best.audit AS audit, best.turns AS turns FROM nodes
+                UNION ALL
+                SELECT conv_id, n, CASE state WHEN 2 THEN 3 ELSE 2 END, best.cost + 2, best.audit || 'I',
+                    list_append(best.turns, CASE state WHEN 2 THEN 'assistant:' ELSE 'user:' END) FROM nodes) AS m
+            JOIN f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.n = m.n + 1,
+            LATERAL (SELECT unnest([{'edit': 'D', 'price': 3, 'state': m.state},
+                {'edit': 'R', 'price': 2, 'state': CASE m.state WHEN 2 THEN 3 ELSE 2 END},
+                {'edit': 'K', 'price': 0, 'state': CASE WHEN initial = 's' THEN 1 WHEN m.state = 2 THEN 3 ELSE 2 END}],
+                recursive := true)) AS e
+            WHERE e.edit = 'D' OR fault < 2 AND (e.edit = 'R' OR initial = CASE m.state WHEN 2 THEN 'a' ELSE 'u' END
+                OR initial = 's' AND m.state = 0))
+        GROUP BY conv_id, n, state),
+    totals AS (SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 2) AS blank, count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+        count(*) FILTER (neighbours NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+    ends AS (SELECT t.conv_id, min(CASE state WHEN 0 THEN best WHEN 3 THEN best
+            WHEN 2 THEN {'cost': best.cost + 2, 'audit': best.audit || 'I', 'turns': list_append(best.turns, 'assistant:')}
+            ELSE {'cost': best.cost + 4, 'audit': best.audit || 'II', 'turns': best.turns || ['user:', 'assistant:']} END) AS best
+        FROM totals t JOIN nodes ON nodes.conv_id IS NOT DISTINCT FROM t.conv_id AND nodes.n = t.n GROUP BY t.conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+        coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.turns, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+    LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def op13_conversation_repair(spark, sf_dir):
+    return repair_report(damaged(table(spark, sf_dir, "conversations")))
