@@ -11,6 +11,7 @@ from eigenlake.llm.decontaminate import contaminated
 from eigenlake.llm.embedding_dedup import near_vectors
 from eigenlake.llm.exact_dedup import exact_groups
 from eigenlake.llm.html_text import extract_text
+from eigenlake.llm.lexical_search import search
 from eigenlake.llm.line_dedup import repeated_lines
 from eigenlake.llm.minhash_dedup import near_duplicates
 from eigenlake.llm.mixing import mix
@@ -159,6 +160,30 @@ def op11_exact_duplicates(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+# Terms of a text column in DuckDB, with A-Z lower-cased.
+def terms_sql(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"unnest(regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+
+
+@query(
+    "op12_ranked_search",
+    f"""WITH t AS (SELECT doc_id, {terms_sql('text')} AS term FROM documents),
+    q AS (SELECT item_id, term, count(*) AS repeats
+        FROM (SELECT item_id, {terms_sql('text')} AS term FROM benchmark) GROUP BY 1, 2),
+    total AS (SELECT count(DISTINCT doc_id) AS n, count(*) AS length FROM t),
+    d AS (SELECT doc_id, 25 + (75 * count(*) * any_value(total.n)) // any_value(total.length) AS m FROM t, total GROUP BY 1),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+    w AS (SELECT term, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, total GROUP BY 1),
+    s AS (SELECT item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM q JOIN f USING (term) JOIN w USING (term) JOIN d USING (doc_id) GROUP BY 1, 2)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 10""",
+)
+def op12_ranked_search(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # Damage by CRC-32 of the key, then the cheapest way through rows x what has been accepted, step by step.
 REPAIR_SQL = r"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
         xor(4294967295, list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':'

@@ -107,9 +107,12 @@ class Words:
         return np.diff(self.first)
 
 
-def word_spans(data: np.ndarray, rows: np.ndarray, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Byte spans of the words; a word ends with its text."""
-    inside = ~(_PLAIN_SPACE if plain else _SPACE)[data]
+def word_spans(
+    data: np.ndarray, rows: np.ndarray, plain: bool = False, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Byte spans of the words, or of the runs of ``inside``; a word ends with its text."""
+    if inside is None:
+        inside = ~(_PLAIN_SPACE if plain else _SPACE)[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
