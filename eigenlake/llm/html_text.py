@@ -3,8 +3,9 @@
 The text of a page is cut into blocks, each under the path of tags that leads to it. Text
 length, punctuation and link share are summed up per path and page and fused into one ratio (after Wu
 et al., "Web news extraction via path ratios", 2013), which is smoothed over neighbouring
-blocks in page order; blocks over a share of the page's mean ratio are its content. Inside an element that
-the markup names as content a block counts with the whole element, less its own link share.
+blocks in page order; blocks over a share of the page's mean ratio are its content. A list or table counts as one
+block with all its text. Inside an element that the markup names as content a block counts with the whole element, unless it
+is an entry of a menu of links.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -23,6 +25,12 @@ from eigenlake.llm.text import string_parts
 KEPT_SHARE = 0.15
 # Factor of paths through an element that the markup itself names as content.
 NAMED_CONTENT = 4.0
+# Elements in a path at most.
+DEPTH = 256
+# A named part that holds this share of the page's text is no side matter, whatever its name.
+MAIN_SHARE = 0.5
+# So many blocks of one path or list that are nothing but links make a menu.
+MENU_LINKS, LINK_SHARE = 8, 0.9
 # Weights of a block and its neighbours, nearest first.
 SMOOTHING = (1.0, 0.6, 0.14)
 
@@ -34,7 +42,8 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-PARTS = re.compile(r"[a-z]+|[^a-z\s]+")
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+HEADING = re.compile(r"/h[1-6](?:\.[^/]*)?$")
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
 
 # Elements whose content is no text of the page.
@@ -42,9 +51,10 @@ RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe",
 # Elements that hold no article text.
 APART = {
     "nav", "footer", "aside", "form", "button", "select", "option", "datalist", "dialog", "menu", "head",
-    "svg", "math", "canvas", "audio", "video", "object", "fieldset", "label", "input",
+    "svg", "canvas", "audio", "video", "object", "fieldset", "label", "input",
 }
-# Words of class, id and role that name such parts.
+# Classes, ids and roles that name such parts, as a whole or by their last word (cookie-notice). Where another word of
+# a name is one of these (ad-slot), the part's share of the text decides.
 APART_NAMES = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promotion", "banner",
     "cookie", "cookies", "consent", "gdpr", "notice", "alert", "notification", "popup", "modal", "overlay",
@@ -53,7 +63,15 @@ APART_NAMES = {
     "navigation", "footer", "comment", "comments", "reply", "replies", "respond", "disqus", "widget", "pagination",
     "pager", "toolbar", "search", "masthead", "topbar", "skip", "contentinfo", "complementary", "dialog",
 }
+# Of these, the ones for parts where readers write.
+READERS = {"comment", "comments", "reply", "replies", "respond", "disqus"}
+# First and last words that turn a name's meaning round (no-sidebar, comment-enabled, ad-free).
+TURNING_FIRST = {"no", "non", "not", "without", "has", "with"}
+TURNING_LAST = {"free", "enabled", "disabled", "allowed", "open", "closed", "off"}
 CONTENT = {"article", "main"}
+# Lists and tables, and what makes a table part of the layout when it stands inside.
+UNITS = {"ul", "ol", "dl", "table"}
+LAYOUT = {"p", "div", "section", "table", "h1", "h2", "h3", "h4", "h5", "h6"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
     "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
@@ -72,13 +90,56 @@ ENDS = {
 }
 
 
+def naming(names: list[str]) -> tuple[bool, bool, bool]:
+    """Whether class, id and role name a side part for certain, perhaps, and one of readers."""
+    certain = perhaps = readers = False
+    for name in " ".join(names).split():
+        words = [part.lower() for part in PARTS.findall(name)]
+        if not words or words[0] in TURNING_FIRST or words[-1] in TURNING_LAST:
+            continue
+        hits = APART_NAMES.intersection(words)
+        last = words[-1] in hits or name.lower() in APART_NAMES
+        certain, perhaps, readers = certain or last, perhaps or bool(hits), readers or bool(hits & READERS)
+    return certain, perhaps, readers
+
+
+class Element(NamedTuple):
+    """An open element: its path, and what holds for the text inside."""
+
+    name: str
+    path: str
+    # Side matter for certain; side matter where readers write.
+    apart: bool
+    readers: bool
+    # Path of the content element around, number of the list or table and of the part that its size judges (or -1).
+    content: str
+    unit: int
+    part: int
+
+
+class Block(NamedTuple):
+    path: str
+    text: str
+    # Characters in links.
+    linked: int
+    content: str
+    unit: int
+    part: int
+    apart: bool
+
+
+ROOT = Element("", "", False, False, "", -1, -1)
+
+
 class Page:
-    """Blocks of a page in order: ``(path, text, characters in links, path of the content element or "")``."""
+    """Blocks of a page in order; those of certain side matter only if they stand in an article or main element."""
 
     def __init__(self, source: str) -> None:
-        self.blocks: list[tuple[str, str, int, str]] = []
-        # Open elements: name, path up to here, whether apart from the article, path of the content element around.
-        self.open: list[tuple[str, str, bool, str]] = []
+        self.blocks: list[Block] = []
+        self.open: list[Element] = []
+        # The part around each part; whether a list or table is layout.
+        self.parts: list[int] = []
+        self.layout: list[bool] = []
         self.links, self.text, self.linked = 0, [], 0
         at = 0
         while True:
@@ -101,8 +162,13 @@ class Page:
             self.start(name, rest)
         self.flush()
 
+    @property
+    def here(self) -> Element:
+        return self.open[-1] if self.open else ROOT
+
     def add(self, raw: str) -> None:
-        if raw and not (self.open and self.open[-1][2]):
+        here = self.here
+        if raw and not (here.apart and (here.readers or not here.content)):
             text = html.unescape(raw) if "&" in raw else raw
             self.text.append(text)
             if self.links:
@@ -111,8 +177,8 @@ class Page:
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            name, path, _, content = self.open[-1] if self.open else ("", "", False, "")
-            self.blocks.append((path, text, self.linked, content))
+            here = self.here
+            self.blocks.append(Block(here.path, text, self.linked, here.content, here.unit, here.part, here.apart))
         self.text, self.linked = [], 0
 
     def start(self, name: str, rest: str) -> None:
@@ -129,83 +195,132 @@ class Page:
         if name in ENDS:
             ended, limits = ENDS[name]
             for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] in limits:
+                if self.open[i].name in limits:
                     break
-                if self.open[i][0] in ended:
+                if self.open[i].name in ended:
                     del self.open[i:]
-        elif self.open and self.open[-1][0] == "p":
+        elif self.open and self.open[-1].name == "p":
             self.open.pop()
-        _, path, apart, content = self.open[-1] if self.open else ("", "", False, "")
+        around = self.here
         names = [a or b or c for a, b, c in NAMED.findall(rest)] if rest else []
-        words = set(PARTS.findall(" ".join(names).lower()))
-        apart = apart or name in APART or bool(words & APART_NAMES and name not in ("html", "body"))
+        certain, perhaps, readers = naming(names) if names and name not in ("html", "body") else (False, False, False)
         # A header outside the article is the site's; an article inside another is a comment on it.
-        apart = apart or (name == "header" and not content) or (name == "article" and "/article" in path)
-        label = f"{path}/{name}" + (f".{' '.join(names)}" if names else "")
-        self.open.append((name, label, apart, label if name in CONTENT else content))
+        comment = name == "article" and "/article" in around.path
+        apart = around.apart or name in APART or certain or comment or (name == "header" and not around.content)
+        part = around.part
+        if perhaps and not apart:
+            self.parts.append(part)
+            part = len(self.parts) - 1
+        unit = around.unit
+        if unit >= 0 and name in LAYOUT:
+            self.layout[unit] = True
+        if name in UNITS and (unit < 0 or self.layout[unit]):
+            self.layout.append(False)
+            unit = len(self.layout) - 1
+        # Paths end at a depth that no article reaches, so that their lengths stay bounded.
+        label = f"{around.path}/{name}" + (f".{' '.join(names)}" if names else "") if len(self.open) < DEPTH else around.path
+        content = label if name in CONTENT else around.content
+        self.open.append(Element(name, label, apart, around.readers or readers or comment, content, unit, part))
 
     def close(self, name: str) -> None:
         if name in INLINE:
             self.links = max(0, self.links - (name == "a"))
             return
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == name:
+            if self.open[i].name == name:
                 self.flush()
                 self.links = 0
                 del self.open[i:]
                 return
 
 
-def path_ratios(blocks: list[tuple[str, str, int, str]]) -> tuple[list[float], list[float]]:
-    """Fused ratio of each block's path, and of its content element (0 without one).
+def article_blocks(page: Page) -> list[Block]:
+    """The blocks that no name or element marks as side matter.
 
-    Logs of text and of punctuation per block, times the unlinked share of the path.
+    An article or main element inside side matter (an unclosed menu, a form around the page) counts if there is
+    no other and most of the text is in it; a part with a doubtful name stays if most of the text is.
     """
-    sums: dict[str, list[float]] = {}
+    free = [b for b in page.blocks if not b.apart]
+    size = sum(len(b.text) for b in free)
+    if not any(b.content for b in free):
+        inside = sum(len(b.text) for b in page.blocks) - size
+        if inside > size:
+            free, size = page.blocks, size + inside
+    held = [0] * len(page.parts)
+    for block in free:
+        part = block.part
+        while part >= 0:
+            held[part] += len(block.text)
+            part = page.parts[part]
+    small = [h < MAIN_SHARE * size for h in held]
+    for i, around in enumerate(page.parts):
+        small[i] = small[i] or (around >= 0 and small[around])
+    return [b for b in free if b.part < 0 or not small[b.part]]
+
+
+def _ratio(size: int, marks: int, count: int, linked: int) -> float:
+    """Logs of text and of punctuation per block, times the unlinked share."""
+    return math.log1p(size / count) * (1 + math.log1p(marks / count)) * (1 - linked / size)
+
+
+def path_ratios(blocks: list[Block], layout: list[bool]) -> tuple[list[object], dict, dict[str, float]]:
+    """The group of every block (its path, or its list or table), and the fused ratio of every group and content element."""
+    sums: dict[object, list[float]] = {}
     whole: dict[str, list[int]] = {}
-    for path, text, linked, content in blocks:
-        entry = sums.setdefault(path, [0, 0, 0, 0, NAMED_CONTENT if content else 1.0])
-        entry[0] += len(text)
-        entry[1] += len(PUNCTUATION.findall(text))
-        entry[2] += min(linked, len(text))
+    keys: list[object] = []
+    for block in blocks:
+        # A list or table is one block of the text of all its entries.
+        key = block.unit if block.unit >= 0 and not layout[block.unit] else block.path
+        keys.append(key)
+        marks, linked = len(PUNCTUATION.findall(block.text)), min(block.linked, len(block.text))
+        entry = sums.setdefault(key, [0, 0, 0, 0, 0, NAMED_CONTENT if block.content else 1.0])
+        entry[0] += len(block.text)
+        entry[1] += marks
+        entry[2] += linked
         entry[3] += 1
-        if content:
-            entry = whole.setdefault(content, [0, 0, 0])
-            entry[0] += len(text)
-            entry[1] += len(PUNCTUATION.findall(text))
+        entry[4] += linked >= LINK_SHARE * len(block.text)
+        if block.content:
+            entry = whole.setdefault(block.content, [0, 0, 0])
+            entry[0] += len(block.text)
+            entry[1] += marks
             entry[2] += 1
-    fused = {
-        path: math.log1p(size / count) * (1 + math.log1p(marks / count)) * (1 - linked / size) * factor
-        for path, (size, marks, linked, count, factor) in sums.items()
-    }
-    named = {
-        path: NAMED_CONTENT * math.log1p(size / count) * (1 + math.log1p(marks / count))
-        for path, (size, marks, count) in whole.items()
-    }
-    free = {path: 1 - linked / size for path, (size, _, linked, *_) in sums.items()}
-    return [fused[b[0]] for b in blocks], [named[b[3]] * free[b[0]] if b[3] else 0.0 for b in blocks]
+    fused = {}
+    for key, (size, marks, linked, count, links, factor) in sums.items():
+        menu = links >= MENU_LINKS and linked >= LINK_SHARE * size and not (isinstance(key, str) and HEADING.search(key))
+        fused[key] = (factor * _ratio(size, marks, 1 if isinstance(key, int) else count, linked), menu)
+    return keys, fused, {path: NAMED_CONTENT * _ratio(*entry, 0) for path, entry in whole.items()}
 
 
 def main_text(source: str | None) -> str:
     """Article text of a page: white space in a block is one space, blocks are joined by one."""
-    blocks = Page(source).blocks if source else []
+    page = Page(source) if source else None
+    blocks = article_blocks(page) if page else []
     if not blocks:
         return ""
-    raw, named = path_ratios(blocks)
+    keys, fused, named = path_ratios(blocks, page.layout)
+    # Neighbours are blocks or whole lists and tables.
+    first = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1] or isinstance(keys[i], str)]
+    spans = list(zip(first, [*first[1:], len(keys)], strict=True))
+    raw = [fused[keys[a]][0] for a, _ in spans]
     smooth = []
     for i in range(len(raw)):
         total = weight = 0.0
         for gap, share in enumerate(SMOOTHING):
             for j in {i - gap, i + gap}:
-                if 0 <= j < len(raw):
+                # Text outside a content element is no neighbour of what is inside.
+                if 0 <= j < len(raw) and blocks[spans[j][0]].content == blocks[spans[i][0]].content:
                     total += share * raw[j]
                     weight += share
         smooth.append(total / weight)
-    size = sum(len(block[1]) for block in blocks)
-    bound = KEPT_SHARE * sum(s * len(block[1]) for s, block in zip(smooth, blocks, strict=True)) / size
-    # Smoothing lifts short content blocks; it must not lift blocks of a path made of links.
-    kept = [n >= bound or (s >= bound and r > 0.02 * bound) for s, r, n in zip(smooth, raw, named, strict=True)]
-    return " ".join(block[1] for block, stays in zip(blocks, kept, strict=True) if stays)
+    sizes = [sum(len(b.text) for b in blocks[a:b]) for a, b in spans]
+    bound = KEPT_SHARE * sum(s * size for s, size in zip(smooth, sizes, strict=True)) / sum(sizes)
+    kept = []
+    for (a, b), r, s in zip(spans, raw, smooth, strict=True):
+        content, menu = blocks[a].content, fused[keys[a]][1]
+        # Smoothing lifts short content blocks; it must not lift blocks of a path made of links.
+        if (content and named[content] >= bound and not menu) or (s >= bound and r > 0.02 * bound):
+            kept += blocks[a:b]
+    return " ".join(block.text for block in kept)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

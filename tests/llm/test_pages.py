@@ -49,6 +49,73 @@ def test_short_blocks_inside_content_stay(root):
     assert found.endswith(" ".join(want[1:])) and "Other 5" not in found and "Home" not in found
 
 
+PROSE = [f"Paragraph {i}, " + "with words, and more of them; " * 12 + "end." for i in range(6)]
+SITE = "<header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav>{}<footer>All rights reserved, 2020.</footer>"
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{text}</p>" for text in texts)
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [
+        ('<article class="search widget">', "</article>"),
+        ('<main class="ad-free">', "</main>"),
+        ('<main><div class="post comment-enabled">', "</div></main>"),
+        ('<div class="page no-sidebar" id="SearchContent">', "</div>"),
+        ('<form id="aspnetForm"><main>', "</main></form>"),
+        ("<nav><ul><li><a href=/>Unclosed</a></li></ul><article>", "</article>"),
+        ('<div class="widget"><article>', "</article></div>"),
+        ('<div class="ad-layout-page">', "</div>"),
+        ("<table><tr><td>", "</table>"),
+    ],
+)
+def test_names_do_not_cost_an_article(opening, closing):
+    found = main_text(f"<html><body class=search>{SITE.format(opening + paragraphs(PROSE) + closing)}</body></html>")
+    assert found == " ".join(PROSE)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="cookie-notice">{}</div>', '<div class="ad-slot">{}</div>', '<section id="reader-comments">{}</section>', "<aside>{}</aside>",
+        '<div class="comments"><article class="comment">{}</article></div>', '<article class="comment">{}</article>', '<div id=shareButtons>{}</div>',
+        '<div role="complementary">{}</div>', '<section class="related posts"><article>{}</article></section>', '<form class="x">{}</form>',
+    ],
+)
+def test_side_parts_go(part):
+    side = part.format("<p>We use this, as you know, for some things; please accept all.</p>" * 2)
+    for opening, closing in (("<article>", "</article>"), ("<div id=main>", "</div>")):
+        inside = opening + paragraphs(PROSE[:3]) + side + paragraphs(PROSE[3:]) + closing
+        after = opening + paragraphs(PROSE) + closing + side
+        for body in (inside, after):
+            assert main_text(f"<html><body>{SITE.format(body)}</body></html>") == " ".join(PROSE), (body, opening)
+
+
+def test_links_and_formulas_inside_an_article_stay():
+    links = "".join(f"<li><a href=/{i}>Source {i}</a>" for i in range(4))
+    body = f"<h2><a href=#a>A linked heading</a></h2><p>{PROSE[0]}</p><math><mi>x</mi><mo>+</mo><mn>1</mn></math><p>{PROSE[1]}</p><ul>{links}</ul><p>{PROSE[2]}</p>"
+    found = main_text(f"<html><body>{SITE.format('<article>' + body + '</article>')}</body></html>")
+    assert found == " ".join(["A linked heading", PROSE[0], "x + 1", PROSE[1], *[f"Source {i}" for i in range(4)], PROSE[2]])
+
+
+def test_lists_and_tables_without_an_article_stay():
+    table = "<table>" + "".join(f"<tr><th>row {i}<td>{i} g" for i in range(10)) + "</table>"
+    items = "<ul>" + "".join(f"<li>thing {i}" for i in range(5)) + "</ul>"
+    menu = "<ul class=more>" + "".join(f"<li><a href=/{i}>Other page {i}</a>" for i in range(9)) + "</ul>"
+    body = f"<div id=story><p>{PROSE[0]}</p>{table}<p>{PROSE[1]}</p>{items}<p>{PROSE[2]}</p>{menu}</div>"
+    want = [PROSE[0], *[t for i in range(10) for t in (f"row {i}", f"{i} g")], PROSE[1], *[f"thing {i}" for i in range(5)], PROSE[2]]
+    assert main_text(f"<html><body>{SITE.format(body)}</body></html>") == " ".join(want)
+
+
+def test_very_long_page():
+    text = [f"Block {i}, of many; it goes on, as others do." for i in range(60_000)]
+    assert main_text(f"<body><article>{paragraphs(text)}</article></body>") == " ".join(text)
+    assert main_text(f"<body><article><p>{'word, ' * 500_000}</article></body>") == " ".join(["word,"] * 500_000)
+    assert main_text("<div>" * 50_000 + "deep" + "</div>" * 50_000) in ("", "deep")
+
+
 @pytest.mark.parametrize("source", [None, "", "<p>", "<script>x", "<!-- x", "<div", "<a b='", "&", "<nav>x</nav>"])
 def test_broken_pages(source):
     assert isinstance(main_text(source), str)
