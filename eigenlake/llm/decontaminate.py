@@ -1,7 +1,8 @@
 """Benchmark items inside documents: SimHash of item-sized windows, found by multi-index Hamming blocks.
 
 Every item has a 64-bit SimHash of its weighted five-word shingles, and so has every window of
-a document that is as long as some item. Two prints within ``RADIUS`` bits differ by at most
+a document that is as long as some item. An item of fewer words is one shingle, met by equal runs of as many
+words anywhere. Two prints within ``RADIUS`` bits differ by at most
 ``RADIUS // BLOCKS`` bits in at least one of ``BLOCKS`` bytes, so looking up bytes within that
 distance finds them all. Candidates are confirmed by the exact weighted similarity.
 """
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from eigenlake.llm.rows import filter_by_text
-from eigenlake.llm.text import SHINGLE_WORDS, SpanHasher, shingles, string_parts, words
+from eigenlake.llm.text import SHINGLE_WORDS, SpanHasher, Words, shingles, string_parts, words
 
 BLOCKS = 8
 # Similarity 0.8 changes 9.7 bits of 64 on average, with a deviation of 2.9.
@@ -69,6 +70,8 @@ class ItemIndex:
     first: np.ndarray
     sizes: np.ndarray
     sized: list[Sized]
+    # Items of fewer words than a shingle: by number of words, their sorted shingles and item numbers.
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @staticmethod
     def build(texts: pa.Array) -> ItemIndex:
@@ -76,11 +79,22 @@ class ItemIndex:
         for part in string_parts(texts):
             found = words(part, hasher, plain=True)
             hashes, first = shingles(found)
-            bags += [hashes[first[i] : first[i + 1]] for i in range(len(part))]
-            widths += found.counts.tolist()
+            for i, width in enumerate(found.counts.tolist()):
+                own = hashes[first[i] : first[i + 1]]
+                if 0 < width < SHINGLE_WORDS:
+                    runs, at = shingles(found, width)
+                    own = runs[at[i] : at[i + 1]]
+                bags.append(own)
+                widths.append(width)
         widths = np.array(widths, np.int64)
-        sized = []
-        for width in np.unique(widths[widths > 0]):
+        sized, short = [], {}
+        for width in range(1, SHINGLE_WORDS):
+            number = np.flatnonzero(widths == width)
+            if len(number):
+                own = np.concatenate([bags[i] for i in number])
+                order = np.argsort(own, kind="stable")
+                short[width] = own[order], number[order]
+        for width in np.unique(widths[widths >= SHINGLE_WORDS]):
             number = np.flatnonzero(widths == width)
             own = [bags[i] for i in number]
             each = np.full(len(own), len(own[0]))
@@ -93,27 +107,43 @@ class ItemIndex:
         gate, first = np.unique(pairs[0], return_index=True)
         bitmap = np.zeros(1 << GATE_BITS, bool)
         bitmap[(gate >> np.uint64(64 - GATE_BITS)).astype(np.int64)] = True
-        return ItemIndex(gate, bitmap, np.concatenate([first, [pairs.shape[1]]]), pairs[1].astype(np.int64), sized)
+        return ItemIndex(gate, bitmap, np.concatenate([first, [pairs.shape[1]]]), pairs[1].astype(np.int64), sized, short)
 
     def matches(self, part: pa.Array, hasher: SpanHasher, percent: int) -> list[tuple[int, int, float, int, int, int]]:
         """``row, item, similarity, first word, words, differing bits`` of the best window per row and item."""
         found = words(part, hasher, plain=True)
         hashes, first = shingles(found)
         # A window without a shingle of an item of its size can't reach any similarity.
+        out = [m for width in self.short for m in self._runs(found, width)]
         hit = np.flatnonzero(self.bitmap[(hashes >> np.uint64(64 - GATE_BITS)).astype(np.int64)])
         if not len(hit):
-            return []
+            return out
         at = np.minimum(np.searchsorted(self.gate, hashes[hit]), len(self.gate) - 1)
         same = self.gate[at] == hashes[hit]
         hit, at = hit[same], at[same]
         row = np.searchsorted(first, hit, "right") - 1
-        out = []
         for i in np.unique(row).tolist():
             chosen = row == i
             own = hashes[first[i] : first[i + 1]]
             out += [(i, *m) for m in self._row(own, int(found.counts[i]), hit[chosen] - first[i], at[chosen], percent)]
         return out
 
+    def _runs(self, found: Words, width: int) -> Iterator[tuple[int, int, float, int, int, int]]:
+        """The first equal run of every row and item of ``width`` words, fewer than a shingle has."""
+        wanted, number = self.short[width]
+        runs, first = shingles(found, width)
+        # A text of fewer words is a run of its own length and equals none of this one.
+        runs = np.where(np.repeat(found.counts >= width, np.diff(first)), runs, np.uint64(0))
+        low, high = np.searchsorted(wanted, runs), np.searchsorted(wanted, runs, "right")
+        hit = np.flatnonzero(high > low)
+        row = np.searchsorted(first, hit, "right") - 1
+        seen = set()
+        for i, at in zip(row.tolist(), hit.tolist(), strict=True):
+            for item in number[low[at] : high[at]].tolist():
+                if (i, item) not in seen and found.counts[i] >= width:
+                    seen.add((i, item))
+                    yield i, item, 1.0, at - int(first[i]), width, 0
+
     def _row(self, own: np.ndarray, count: int, hit: np.ndarray, at: np.ndarray, percent: int):
         best: dict[int, tuple] = {}
         repeats = self.first[at + 1] - self.first[at]
@@ -169,8 +199,8 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFr
     ``docs(doc_id, text, ...)``, ``items(item_id, text, ...)``. Words are split at white space and
     ASCII punctuation and lower-cased. A window has as many words as the item (or is the whole of a
     shorter document) and matches if the weighted Jaccard similarity of its five-word shingles is
-    at least ``percent``; a whole text or item of fewer words is one shingle, so such an item
-    only equals a document as short. Null or empty texts match nothing, equal
+    at least ``percent``. An item of fewer than five words matches an equal run of words anywhere, a single word
+    too, so such items belong into ``items`` only if that is wanted. Null or empty texts match nothing, equal
     items are all reported, repeated rows each. Other columns are not read.
     """
     parts = None

@@ -29,31 +29,45 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.size(F.filter(pieces, lambda piece: piece != "")), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[int], share: tuple[int, int], cap: int) -> DataFrame:
+def numbered(sources: DataFrame, staging: Staging) -> DataFrame:
+    """``sources`` with ``rank``, their place by code point with null last, without a window over all of them."""
+    order = F.col("source").asc_nulls_last()
+    ordered = sources.repartitionByRange(order).sortWithinPartitions(order)
+    ordered = staging.keep(ordered.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")), "ordered")
+    local = Window.partitionBy("part").orderBy("place")
+    sizes = {row["part"]: row["n"] for row in ordered.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    before, ahead = [], 0
+    for part in sorted(sizes):
+        before.append((part, ahead))
+        ahead += sizes[part]
+    starts = ordered.sparkSession.createDataFrame(before, "part int, ahead long")
+    ranked = ordered.withColumn("rank", F.row_number().over(local)).join(F.broadcast(starts), "part")
+    return ranked.withColumn("rank", F.col("rank") + F.col("ahead")).drop("part", "place", "ahead")
+
+
+def source_targets(sizes: DataFrame, weights: Sequence[int], share: tuple[int, int], cap: int, staging: Staging) -> DataFrame:
     """Adds ``rank, weight, target`` to one row per source ``(source, source_size, ...)``.
 
     Sources in code point order, null last, take the weights in turn. Together they get
-    ``share`` of all words in proportion to weight, none more than ``cap`` times its own size.
+    ``share`` of all words in proportion to weight, none more than ``cap`` times its own size. The words per unit of weight
+    rise until no further source reaches its cap; every step is one sum over the sources.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(w) for w in weights])
-    ranked = sizes.withColumn("rank", F.row_number().over(by_name))
-    ranked = ranked.withColumn("weight", F.element_at(cycle, (F.col("rank") - 1) % len(weights) + 1))
-    # Sources reach their cap in this order as the level rises.
-    filling = Window.orderBy(cap * F.col("source_size") / F.col("weight"), "rank")
-    full = F.col("cap_size")
-    whole = Window.partitionBy()
-    level = (F.col("budget") - (F.sum(full).over(filling) - full)) / (
-        F.sum("weight").over(whole) - (F.sum("weight").over(filling) - F.col("weight"))
-    )
-    return (
-        ranked.withColumn("cap_size", cap * F.col("source_size"))
-        .withColumn("budget", share[0] * F.sum("source_size").over(whole) / F.lit(share[1]))
-        .withColumn("level", level)
-        .withColumn("level", F.max("level").over(whole))
-        .withColumn("target", F.least(full.cast("double"), F.col("weight") * F.col("level")))
-        .drop("cap_size", "budget", "level")
-    )
+    ranked = numbered(sizes, staging).withColumn("weight", F.element_at(cycle, ((F.col("rank") - 1) % len(weights) + 1).cast("int")))
+    ranked = staging.keep(ranked, "ranked")
+    full = cap * F.col("source_size")
+    budget = share[0] * (ranked.agg(F.sum("source_size")).first()[0] or 0) / share[1]
+    level, capped = 0.0, -1
+    while True:
+        over = full < F.col("weight") * F.lit(level)
+        caps, rest, count = ranked.agg(
+            F.coalesce(F.sum(F.when(over, full)), F.lit(0)), F.coalesce(F.sum(F.when(~over, F.col("weight"))), F.lit(0)), F.count_if(over)
+        ).first()
+        if count == capped or not rest:
+            break
+        level, capped = (budget - caps) / rest, count
+    target = full.cast("double") if not rest else F.least(full.cast("double"), F.col("weight") * F.lit(level))
+    return ranked.withColumn("target", target)
 
 
 def mix(
@@ -69,42 +83,44 @@ def mix(
     ``taken`` counts the words the mix takes of it by time 1, in at most ``cap`` passes over its
     source. A source's ``taken`` add up to its target, rounded down. Texts that are null or
     empty have size 0 and are never taken; null sources form one source; rows may repeat.
-    Columns of the five added names are replaced, all others stay as they are. Documents are
+    Columns of the five added names, in any letter case, are replaced, all others stay as they are. Documents are
     shuffled by md5(seed:doc_id), so runs agree.
     """
     staging = Staging(docs.sparkSession, "mix")
-    rows = docs.drop(*ADDED).withColumns(
-        {
-            "size": word_count(F.col("text").cast("string")),
-            "_order": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))),
-            "_tie": F.xxhash64("text"),
-            "_source": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")),
-        }
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
+    # The user's row travels as one struct, so that no name of its columns matters.
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+        "doc_id",
+        F.col("source").cast("string").alias("source"),
+        word_count(F.col("text").cast("string")).alias("size"),
+        order.alias("order"),
+        F.xxhash64("text").alias("tie"),
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("key"),
     )
-    narrow = staging.keep(rows.select("doc_id", "source", "size", "_order", "_tie", "_source"), "sizes")
-    sources = narrow.groupBy("_source", F.col("source").cast("string").alias("source"))
-    sources = sources.agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
-    sources = staging.keep(source_targets(sources, weights, share, cap), "sources")
+    narrow = staging.keep(rows.select("source", "key", "size", "order"), "sizes")
+    sources = narrow.groupBy("key", "source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    sources = staging.keep(source_targets(sources, weights, share, cap, staging), "sources")
     largest = sources.agg(F.max("rows")).first()[0]
     digits = min(8, max(2, math.ceil(math.log(max(1, (largest or 1) / TOGETHER), 16))))
 
     def bucketed(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("_bucket", F.substring("_order", 1, digits))
+        return frame.withColumn("bucket", F.substring("order", 1, digits))
 
-    sums = bucketed(narrow).groupBy("_source", "_bucket").agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("_before", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
-    starts = staging.keep(starts.join(sources.drop("source", "rows", "weight", "rank"), "_source"), "starts")
-    within = Window.partitionBy("_source", "_bucket").orderBy("_order", "doc_id", "size", "_tie")
+    sums = bucketed(narrow).groupBy("key", "bucket").agg(F.sum("size").alias("words"))
+    ahead = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.withColumn("before", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
+    starts = staging.keep(starts.join(sources.select("key", "source_size", "target"), "key"), "starts")
+    within = Window.partitionBy("key", "bucket").orderBy("order", "doc_id", "size", "tie")
     within = within.rowsBetween(Window.unboundedPreceding, 0)
 
-    placed = bucketed(rows).join(starts, ["_source", "_bucket"])
-    placed = placed.withColumn("_words", F.col("_before") + F.sum("size").over(within))
+    placed = bucketed(rows.drop("source")).join(starts, ["key", "bucket"])
+    placed = placed.withColumn("words", F.col("before") + F.sum("size").over(within))
     taken = F.lit(0)
     for turn in range(cap):
-        left = F.floor("target") - (turn * F.col("source_size") + F.col("_words") - F.col("size"))
+        left = F.floor("target") - (turn * F.col("source_size") + F.col("words") - F.col("size"))
         taken = taken + F.greatest(F.lit(0), F.least(F.col("size"), left))
-    finish = F.when(F.col("target") > 0, F.col("_words") / F.col("target"))
+    finish = F.when(F.col("target") > 0, F.col("words") / F.col("target"))
     placed = placed.withColumns({"finish": finish, "taken": taken.cast("long")})
-    kept = [c for c in docs.columns if c not in ADDED]
-    return placed.orderBy("finish", "_order", "_tie").select(*[F.col(f"`{c}`") for c in kept], *ADDED)
+    return placed.orderBy("finish", "order", "tie").select(*[F.col(f"row.`{c}`") for c in kept], *ADDED)

@@ -62,6 +62,26 @@ def test_mix_follows_targets(spark):
     assert again == Counter((r.doc_id, r.taken) for r in out)
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    frame = spark.createDataFrame([(1, "a b", "s", "x", 5, "y", 9), (2, "c " * 300_000, "t", "x", 5, "y", 9)],
+                                  "doc_id long, text string, source string, _source string, Target int, `row.key` string, bucket int")
+    found = mix(frame)
+    assert found.columns == ["doc_id", "text", "source", "_source", "row.key", "bucket", "size", "source_size", "target", "finish", "taken"]
+    assert sorted((r.doc_id, r.size, r._source, r["row.key"], r.bucket) for r in found.collect()) == [(1, 2, "x", "y", 9), (2, 300_000, "x", "y", 9)]
+
+
+def test_mix_of_very_many_sources(spark):
+    rows = [(i, "w " * (1 + i % 7), f"host{i:05d}") for i in range(3000)]
+    found = mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    size, weight = {r[2]: 1 + r[0] % 7 for r in rows}, {r[2]: (3, 1, 2)[r[0] % 3] for r in rows}
+    level = max(
+        (1.5 * sum(size.values()) - sum(2 * size[s] for s in size if 2 * size[s] < weight[s] * at)) / sum(weight[s] for s in size if 2 * size[s] >= weight[s] * at)
+        for at in {2 * size[s] / weight[s] for s in size}
+    )
+    assert all(r.target == pytest.approx(min(2 * size[r.source], weight[r.source] * level)) for r in found)
+    assert sum(r.target for r in found) == pytest.approx(1.5 * sum(size.values()))
+
+
 def test_mix_of_nothing(texts):
     assert mix(texts([])).collect() == []
     assert [(r.size, r.target, r.taken) for r in mix(texts([(1, None), (2, "")])).collect()] == [(0, 0.0, 0)] * 2
@@ -152,10 +172,12 @@ def brute_matches(rows, items, percent=80):
         own = brute.plain(text)
         for item, wanted in items:
             want = brute.plain(wanted)
-            if not want or not own:
+            # An item of fewer words than a shingle has windows of its own size.
+            size = min(5, len(want))
+            if not want or len(own) < size:
                 continue
-            bag, held = Counter(brute.shingles(want)), brute.shingles(own)
-            best, span = 0.0, len(brute.shingles(want))
+            bag, held = Counter(brute.shingles(want, size)), brute.shingles(own, size)
+            best, span = 0.0, len(brute.shingles(want, size))
             for a in range(max(1, len(held) - span + 1)):
                 window = Counter(held[a : a + span])
                 best = max(best, sum((window & bag).values()) / sum((window | bag).values()))
@@ -194,6 +216,17 @@ def test_items_are_found(spark, texts, monkeypatch):
     assert contaminated(texts(rows), spark.createDataFrame([], "item_id long, text string")).collect() == []
 
 
+def test_short_items_inside_long_documents(spark, texts):
+    items = [(1, "Blue whale"), (2, "whale"), (3, "a b c d"), (4, "blue whale"), (5, "whale blue"), (6, "a b c")]
+    long = "word " * 20_000
+    rows = [(1, f"{long} the BLUE, whale! {long}"), (2, f"{long} a b c x d"), (3, "whale"), (4, "blue"), (5, "a b c d"), *ODD]
+    found = contaminated(texts(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert Counter((r.doc_id, r.item_id) for r in found) == Counter(
+        [(1, 1), (1, 2), (1, 4), (2, 6), (3, 2), (5, 3), (5, 6)]
+    )
+    assert next(r.first_word for r in found if (r.doc_id, r.item_id) == (1, 4)) == 20_001
+
+
 def test_byte_blocks_reach_every_print_within_the_radius():
     rng = np.random.default_rng(3)
     for _ in range(300):
