@@ -2,15 +2,16 @@
 
 Tokens get log-odds between toxic and clean documents under a Dirichlet prior that follows the
 whole corpus (Monroe, Colaresi and Quinn, 2008). A linear scan finds all maximal scoring
-segments of a text (Ruzzo and Tompa, 1999); Karlin-Altschul statistics say how surprising a
-segment is for a text of that length, and a logistic curve turns the evidence into a probability.
+segments of a text (Ruzzo and Tompa, 1999). Karlin-Altschul statistics say how surprising a
+segment is for a text of that length: the decay of the extreme-value law follows from the scores, its scale is fitted to the
+best segments of clean documents. A logistic curve turns the evidence into a probability.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,7 @@ class ToxicityModel:
         return self.decay * score - math.log(max(self.scale * count, 1.0))
 
     def probability(self, best: np.ndarray, total: np.ndarray) -> np.ndarray:
-        a, b, c = self.curve
-        return 1 / (1 + np.exp(-np.clip(a + b * np.log1p(best) + c * np.log1p(total), -35, 35)))
+        return 1 / (1 + np.exp(-np.clip(_pieces(best, total) @ np.array(self.curve), -35, 35)))
 
 
 def is_held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -141,10 +141,14 @@ def fit_toxicity(
     ordinary = math.log(1 - density)
     chance = (clean[wanted] + 0.5) / max(1.0, n_clean + 1.0) / max(1.0, _mean_words(sample))
     decay = _decay(scores, chance, ordinary)
-    model = ToxicityModel(tokens, scores, ordinary, decay, 0.1, empty.curve)
+    # The score of the best segment alone: its evidence in a text of no length.
+    bare = ToxicityModel(tokens, scores, ordinary, decay, 0.0, empty.curve)
+    tops = score_texts(sample.where("toxic = 0").select("text"), bare, []).select("best", "words").toArrow()
+    scale = _scale(tops.column("best").to_numpy(), tops.column("words").to_numpy())
+    model = replace(bare, scale=scale)
     held = score_texts(sample.select("toxic", "text"), model, ["toxic"]).select("toxic", "best", "total").toArrow()
     curve = _logistic(held.column("best").to_numpy(), held.column("total").to_numpy(), held.column("toxic").to_numpy())
-    return ToxicityModel(tokens, scores, ordinary, decay, 0.1, curve)
+    return replace(model, curve=curve)
 
 
 def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,9 +228,23 @@ def _decay(scores: np.ndarray, chance: np.ndarray, ordinary: float) -> float:
     return high
 
 
+def _scale(tops: np.ndarray, counts: np.ndarray) -> float:
+    """Maximum likelihood of K in P(best < x) = exp(-K * words * exp(-x)), with x in nats.
+
+    Texts without a positive segment only say that none came up.
+    """
+    found = tops > 0
+    return float(found.sum() / max(1.0, (counts * np.exp(-np.where(found, tops, 0.0))).sum()))
+
+
+def _pieces(best: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """What the curve weighs: a constant, and both pieces of evidence on a log scale to either side of 0."""
+    return np.column_stack([np.ones(len(best)), np.sign(best) * np.log1p(np.abs(best)), np.log1p(total)])
+
+
 def _logistic(best: np.ndarray, total: np.ndarray, label: np.ndarray) -> tuple[float, float, float]:
     """Newton steps of a lightly ridged logistic regression on the two pieces of evidence."""
-    x = np.column_stack([np.ones(len(best)), np.log1p(best), np.log1p(total)])
+    x = _pieces(best, total)
     beta, ridge = np.zeros(3), np.diag([1e-4, 1e-2, 1e-2])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -35, 35)))
@@ -238,11 +256,11 @@ def _logistic(best: np.ndarray, total: np.ndarray, label: np.ndarray) -> tuple[f
 
 
 def score_texts(rows: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``rows(text, ...)`` with ``score, best, total, passages``.
+    """The columns ``keep`` of ``rows(text, ...)`` with ``score, best, total, passages, words``.
 
-    ``passages`` are the significant segments in code points of the lower-cased text with their evidence,
-    ``best`` and ``total`` the largest and the summed evidence (0 without any), where a token counts once per segment. A null or empty
-    text has none.
+    ``passages`` are the significant segments in code points of the lower-cased text with their evidence. ``best`` is the
+    largest evidence of any segment, below 0 where none is significant, ``total`` the sum of what is above 0; a token
+    counts once per segment. A null or empty text has no passage and no evidence.
     """
     fields = [f"`{name}` {kind}" for name, kind in rows.select(*keep).dtypes]
 
@@ -251,15 +269,16 @@ def score_texts(rows: DataFrame, model: ToxicityModel, keep: list[str]) -> DataF
         for batch in batches:
             row = 0
             for part in string_parts(batch.column(len(keep))):
-                best, total, passages = _segments(part, hasher, model)
+                best, total, passages, counts = _segments(part, hasher, model)
                 carried = [batch.column(i).slice(row, len(part)) for i in range(len(keep))]
                 found = [model.probability(best, total), best, total]
                 yield pa.RecordBatch.from_arrays(
-                    [*carried, *map(pa.array, found), passages], names=[*keep, "score", "best", "total", "passages"]
+                    [*carried, *map(pa.array, found), passages, pa.array(counts)],
+                    names=[*keep, "score", "best", "total", "passages", "words"],
                 )
                 row += len(part)
 
-    schema = ", ".join([*fields, "score double, best double, total double", f"passages {SPAN}"])
+    schema = ", ".join([*fields, "score double, best double, total double", f"passages {SPAN}, words long"])
     return rows.select(*keep, F.lower(F.col("text").cast("string")).alias("_text")).mapInArrow(run, schema)
 
 
@@ -267,7 +286,10 @@ def _segments(part: pa.Array, hasher: SpanHasher, model: ToxicityModel):
     data, rows = bytes_of(part)
     found = words(part, hasher, plain=True)
     scores = model.word_scores(token_levels(found, hasher))
-    best, total = np.zeros(len(part)), np.zeros(len(part))
+    # Without a positive word the best segment is empty.
+    counts = found.counts.astype(np.int64)
+    best = np.array([model.evidence(0.0, int(count)) for count in counts], float)
+    total = np.zeros(len(part))
     spans: list[list[dict]] = [[] for _ in range(len(part))]
     hot = np.unique(np.searchsorted(found.first, np.flatnonzero(scores > 0), "right") - 1)
     for i in hot.tolist():
@@ -276,22 +298,22 @@ def _segments(part: pa.Array, hasher: SpanHasher, model: ToxicityModel):
         text = data[rows[i] : rows[i + 1]].tobytes()
         offset = rows[i]
         for start, end, score in maximal_segments(own):
+            # For the text a token counts once per passage: repetition alone is no evidence.
+            inside = own[start:end]
+            again = np.ones(end - start, bool)
+            again[np.unique(names[start:end], return_index=True)[1]] = False
+            damped = np.where(again & (inside > 0), model.ordinary, inside)
+            once = max((model.evidence(s, int(b - a)) for *_, s in maximal_segments(damped)), default=0.0)
+            best[i] = max(best[i], once)
             evidence = model.evidence(score, int(b - a))
             if evidence > 0:
                 begins, ends = int(found.start[a + start] - offset), int(found.end[a + end - 1] - offset)
                 spans[i].append(
                     {"start": len(text[:begins].decode()), "end": len(text[:ends].decode()), "evidence": evidence}
                 )
-                # For the text a token counts once per passage: repetition alone is no evidence.
-                inside = own[start:end]
-                again = np.ones(end - start, bool)
-                again[np.unique(names[start:end], return_index=True)[1]] = False
-                damped = np.where(again & (inside > 0), model.ordinary, inside)
-                evidence = max((model.evidence(s, int(b - a)) for *_, s in maximal_segments(damped)), default=0.0)
-                best[i] = max(best[i], evidence)
-                total[i] += max(evidence, 0.0)
+                total[i] += max(once, 0.0)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("evidence", pa.float64())]))
-    return best, total, pa.array(spans, kind)
+    return best, total, pa.array(spans, kind), counts
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -314,7 +336,7 @@ def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         hasher = SpanHasher()
 
         def clean(part: pa.Array) -> np.ndarray:
-            best, total, _ = _segments(part, hasher, model)
+            best, total, *_ = _segments(part, hasher, model)
             return model.probability(best, total) < 0.5
 
         return clean
