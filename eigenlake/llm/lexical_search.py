@@ -72,6 +72,8 @@ def slice_numbers(hashes: np.ndarray, layer: int, slices: int) -> np.ndarray:
 class Weights:
     """The terms of a block of items, sorted, with their weights and the corpus totals."""
 
+    # Sent to tasks as a plain tuple, see ``parts``.
+
     terms: np.ndarray
     weight: np.ndarray
     documents: int
@@ -81,6 +83,10 @@ class Weights:
     term: np.ndarray
     repeats: np.ndarray
 
+    @property
+    def parts(self) -> tuple:
+        return self.terms, self.weight, self.documents, self.length, self.item, self.term, self.repeats
+
     def norm(self, lengths: np.ndarray) -> np.ndarray:
         """A document's m from its number of terms."""
         return 100 - 75 + (75 * lengths * self.documents) // max(1, self.length)
@@ -243,10 +249,11 @@ def upper_bounds(shard: dict, weights: Weights, items: int) -> np.ndarray:
 
 def _candidates(shards: DataFrame, kind: str, weights: Weights, items: int, least: np.ndarray | None) -> DataFrame:
     """``item, doc_id, print, bound``: per task the ``FIRST`` highest bounds of every item, or all that reach ``least``."""
-    shared = shards.sparkSession.sparkContext.broadcast((weights, least))
+    shared = shards.sparkSession.sparkContext.broadcast((weights.parts, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, least = shared.value
+        parts, least = shared.value
+        weights = Weights(*parts)
         held: list[pa.Table] = []
         for batch in batches:
             for i in range(batch.num_rows):
@@ -293,10 +300,10 @@ def _scored(docs: DataFrame, pairs: DataFrame, weights: Weights, staging: Stagin
     wanted = staging.keep(wanted.withColumnsRenamed({"doc_id": "wanted_id", "print": "wanted_print"}), "wanted")
     same = F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("print") == F.col("wanted_print"))
     chosen = given.join(small_side(wanted), same).select("doc_id", "items", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast(weights.parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, hasher = shared.value, SpanHasher()
+        weights, hasher = Weights(*shared.value), SpanHasher()
         begin = np.searchsorted(weights.item, np.arange(weights.item.max(initial=-1) + 2))
         for batch in batches:
             at = 0

@@ -338,10 +338,22 @@ def _intersections(sets: list[np.ndarray], side: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def without_near_duplicates(docs: DataFrame, threshold_percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
-    found = near_duplicates(docs, threshold_percent)
-    dropped = Staging(docs.sparkSession, "dropped").keep(
-        found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id")).distinct(), "ids"
-    )
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped_id"), "left_anti")
+def without_near_duplicates(docs: DataFrame, threshold_percent: int = 80, texts: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns, whatever their names.
+
+    ``texts(doc_id, text)``, where given, holds other texts of the same documents, such as those before a
+    cleaning step; of what is kept by the texts of ``docs``, one document of each group of these stays.
+    """
+    staging = Staging(docs.sparkSession, "dropped")
+    kept = _without(docs, near_duplicates(docs, threshold_percent), staging)
+    if texts is None:
+        return kept
+    ids = kept.select(F.col("doc_id").cast("long").alias("id")).distinct()
+    others = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    others = staging.keep(others.join(ids, others["doc_id"] == ids["id"], "left_semi"), "texts")
+    return _without(kept, near_duplicates(others, threshold_percent), staging)
+
+
+def _without(docs: DataFrame, found: DataFrame, staging: Staging) -> DataFrame:
+    dropped = staging.keep(found.where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct(), "ids")
+    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["id"], "left_anti")

@@ -68,6 +68,18 @@ def test_repeated_rows_and_empty_table(texts):
     assert kept.columns == texts(rows).columns and {r.doc_id for r in kept.collect()} == {1}
 
 
+def test_other_texts_and_columns_of_any_name(spark, texts):
+    rows = corpus(families=2, size=4)
+    given = texts(rows)
+    left = [(i, f"what is left of {i} has words of its own {i} {i} {i}") for i, _ in rows]
+    odd = texts(left).selectExpr("*", "doc_id as _dropped_id", "doc_id as id", "text as d")
+    assert without_near_duplicates(odd).count() == len(rows)
+    _, root = expected(rows, 80)
+    kept = without_near_duplicates(odd, texts=given)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == set(root.values())
+    assert {r.doc_id for r in without_near_duplicates(odd.where("doc_id % 2 = 1"), texts=given).collect()} <= {i for i, _ in rows if i % 2}
+
+
 def test_registers_merge_and_estimate():
     sketch = Sketch()
     rng = np.random.default_rng(5)
