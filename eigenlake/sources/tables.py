@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,11 +17,12 @@ from eigenlake.functions.numeric import (
     numeric_value,
 )
 from eigenlake.operators.clean import trim_header
+from eigenlake.sources.records import block_facts, file_lines, split_records
 from eigenlake.sources.storage import matching_files, path_exists
 
 HEADER_LINES = 50
 
-# Separators tried, and the cell texts that mean a missing value.
+# Separators tried first, and the cell texts that mean a missing value.
 SEPARATORS = [",", ";", "\t", "|"]
 MISSING_CELLS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -29,12 +31,20 @@ MISSING_CELLS = [
 
 
 def detect_separator(lines: list[str]) -> str:
-    """The separator that gives every sampled line the same number (> 1) of fields."""
-    best, fields = ",", 1
-    for separator in SEPARATORS:
-        counts = {len(row) for row in csv.reader(lines, delimiter=separator) if row}
-        if len(counts) == 1 and max(counts) > fields:
-            best, fields = separator, max(counts)
+    """The separator that gives every sampled line the same number (> 1) of fields.
+
+    The usual ones come first; if none of them does, any other character of the header may be it, unless it
+    is part of names and numbers.
+    """
+    others = dict.fromkeys(c for c in lines[0] if not c.isalnum() and c not in "\"'.+-_\r" and c not in SEPARATORS)
+    for candidates in (SEPARATORS, others):
+        best, fields = ",", 1
+        for separator in candidates:
+            counts = {len(row) for row in csv.reader(lines, delimiter=separator) if row}
+            if len(counts) == 1 and max(counts) > fields:
+                best, fields = separator, max(counts)
+        if fields > 1:
+            break
     return best
 
 
@@ -52,10 +62,11 @@ def read_table(
     """A CSV-like table with typed columns (BIGINT, DOUBLE, BOOLEAN or STRING), or a parquet
     table when the paths end in ``.parquet``.
 
-    ``path`` is a file, a folder, a glob or a list of these; all files have the first file's header.
-    ``sep`` is detected on the first lines unless given. Quoted line breaks are looked for in
-    all lines unless ``multi_line`` says whether there are any; with them a file can't be split
-    between tasks.
+    ``path`` is a file, a folder, a glob or a list of these. Every file has its own header: columns go by name,
+    in the order of their first appearance over the files in name order, and are missing in files that lack them;
+    a file that shares no column with the first is an error. ``sep`` is detected on the first file's lines unless given.
+    Quoted line breaks are looked for in all lines unless ``multi_line`` says whether there are any; files that hold them
+    are read by as many tasks as others.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if paths and all(p.rstrip("/").endswith(".parquet") for p in paths):
@@ -74,26 +85,40 @@ def read_table(
         files += found
     if not files:
         raise ValueError("Dataset is empty")
-    lines = [row["value"].lstrip("\ufeff") for row in spark.read.text(files[0]).take(HEADER_LINES)]
-    lines = [line for line in lines if line.strip()]
-    if not lines:
+    lines = file_lines(spark, files)
+    facts = block_facts(lines).toArrow().to_pylist()
+    headers = {fact["path"]: fact["first_line"] for fact in facts if not fact["block"] and fact["first_line"] is not None}
+    if not headers:
         raise ValueError("Dataset is empty")
-    separator = sep or detect_separator(lines)
-    names = check_header(lines, separator)
+    order = sorted(headers)
+    sample = [row["value"].lstrip("\ufeff") for row in spark.read.text(unquote(order[0])).take(HEADER_LINES)]
+    separator = sep or detect_separator([line for line in sample if line.strip()])
+    # Files by header: each group is read by its own names.
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in order:
+        line = headers[path].lstrip("\ufeff").rstrip("\r").split("\r")[0]
+        groups.setdefault(tuple(check_header([line], separator)), []).append(unquote(path))
+    first = next(iter(groups))
+    strangers = [paths[0] for names, paths in groups.items() if not set(names) & set(first)]
+    if strangers:
+        raise ValueError(f"No column in common with {order[0]}: {strangers}")
     if multi_line is None:
-        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-        multi_line = bool(spark.read.text(files).where(quotes % 2 == 1).take(1))
-    raw = (
-        spark.read.option("sep", separator)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("escape", '"')
-        .schema(", ".join(f"c{i} string" for i in range(len(names))))
-        .csv(files)
-        .toDF(*names)
-    )
+        multi_line = any(fact["breaks"] for fact in facts)
+    # Lines that end with a carriage return alone are no lines to a split reader.
+    returns = any("\r" in line.rstrip("\r") for line in headers.values())
+    parts = []
+    for names, paths in groups.items():
+        plain = [f"c{i}" for i in range(len(names))]
+        options = {"sep": separator, "mode": "FAILFAST", "escape": '"'}
+        schema = ", ".join(f"{name} string" for name in plain)
+        if multi_line and not returns:
+            records = split_records(lines if len(groups) == 1 else file_lines(spark, paths), separator)
+            part = records.select(F.from_csv("value", schema, options).alias("row")).select("row.*")
+        else:
+            part = spark.read.options(header=True, enforceSchema=True, multiLine=multi_line, **options).schema(schema).csv(paths)
+        parts.append(part.toDF(*names))
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = raw.columns
     present = raw.select(
         *[F.when(~F.trim(F.col(f"`{n}`")).isin(MISSING_CELLS), F.col(f"`{n}`")).alias(n) for n in names]
     )

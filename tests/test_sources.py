@@ -1,5 +1,6 @@
 """Sources and sinks: delimited text, headers, unions, run directories, images, models."""
 
+import random
 import struct
 import zlib
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import column
 from eigenlake.operators.preprocess import Preprocessor
 from eigenlake.operators.spectral import fit_pca, fit_svd
-from eigenlake.sources import images, models, sinks, tables
+from eigenlake.sources import images, models, records, sinks, tables
 
 
 def write(path, text):
@@ -69,6 +70,87 @@ def test_late_quoted_line_break(spark, tmp_path):
     assert len(rows) == 61 and {r["v"] for r in rows} == {"plain", "two\nlines"}
 
 
+def cells(df, *names):
+    return sorted((tuple(r[n] for n in names) for r in df.collect()), key=str)
+
+
+def test_columns_go_by_name_over_files(spark, tmp_path):
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    for name, text in {
+        "1.csv": "a,b,c\n10,20,x\n",
+        "2.csv": "b, a ,c\n21,11,y\n",
+        "3.csv": "c,a\nz,12\n",
+        "4.csv": "\ufeffd,a,b,c\r\n1.5,13,23,\r\n",
+        "5.csv": "",
+        "6.csv": "a,b,c\n14,24,v\n",
+    }.items():
+        write(folder / name, text)
+    df = tables.read_table(spark, str(folder))
+    assert df.dtypes == [("a", "bigint"), ("b", "bigint"), ("c", "string"), ("d", "double")]
+    expected = [(10, 20, "x", None), (11, 21, "y", None), (12, None, "z", None), (13, 23, None, 1.5), (14, 24, "v", None)]
+    assert cells(df, *df.columns) == sorted(expected, key=str)
+    # The same with quoted line breaks somewhere.
+    write(folder / "7.csv", 'c,b\n"two\nlines",25\n')
+    assert cells(tables.read_table(spark, str(folder)), *df.columns) == sorted([*expected, (None, 25, "two\nlines", None)], key=str)
+    write(folder / "8.csv", "other;names\n1;2\n")
+    with pytest.raises(ValueError, match="No column in common"):
+        tables.read_table(spark, str(folder))
+    write(folder / "8.csv", "a,b, a\n1,2,3\n")
+    with pytest.raises(ValueError, match="duplicate"):
+        tables.read_table(spark, str(folder))
+
+
+def test_open_quotes_follow_the_parser():
+    for line, inside, after in [
+        ("a,b", False, False), ('a,"b', False, True), ('a,"b"', False, False), ('"a ""b', False, True), ('"a ""b"""', False, False),
+        ('5" pipe,"x', False, True), ('5" pipe,x', False, False), ('x",y', True, False), ('x,y', True, True), ('x","y', True, True),
+        ('x""', True, True), ("", False, False), ("", True, True), ('"a"b,"c', False, True),
+    ]:
+        assert records.open_after(line, inside, ",") == after, line
+
+
+@pytest.fixture
+def small_blocks(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "400b", "spark.sql.files.openCostInBytes": "1b"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_path, small_blocks, ending):
+    rng = random.Random(3)
+    rows, out = [], []
+    for i in range(400):
+        # Some values span several blocks; some look like records of their own.
+        size = rng.choice([0, 0, 1, 3, 200 if i % 50 == 0 else 2])
+        text = ending.join(rng.choice(["one", 'say ""hi""', "1,2", "", '""', "x,y,z"]) for _ in range(size))
+        rows.append((i, text.replace('""', '"'), "end" if i % 3 else 'an "end"'))
+        tail = "end" if i % 3 else '"an ""end"""'
+        out.append(f'{i},"{text}",{tail}')
+    path = tmp_path / "quoted.csv"
+    path.write_bytes(ending.join(["k,v,w", *out, ""]).encode())
+    lines = records.file_lines(spark, [str(path)])
+    assert lines.select("block").distinct().count() > 20 and records.inner_starts(lines, ",")
+    found = tables.read_table(spark, str(path))
+    expected = [(k, v if v.strip(" ") else None, w) for k, v, w in rows]
+    assert cells(found, "k", "v", "w") == sorted(expected, key=str)
+    whole = spark.read.csv(str(path), header=True, multiLine=True, escape='"')
+    assert cells(found.selectExpr("string(k) k", "v", "w"), "k", "w") == cells(whole, "k", "w")
+
+
+def test_records_of_other_shapes(spark, tmp_path):
+    # A quote within a value, a file without a last line end, an open quote at the end, carriage returns alone.
+    assert cells(tables.read_table(spark, write(tmp_path / "a.csv", 'k,v\n1,5" pipe\n2,"a\nb"')), "k", "v") == [(1, '5" pipe'), (2, "a\nb")]
+    assert cells(tables.read_table(spark, write(tmp_path / "b.csv", "k,v\r1,x\r2,y\r")), "k", "v") == [(1, "x"), (2, "y")]
+    assert cells(tables.read_table(spark, write(tmp_path / "c.csv", "k:v\n1:x\n2:y\n")), "k", "v") == [(1, "x"), (2, "y")]
+    assert tables.detect_separator(["mean.x", "1.5", "2.5"]) == ","
+
+
 def test_labelled_union_keeps_duplicates(spark):
     one = spark.createDataFrame([(1, 2.0), (1, 2.0)], "a int, b double")
     two = spark.createDataFrame([(3.0, 4)], "b double, a int")
@@ -105,6 +187,12 @@ def test_model_round_trip(spark, tmp_path, matrix_frame, fit, name):
     before, after = (column(m.transform(df), "reduced") for m in (model, back))
     np.testing.assert_allclose(before, after, atol=1e-15)
     np.testing.assert_allclose(back.cumulative, model.cumulative)
+    cells_of = spark.read.parquet(f"{path}/components")
+    cells_of.where("pos < 3").write.parquet(f"{path}-cut/components")
+    for part in ("metadata", "mean", "spectrum"):
+        spark.read.parquet(f"{path}/{part}").write.parquet(f"{path}-cut/{part}")
+    with pytest.raises(ValueError, match="lacks cells"):
+        models.load_model(spark, f"{path}-cut")
     with pytest.raises(ValueError, match="not a"):
         models.load_model(spark, path, expected="svd" if name == "pca" else "pca")
 
