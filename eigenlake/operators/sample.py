@@ -47,13 +47,12 @@ def hash_cutoff(df: DataFrame, row_id: str, count: int, seed: int) -> str:
 
 
 def train_size(rows: int, fraction: float) -> int:
-    """Rows that train: the rounded share, but two at least and one left out, unless all of them train."""
-    share_is_valid = 0.5 <= fraction <= 1
-    if rows < 3 or not share_is_valid:
-        wrong = f"train_fraction must lie between 0.5 and 1, not {fraction}" if rows >= 3 else f"A split needs at least three rows, not {rows}"
-        raise ValueError(wrong)
-    left_out = 0 if fraction == 1 else min(max(rows - round(rows * fraction), 1), rows - 2)
-    return rows - left_out
+    """Rows that train: the share rounded half to even, at least 2 and at most ``rows - 1``; a fraction of 1 is all rows."""
+    if rows < 3:
+        raise ValueError(f"A table of {rows} rows is too small to split")
+    if not 0.5 <= fraction <= 1:
+        raise ValueError(f"A training share of {fraction} is not in 0.5 to 1")
+    return rows if fraction == 1 else min(max(round(rows * fraction), 2), rows - 1)
 
 
 def split_rows(
@@ -75,7 +74,7 @@ def sample_rows(
 ) -> DataFrame:
     """Exactly ``min(max_samples, n)`` rows, without replacement."""
     if max_samples < 3:
-        raise ValueError("max_samples must be at least 3")
+        raise ValueError(f"A sample has at least 3 rows, not {max_samples}")
     size = df.count() if rows is None else rows
     if size <= max_samples:
         return df
