@@ -14,12 +14,11 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
-from eigenlake.functions.arrow import to_lists, to_matrix
+from eigenlake.functions.arrow import sorted_groups, to_lists, to_matrix
 from eigenlake.functions.blocks import (
     BLOCK_BYTES,
     block_count,
     collect_block,
-    in_block,
     share,
     squared_distances,
     sum_partials,
@@ -88,7 +87,7 @@ def internal_metrics(
 def _dispersion(n, centre, distance, square) -> dict[str, float]:
     clusters, rows = len(n), n.sum()
     if clusters < 2:
-        raise ValueError("K-means produced fewer than two clusters")
+        raise ValueError("The labels name fewer than two clusters")
     within = float(square.sum())
     middle = (centre * n[:, None]).sum(axis=0) / rows
     between = float((n * ((centre - middle) ** 2).sum(axis=1)).sum())
@@ -142,22 +141,13 @@ def silhouette_scores(
     """Exact Euclidean silhouette of every row: ``(row_id, scores ARRAY<DOUBLE>)``.
 
     While all points fit the block bound they are shipped to the tasks and each row is
-    scored where it is, without a shuffle. Beyond it, each block of rows is scored against
-    one scan of the whole table; pairs are summed inside the tasks and never written.
+    scored where it is, without a shuffle. Beyond it blocks of rows meet blocks of the table
+    in a grid of tasks; pairs are summed inside the tasks and never written.
     """
-    blocks = block_count(shape.rows, shape.width + len(ks), block_bytes)
     bounds = np.concatenate([[0], np.cumsum(ks)]).astype(int)
-    if blocks == 1:
+    if block_count(shape.rows, shape.width + len(ks), block_bytes) == 1:
         return _scores_in_place(df, row_id, shape, column, labels, bounds)
-    id_type = df.schema[row_id].dataType.simpleString()
-    parts = []
-    for number in range(blocks):
-        block = collect_block(in_block(df, row_id, number, blocks), row_id, column, shape.width, labels)
-        parts.append(stage(silhouette_of(df, block, ks, shape, column, labels, id_type), "silhouette"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumnRenamed("row_id", row_id)
+    return _scores_by_grid(df, df, row_id, shape, shape.rows, column, labels, bounds, block_bytes)
 
 
 def _scores_in_place(df, row_id, shape, column, labels, bounds):
@@ -167,15 +157,9 @@ def _scores_in_place(df, row_id, shape, column, labels, bounds):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, points, carried = shared.value
-        # Points with the same labels in all labellings lie together: their distances are added up
-        # once, and only these sums are dealt out to the clusters.
-        combined, place = np.unique(carried, axis=0, return_inverse=True)
-        order = np.argsort(place.ravel(), kind="stable")
-        firsts = np.searchsorted(place.ravel()[order], np.arange(len(combined)))
-        member = _membership(combined, bounds)
-        counts = np.bincount(place.ravel(), minlength=len(combined)) @ member
+        counts = _membership(carried, bounds).sum(axis=0)
         centre = points.mean(axis=0)
-        points = (points - centre)[order]
+        points, firsts, member = _combined(points - centre, carried, bounds)
         for batch in batches:
             rows = to_matrix(batch.column(1), width) - centre
             label = to_matrix(batch.column(2), runs).astype(np.int64)
@@ -193,38 +177,107 @@ def _scores_in_place(df, row_id, shape, column, labels, bounds):
     )
 
 
-def silhouette_of(df, queries, ks, shape, column="features", labels="labels", id_type="bigint") -> DataFrame:
-    """Silhouette of a bounded block of rows, each measured against every row of ``df``."""
-    shared = share(df, queries)
-    width, runs = shape.width, len(ks)
-    bounds = np.concatenate([[0], np.cumsum(ks)]).astype(int)
+# Blocks of the table that a block of rows meets in one task.
+BLOCKS_PER_TASK = 16
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-        _, points, _ = shared.value
-        centre = points.mean(axis=0)
-        points = points - centre
-        sums, counts = np.zeros((len(points), bounds[-1])), np.zeros(bounds[-1])
-        for batch in batches:
-            rows = to_matrix(batch.column(0), width) - centre
-            member = _membership(to_matrix(batch.column(1), runs).astype(np.int64), bounds)
-            counts += member.sum(axis=0)
-            for tile in tiles(len(rows), len(points)):
-                sums += np.sqrt(squared_distances(points, rows[tile])) @ member[tile]
-        return np.vstack([sums, counts]) if counts.any() else None
-
-    cells = (len(queries.ids) + 1) * int(bounds[-1])
-    grid = sum_partials(df.select(column, labels), partial, cells).reshape(-1, int(bounds[-1]))
-    shared.unpersist()
-    out = np.column_stack(
-        [
-            _scores(
-                grid[:-1, bounds[r] : bounds[r + 1]], queries.carried[:, r], grid[-1, bounds[r] : bounds[r + 1]]
-            )
-            for r in range(runs)
-        ]
+
+def _combined(points: np.ndarray, labels: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Points ordered by their labels, the first of every combination, and its clusters: distances are
+    added up once per combination, and only these sums are dealt out to the clusters."""
+    kinds, place = np.unique(labels, axis=0, return_inverse=True)
+    place = place.ravel()
+    order = np.argsort(place, kind="stable")
+    return points[order], np.searchsorted(place[order], np.arange(len(kinds))), _membership(kinds, bounds)
+
+
+def _scores_by_grid(targets, df, row_id, shape, target_rows, column, labels, bounds, block_bytes) -> DataFrame:
+    """Silhouettes of the rows of ``targets`` against all rows of ``df``; only counts per cluster reach the driver.
+
+    A task holds one block of target rows and takes a segment of the table's blocks one after the other; the
+    partial sums of a row come together in a second exchange, one task per block of targets.
+    """
+    width, runs = shape.width, len(bounds) - 1
+    block_rows = max(1, block_bytes // (8 * (width + runs)))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    across = max(-(-target_rows // block_rows), min(2 * cores, target_rows))
+    down = -(-shape.rows // block_rows)
+    segments = -(-down // BLOCKS_PER_TASK)
+    id_type = df.schema[row_id].dataType.simpleString()
+    mark = F.xxhash64(F.col(f"`{row_id}`"))
+    names = [F.col(f"`{row_id}`").alias("id"), F.col(column).alias("point"), F.col(labels).cast("array<int>").alias("labels")]
+    counts = _label_counts(df, labels, runs, bounds)
+    block = F.pmod(mark, F.lit(down)).cast("int")
+    rows = targets.select(
+        F.pmod(mark, F.lit(across)).cast("int").alias("target"),
+        F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("segment"),
+        F.lit(-1).alias("block"),
+        *names,
+    )
+    table = df.select(
+        F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("target"),
+        F.floor(block / BLOCKS_PER_TASK).cast("int").alias("segment"),
+        block.alias("block"),
+        *names,
     )
-    result = pa.table({"row_id": pa.array(queries.ids), "scores": to_lists(out)})
-    return df.sparkSession.createDataFrame(result, f"row_id {id_type}, scores array<double>")
+    keys = ["target", "segment", "block"]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, points, sums = None, None, None, None
+
+        def partial() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [held.column("target").combine_chunks(), held.column("id").combine_chunks(), held.column("labels").combine_chunks(), to_lists(sums)],
+                names=["target", "id", "labels", "sums"],
+            )
+
+        for group in sorted_groups(batches, keys):
+            here = tuple(group.column(name)[0].as_py() for name in keys[:2])
+            if here != key:
+                if held is not None:
+                    yield partial()
+                key, held = here, None
+            if group.column("block")[0].as_py() < 0:
+                held, points = group, to_matrix(group.column("point"), width)
+                sums = np.zeros((len(points), bounds[-1]))
+            elif held is not None:
+                others, firsts, member = _combined(
+                    to_matrix(group.column("point"), width), to_matrix(group.column("labels"), runs).astype(np.int64), bounds
+                )
+                centre = others.mean(axis=0)
+                for tile in tiles(len(points), len(others)):
+                    distances = squared_distances(points[tile] - centre, others - centre)
+                    sums[tile] += np.add.reduceat(np.sqrt(distances, out=distances), firsts, axis=1) @ member
+        if held is not None:
+            yield partial()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Every row has as many partial sums as there are segments, and they lie together.
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            rest.append(batch)
+            ready = sum(part.num_rows for part in rest) // segments * segments
+            if not ready:
+                continue
+            whole = pa.Table.from_batches(rest)
+            group, rest = whole.slice(0, ready), whole.slice(ready).to_batches()
+            once = pa.array(np.arange(0, ready, segments))
+            sums = to_matrix(group.column("sums"), int(bounds[-1])).reshape(len(once), segments, -1).sum(axis=1)
+            label = to_matrix(group.column("labels").take(once), runs).astype(np.int64)
+            scores = [_scores(sums[:, a:b], label[:, run], counts[a:b]) for run, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+            yield pa.RecordBatch.from_arrays([group.column("id").take(once).combine_chunks(), to_lists(np.column_stack(scores))], names=["id", "scores"])
+
+    met = rows.unionByName(table).repartition("target", "segment").sortWithinPartitions(*keys)
+    partials = met.mapInArrow(add, f"target int, id {id_type}, labels array<int>, sums array<double>")
+    scored = partials.repartition("target").sortWithinPartitions("target", "id").mapInArrow(merge, f"id {id_type}, scores array<double>")
+    return scored.withColumnRenamed("id", row_id)
+
+
+def _label_counts(df: DataFrame, labels: str, runs: int, bounds: np.ndarray) -> np.ndarray:
+    counts = np.zeros(bounds[-1])
+    found = df.select(F.posexplode(labels).alias("run", "cluster")).groupBy("run", "cluster").agg(F.count("*").alias("n"))
+    for row in found.collect():
+        counts[bounds[row["run"]] + row["cluster"]] = row["n"]
+    return counts
 
 
 def silhouette(df, row_id, ks, shape, column="features", labels="labels", *, sample=None, seed=42):
@@ -237,9 +290,8 @@ def silhouette(df, row_id, ks, shape, column="features", labels="labels", *, sam
         scored = silhouette_scores(df, row_id, ks, shape, column, labels)
     else:
         chosen = sample_rows(df, row_id, max_samples=sample, seed=seed, rows=shape.rows)
-        queries = collect_block(chosen, row_id, column, shape.width, labels)
-        id_type = df.schema[row_id].dataType.simpleString()
-        scored = silhouette_of(df, queries, ks, shape, column, labels, id_type)
+        bounds = np.concatenate([[0], np.cumsum(ks)]).astype(int)
+        scored = _scores_by_grid(chosen, df, row_id, shape, sample, column, labels, bounds, BLOCK_BYTES)
     means = scored.agg(*[F.avg(F.col("scores")[r]) for r in range(len(ks))]).first()
     return [float(v) for v in means]
 

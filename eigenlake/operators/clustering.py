@@ -103,23 +103,24 @@ def clustering_sweep(
     seed: int = 42,
     n_init: int = 20,
     silhouette_sample: int | None = None,
+    **fit_options,
 ) -> DataFrame:
     """Metrics for every k and representation: ``(representation, k, metric, value)``.
 
     ``representations`` maps a vector column of the one frame to its width, so all of them
-    cover the same rows. Per representation all k and restarts share their passes.
+    cover the same rows. Per representation all k and restarts share their passes. ``fit_options`` go to the fit.
     """
     if not representations:
-        raise ValueError("At least one representation is required")
+        raise ValueError("A sweep takes vector columns; name them. At least one is needed")
     size = df.count() if rows is None else rows
     upper = min(max_clusters, size - 1)
     if upper < min_clusters:
-        raise ValueError("Not enough samples for the requested clustering sweep")
+        raise ValueError(f"Not enough rows ({size}) for {min_clusters} clusters")
     ks = tuple(range(min_clusters, upper + 1))
     requests = [KMeansRequest(name, width, ks) for name, width in representations.items()]
     found = cluster_representations(
         df, row_id, requests, size, references=[reference] * len(requests),
-        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample,
+        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample, **fit_options,
     )
     return sweep_table(df, [(r.column, r.ks, metrics) for r, (_, metrics) in zip(requests, found)])
 
@@ -174,6 +175,7 @@ def separability(
     seed: int = 42,
     n_init: int = 20,
     silhouette_sample: int | None = None,
+    **fit_options,
 ) -> tuple[DataFrame, DataFrame] | None:
     """Does a class column survive the reduction? K-means with one cluster per class on each
     representation, scored against the classes: (class counts, metrics) or None."""
@@ -184,17 +186,18 @@ def separability(
     requests = [KMeansRequest(name, size, (classes,)) for name, size in representations.items()]
     scored = cluster_representations(
         class_label(df, group), row_id, requests, rows, references=[CLASS_COLUMN] * len(requests),
-        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample,
+        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample, **fit_options,
     )
     return counts, sweep_table(df, [(r.column, r.ks, m) for r, (_, m) in zip(requests, scored)])
 
 
 def fallback_labels(
-    df: DataFrame, row_id: str, column: str, shape: MatrixShape, target: str | None, *, seed: int = 42, n_init: int = 20
+    df: DataFrame, row_id: str, column: str, shape: MatrixShape, target: str | None, *, seed: int = 42, n_init: int = 20,
+    **fit_options,
 ) -> DataFrame:
     """``(row_id, label)`` of a sample: its target, else K-means with at most six clusters."""
     if target is not None:
         return df.select(f"`{row_id}`", F.col(f"`{target}`").alias("label"))
     k = min(6, shape.rows - 1)
-    model = fit_kmeans(df, row_id, column, ks=[k], seed=seed, n_init=n_init, shape=shape)[k]
+    model = fit_kmeans(df, row_id, column, ks=[k], seed=seed, n_init=n_init, shape=shape, **fit_options)[k]
     return label_all(df, [model], column).select(f"`{row_id}`", F.col("labels")[0].cast("double").alias("label"))

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eigenlake.functions.arrow import to_matrix
 from eigenlake.functions.blocks import sum_partials
 
 # Up to this many features the correlation is one JVM aggregate.
@@ -47,7 +48,7 @@ def feature_histograms(
     """
     names = list(features)[:max_features]
     if not names:
-        raise ValueError("No features available for distribution plot")
+        raise ValueError("A histogram is of features; none is named")
     ranges = _ranges(df, names)
     cells, grid = [], []
     for name, r in zip(names, ranges):
@@ -71,33 +72,59 @@ def feature_histograms(
     )
 
 
+# Bins per bandwidth, and the highest moment kept of each: the expansion of a kernel then errs by less than 2e-11 of its peak.
+BINS_PER_WIDTH, MOMENTS = 4, 8
+
+
 def feature_density(
     df: DataFrame, features: Sequence[str], points: int = GRID_POINTS, max_features: int | None = None
 ) -> DataFrame:
     """``(feature, x, density)``: Gaussian kernel density on an even grid over each feature's
-    range. Bandwidth by Scott's rule, sample deviation x n^(-1/5). The grid travels to the
-    rows; each task sends one partial sum per grid point. Constant features have no curve.
+    range. Bandwidth by Scott's rule, sample deviation x n^(-1/5). Constant features have no curve.
+
+    Values are counted into bins of a quarter bandwidth with their moments about the bin's centre, by plain
+    aggregation. About a centre the kernel is a Hermite series in those moments, so a bin stands for its rows up to an
+    error of 1.09 (1/8)^9 / sqrt(9!) < 2e-11 per row, relative to the kernel's peak; only bins meet the grid.
     """
     names = list(features)[:max_features]
     ranges = _ranges(df, names)
     kept = [(n, r) for n, r in zip(names, ranges) if r["spread"]]
     if not kept:
-        raise ValueError("No features available for density curves")
+        raise ValueError("No feature varies, so there is no density curve")
     grids = np.array([np.linspace(r["low"], r["high"], points) for _, r in kept])
     widths = np.array([r["spread"] * r["n"] ** -0.2 for _, r in kept])
+    cells = []
+    for f, (name, r) in enumerate(kept):
+        value, step = F.col(f"`{name}`"), F.lit(float(widths[f]) / BINS_PER_WIDTH)
+        place = F.floor((value - F.lit(float(r["low"]))) / step)
+        centre = F.lit(float(r["low"])) + (place + 0.5) * step
+        shift = (value - centre) / F.lit(float(widths[f]))
+        cells.append(F.struct(F.lit(f).alias("feature"), place.alias("bin"), centre.alias("centre"), shift.alias("u")))
+    long = df.select(F.explode(F.array(*cells)).alias("c")).where(F.col("c.bin").isNotNull()).select("c.*")
+    binned = long.groupBy("feature", "bin").agg(
+        F.first("centre").alias("centre"), F.array(*[F.sum(F.pow("u", F.lit(p))) for p in range(MOMENTS + 1)]).alias("moments")
+    )
 
     def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
         sums, seen = np.zeros(grids.shape), False
         for batch in batches:
-            for f in range(len(grids)):
-                values = batch.column(f).drop_null().to_numpy(zero_copy_only=False)
-                seen = seen or len(values) > 0
-                for start in range(0, len(values), 4096):
-                    z = (grids[f][:, None] - values[None, start : start + 4096]) / widths[f]
-                    sums[f] += np.exp(-0.5 * z * z).sum(axis=1)
+            feature, centre = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            moments = to_matrix(batch.column(2), MOMENTS + 1)
+            for f in np.unique(feature).tolist():
+                seen, own = True, np.flatnonzero(feature == f)
+                for start in range(0, len(own), 4096):
+                    some = own[start : start + 4096]
+                    t = (grids[f][:, None] - centre[some][None, :]) / widths[f]
+                    # Hermite polynomials over factorials, by their recurrence.
+                    before, here = np.zeros_like(t), np.exp(-0.5 * t * t)
+                    total = here * moments[some, 0]
+                    for p in range(1, MOMENTS + 1):
+                        before, here = here, (t * here - before) / p
+                        total += here * moments[some, p]
+                    sums[f] += total.sum(axis=1)
         return sums if seen else None
 
-    summed = sum_partials(df.select(*[f"`{n}`" for n, _ in kept]), partial, grids.size).reshape(grids.shape)
+    summed = sum_partials(binned.select("feature", "centre", "moments"), partial, grids.size).reshape(grids.shape)
     rows = [
         (name, p, float(grids[f, p]), float(summed[f, p] / (r["n"] * widths[f] * np.sqrt(2 * np.pi))))
         for f, (name, r) in enumerate(kept)

@@ -76,6 +76,7 @@ def fit_kmeans(
     max_iter: int = 300,
     tol: float = 1e-4,
     init: np.ndarray | None = None,
+    start_rows: Sequence | None = None,
     shape: MatrixShape | None = None,
 ) -> dict[int, KMeansModel]:
     """Best of ``n_init`` restarts for every k, on all rows of one column. ``init`` gives
@@ -84,7 +85,7 @@ def fit_kmeans(
     request = KMeansRequest(column, shape.width, tuple(ks))
     staged = stage(df.select(f"`{row_id}`", f"`{column}`"), "kmeans")
     return fit_kmeans_together(
-        staged, row_id, [request], shape.rows, seed=seed, n_init=n_init, max_iter=max_iter, tol=tol, init=init
+        staged, row_id, [request], shape.rows, seed=seed, n_init=n_init, max_iter=max_iter, tol=tol, init=init, start_rows=start_rows
     )[0]
 
 
@@ -99,21 +100,26 @@ def fit_kmeans_together(
     max_iter: int = 300,
     tol: float = 1e-4,
     init: np.ndarray | None = None,
+    start_rows: Sequence | None = None,
 ) -> list[dict[int, KMeansModel]]:
     """Several representations of the same rows, several k and all restarts at once.
 
     Everything moves together, so the number of passes over the (staged) frame is the
     longest run's iteration count, not the sum over runs. Only centres reach the driver.
+    ``init`` gives the starting centres of a single run; ``start_rows`` the ids of rows whose vectors start one
+    run per k, the first k of them.
     """
     for request in requests:
         if any(not 2 <= k < rows for k in request.ks):
-            raise ValueError("n_clusters must be at least 2 and smaller than sample count")
+            raise ValueError(f"n_clusters goes from 2 to the number of rows less one, {rows - 1}")
     columns = list(dict.fromkeys(request.column for request in requests))
     vectors = df.select(*[f"`{name}`" for name in columns])
     tasks = task_count(vectors)
     location = _locations(vectors, columns)
     if init is not None:
         runs = [_Run(0, np.array(init, dtype=float) - location[requests[0].column][0])]
+    elif start_rows is not None:
+        runs = _runs_from_rows(df, row_id, requests, list(start_rows), location)
     else:
         runs = _starting_runs(df, row_id, requests, columns, seed, n_init, location, tasks)
     scan = _Scan(vectors, columns, requests, {c: location[c][0] for c in columns}, tasks)
@@ -138,7 +144,7 @@ def fit_kmeans_together(
         if (counts > 0).sum() >= 2 and (k not in found or cost < found[k].inertia):
             found[k] = KMeansModel(run.centers + location[requests[run.request].column][0], cost, run.steps)
     if any(k not in found for request, found in zip(requests, best) for k in request.ks):
-        raise ValueError("K-means produced fewer than two clusters")
+        raise ValueError("The rows fall into fewer than two clusters")
     return best
 
 
@@ -183,6 +189,21 @@ def _starting_runs(df, row_id, requests, columns, seed, n_init, location, tasks)
     return runs
 
 
+def _runs_from_rows(df, row_id, requests, start_rows, location) -> list[_Run]:
+    wanted = max(k for request in requests for k in request.ks)
+    if len(start_rows) < wanted:
+        raise ValueError(f"{wanted} starting rows are needed, {len(start_rows)} are given")
+    named = df.where(F.col(f"`{row_id}`").isin(start_rows[:wanted]))
+    found = {row[0]: row[1:] for row in named.select(f"`{row_id}`", *[f"`{c}`" for c in location]).collect()}
+    absent = [row for row in start_rows[:wanted] if row not in found]
+    if absent:
+        raise ValueError(f"No rows with the ids {absent}")
+    points = {
+        c: np.array([found[row][i] for row in start_rows[:wanted]], dtype=float) - location[c][0] for i, c in enumerate(location)
+    }
+    return [_Run(place, points[request.column][:k]) for place, request in enumerate(requests) for k in request.ks]
+
+
 def _draw(keyed, columns, candidates, wanted, location, seed, tasks) -> dict[str, np.ndarray]:
     """One pass: for every column, rows drawn without replacement with a chance that follows their cost.
 

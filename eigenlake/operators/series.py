@@ -40,13 +40,13 @@ def check_series(series: DataFrame, rank: int | None = None, window: int | None
         F.min(limit).alias("max_rank"),
     ).first()
     if found["short"] is None or found["short"] < 4 or found["bad"]:
-        raise ValueError("signal must be a finite 1D vector with at least four samples")
+        raise ValueError("every series needs four samples or more, all of them finite")
     if found["gaps"]:
         raise ValueError("t must number the samples of each series without gaps")
     if found["low"] < 2 or found["room"] < 1:
-        raise ValueError("window must be between 2 and len(signal)-1")
+        raise ValueError("a window is shorter than 2 or not shorter than its series")
     if rank is not None and not 1 <= rank <= found["max_rank"]:
-        raise ValueError(f"rank must be between 1 and {found['max_rank']}")
+        raise ValueError(f"rank {rank} is outside 1..{found['max_rank']}, what the shortest series allows")
     return sizes.select("series_id", "n", "first_t", "window")
 
 
@@ -107,34 +107,51 @@ def _windows(part: pd.DataFrame, block_starts: int) -> np.ndarray:
 
 
 def trajectory_bases(cut: DataFrame, rank: int, block_starts: int = BLOCK_STARTS) -> DataFrame:
-    """Leading directions of every series' trajectory: ``(series_id, basis ARRAY<DOUBLE>,
-    energy)``. Each block sends window^2 / 2 Gram cells; cells are summed per series."""
+    """Leading directions of every series' trajectory: ``(series_id, basis ARRAY<DOUBLE>, energy)``.
+
+    A step down a diagonal of the trajectory's Gram matrix drops one product of samples and adds another, so the
+    whole matrix follows from its first row and the first and last samples of the series. A block sends that
+    row, one sum per lag, in O(starts x window); the matrix is built where the sums of a series meet.
+    """
     id_type = cut.schema["series_id"].dataType.simpleString()
 
-    def gram(part: pd.DataFrame) -> pd.DataFrame:
-        views = _windows(part.sort_values("at"), block_starts)
-        block = views.T @ views
-        i, j = np.triu_indices(len(block))
-        return pd.DataFrame({"series_id": part["series_id"].iloc[0], "i": i, "j": j, "value": block[i, j]})
+    def lag_sums(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("at")
+        values, window = part["value"].to_numpy(dtype=float), int(part["window"].iloc[0])
+        starts = len(_windows(part, block_starts))
+        parts = [("lag", np.array([values[:starts] @ values[lag : lag + starts] for lag in range(window)]))]
+        if part["at"].iloc[0] == 0:
+            parts.append(("head", values[:window]))
+        if part["at"].iloc[-1] == part["n"].iloc[0] - 1:
+            parts.append(("tail", values[starts : starts + window - 1]))
+        return pd.concat(
+            pd.DataFrame({"series_id": part["series_id"].iloc[0], "kind": kind, "place": np.arange(len(v)), "value": v}) for kind, v in parts
+        )
 
-    cells = (
+    sums = (
         cut.groupBy(*KEYS)
-        .applyInPandas(gram, f"series_id {id_type}, i int, j int, value double")
-        .groupBy("series_id", "i", "j")
+        .applyInPandas(lag_sums, f"series_id {id_type}, kind string, place int, value double")
+        .groupBy("series_id", "kind", "place")
         .agg(F.sum("value").alias("value"))
     )
 
     def leading(part: pd.DataFrame) -> pd.DataFrame:
-        width = int(part["j"].max()) + 1
-        matrix = np.zeros((width, width))
-        matrix[part["i"], part["j"]] = matrix[part["j"], part["i"]] = part["value"]
+        part = part.sort_values("place")
+        lag, head, tail = (part["value"][part["kind"] == kind].to_numpy() for kind in ("lag", "head", "tail"))
+        window = len(lag)
+        matrix = np.empty((window, window))
+        for shift in range(window):
+            steps = tail[: window - 1 - shift] * tail[shift:] - head[: window - 1 - shift] * head[shift : window - 1]
+            diagonal = lag[shift] + np.concatenate([[0.0], np.cumsum(steps)])
+            place = np.arange(window - shift)
+            matrix[place, place + shift] = matrix[place + shift, place] = diagonal
         values, vectors = np.linalg.eigh(matrix)
         basis = vectors[:, ::-1][:, :rank]
         return pd.DataFrame(
             {"series_id": [part["series_id"].iloc[0]], "basis": [basis.ravel()], "energy": [float(values.sum())]}
         )
 
-    return cells.groupBy("series_id").applyInPandas(
+    return sums.groupBy("series_id").applyInPandas(
         leading, f"series_id {id_type}, basis array<double>, energy double"
     )
 

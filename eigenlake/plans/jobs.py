@@ -179,8 +179,12 @@ def train(
     exclude: Sequence[str] = (),
     n_init: int = 20,
     silhouette_sample: int | None = None,
+    **fit_options,
 ) -> JobResult:
-    """Fit one reducer, evaluate it and return a reusable model with its report tables."""
+    """Fit one reducer, evaluate it and return a reusable model with its report tables.
+
+    ``fit_options`` (``start_rows``, ``max_iter``, ``tol``) go to the K-means fits.
+    """
     fit = build_reducer(method)
     spark = df.sparkSession
     prepared = prepare(
@@ -200,7 +204,7 @@ def train(
     ]
     (_, [before]), ([after_model], [after]) = cluster_representations(
         reduced, key, requests, prepared.rows, references=[target, target],
-        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample,
+        seed=seed, n_init=n_init, silhouette_sample=silhouette_sample, **fit_options,
     )
     metrics = [
         *_run_facts(prepared, train_fraction, seed),
@@ -242,12 +246,13 @@ def compare(
     n_init: int = 20,
     silhouette_sample: int | None = None,
     max_clusters: int = 10,
+    **fit_options,
 ) -> JobResult:
     """Fit PCA and SVD on the same split and state and compare every outcome.
 
     Each method is fitted once with its full basis: the retained model, the two leading
     directions and the whole reconstruction curve are prefixes of it. The main clustering
-    and the sweep share their K-means passes.
+    and the sweep share their K-means passes. ``fit_options`` (``start_rows``, ``max_iter``, ``tol``) go to these.
     """
     spark = df.sparkSession
     prepared = prepare(
@@ -288,7 +293,8 @@ def compare(
         requests += [KMeansRequest(name, size, (classes[1],)) for name, size in planar.items()]
         references += [CLASS_COLUMN] * len(planar)
     found = cluster_representations(
-        frame, key, requests, rows, references=references, seed=seed, n_init=n_init, silhouette_sample=silhouette_sample
+        frame, key, requests, rows, references=references, seed=seed, n_init=n_init, silhouette_sample=silhouette_sample,
+        **fit_options,
     )
     metrics = _run_facts(prepared, train_fraction, seed)
     sweep, clusters = [], {}
