@@ -30,6 +30,25 @@ def order_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One numeric profile per customer under the names of the order profile; few enough rows for all pairs in SQL."""
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.sum("o_totalprice").cast("double").alias("price"),
+        F.max("o_totalprice").cast("double").alias("max_price"),
+    )
+    return table(spark, sf_dir, "customer").join(orders, "c_custkey", "left").select(
+        F.col("c_custkey").alias("row_id"),
+        F.coalesce("n", F.lit(0.0)).alias("n"),
+        F.col("c_acctbal").cast("double").alias("qty"),
+        F.coalesce("price", F.lit(0.0)).alias("price"),
+        F.coalesce("max_price", F.lit(0.0)).alias("max_price"),
+        F.col("c_nationkey").cast("double").alias("disc"),
+        (F.col("c_custkey") % 3).cast("int").alias("target"),
+        F.col("c_mktsegment").alias("flag"),
+    )
+
+
 def dirty_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order profile with missing and infinite cells and a constant column."""
     clean = order_profile(spark, sf_dir)

@@ -120,6 +120,67 @@ SILHOUETTE = """sil AS (
     FROM (SELECT i, li, lj, avg(d) AS m FROM pairs GROUP BY i, li, lj) GROUP BY i))"""
 CONTINGENCY = "ct AS (SELECT row_id % 4 AS reference, label AS cluster, count(*)::DOUBLE AS n FROM v GROUP BY ALL)"
 
+# One profile per customer, under the names of the order profile, so that its steps apply; small enough for all pairs.
+CUSTOMERS = """f1 AS (
+  SELECT c_custkey AS row_id, count(o_orderkey)::DOUBLE AS n, c_acctbal::DOUBLE AS qty, coalesce(sum(o_totalprice), 0)::DOUBLE AS price,
+         coalesce(max(o_totalprice), 0)::DOUBLE AS max_price, c_nationkey::DOUBLE AS disc,
+         (c_custkey % 3)::INTEGER AS target, c_mktsegment AS flag
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL)"""
+
+
+def started_clustering(points: str, ks: list[int], steps: int, starts: str, p: str = "") -> str:
+    """K-means of every representation in ``points(rep, row_id, f, ref)`` for all ks, from the first k rows of
+    ``starts(place, row_id)`` in so many steps, and all metrics of what it reaches: ``met(rep, k, metric, value)``.
+
+    ``p`` goes before the names of the steps.
+    """
+    axes = f"range(1, (SELECT max(len(f)) + 1 FROM {points})) r(x)"
+    parts = [
+        f"{p}kk AS (SELECT unnest({ks}) AS k)",
+        f"{p}c0 AS MATERIALIZED (SELECT rep, k, place::INTEGER AS label, f AS c FROM {points} JOIN {starts} USING (row_id), {p}kk WHERE place < k)",
+    ]
+    for s in range(steps + 1):
+        parts.append(f"""{p}a{s} AS MATERIALIZED (SELECT rep, k, row_id, any_value(f) AS f, any_value(ref) AS ref,
+            (arg_min(label, [list_distance(f, c), label]))::INTEGER AS label FROM {points} JOIN {p}c{s} USING (rep) GROUP BY rep, k, row_id)""")
+        if s < steps:
+            parts.append(f"""{p}c{s + 1} AS MATERIALIZED (SELECT rep, k, label, list(m ORDER BY x) AS c FROM (
+              SELECT rep, k, label, x, avg(f[x]) AS m FROM {p}a{s}, {axes} WHERE x <= len(f) GROUP BY ALL) GROUP BY rep, k, label)""")
+    lab = f"{p}a{steps}"
+    parts += [
+        f"""{p}cen AS (SELECT rep, k, label, list(m ORDER BY x) AS c, any_value(n) AS n FROM (
+          SELECT rep, k, label, x, avg(f[x]) AS m, count(*) AS n FROM {lab}, {axes} WHERE x <= len(f) GROUP BY ALL) GROUP BY rep, k, label)""",
+        f"{p}own AS (SELECT rep, k, row_id, label, list_distance(f, c) AS d FROM {lab} JOIN {p}cen USING (rep, k, label))",
+        f"""{p}pr AS MATERIALIZED (SELECT a.rep, a.row_id AS i, b.row_id AS j, list_distance(a.f, b.f) AS d
+          FROM {points} a JOIN {points} b ON a.rep = b.rep AND a.row_id <> b.row_id)""",
+        f"""{p}sil AS (SELECT rep, k, CASE WHEN same IS NULL THEN 0.0 ELSE (other - same) / greatest(same, other) END AS s FROM (
+          SELECT rep, k, i, max(CASE WHEN li = lj THEN m END) AS same, min(CASE WHEN li <> lj THEN m END) AS other FROM (
+            SELECT a.rep, a.k, i, a.label AS li, b.label AS lj, avg(d) AS m FROM {p}pr
+            JOIN {lab} a ON a.rep = {p}pr.rep AND a.row_id = i JOIN {lab} b ON b.rep = a.rep AND b.k = a.k AND b.row_id = j GROUP BY ALL)
+          GROUP BY rep, k, i))""",
+        f"{p}gm AS (SELECT rep, list(m ORDER BY x) AS g FROM (SELECT rep, x, avg(f[x]) AS m FROM {points}, {axes} WHERE x <= len(f) GROUP BY ALL) GROUP BY rep)",
+        f"{p}bw AS (SELECT rep, k, sum(n * list_distance(c, g) ** 2) AS b, count(*) AS cl FROM {p}cen JOIN {p}gm USING (rep) GROUP BY rep, k)",
+        f"{p}k2 AS (SELECT rep, k, label, s, c FROM (SELECT rep, k, label, avg(d) AS s FROM {p}own GROUP BY ALL) JOIN {p}cen USING (rep, k, label))",
+        f"{p}ct AS (SELECT rep, k, ref, label, count(*)::DOUBLE AS n FROM {lab} GROUP BY ALL)",
+        f"{p}ra AS (SELECT rep, k, ref, sum(n) AS n FROM {p}ct GROUP BY ALL)",
+        f"{p}ca AS (SELECT rep, k, label, sum(n) AS n FROM {p}ct GROUP BY ALL)",
+        f"""{p}q AS (SELECT * FROM (SELECT rep, k, sum(n) AS t, sum(n) * (sum(n) - 1) / 2 AS p, sum(n * (n - 1) / 2) AS same FROM {p}ct GROUP BY ALL)
+          JOIN (SELECT rep, k, sum(n * (n - 1) / 2) AS a, sum(n) AS ta, -sum(n * ln(n)) AS xr FROM {p}ra GROUP BY ALL) USING (rep, k)
+          JOIN (SELECT rep, k, sum(n * (n - 1) / 2) AS b, -sum(n * ln(n)) AS xc FROM {p}ca GROUP BY ALL) USING (rep, k)
+          JOIN (SELECT rep, k, -sum(n * ln(n)) AS xb FROM {p}ct GROUP BY ALL) USING (rep, k))""",
+        f"""{p}met AS (
+          SELECT rep, k, 'inertia' AS metric, sum(d * d) AS value FROM {p}own GROUP BY ALL
+          UNION ALL SELECT rep, k, 'calinski_harabasz', any_value(b) * (count(*) - any_value(cl)) / (sum(d * d) * (any_value(cl) - 1))
+            FROM {p}own JOIN {p}bw USING (rep, k) GROUP BY ALL
+          UNION ALL SELECT rep, k, 'davies_bouldin', avg(m) FROM (SELECT a.rep, a.k, a.label, max((a.s + b.s) / list_distance(a.c, b.c)) AS m
+            FROM {p}k2 a JOIN {p}k2 b ON a.rep = b.rep AND a.k = b.k AND a.label <> b.label GROUP BY ALL) GROUP BY ALL
+          UNION ALL SELECT rep, k, 'silhouette', avg(s) FROM {p}sil GROUP BY ALL
+          UNION ALL SELECT rep, k, 'adjusted_rand_index', (same - a * b / p) / ((a + b) / 2 - a * b / p) FROM {p}q
+          UNION ALL SELECT rep, k, 'normalized_mutual_information',
+            ((ln(t) + xr / t) + (ln(t) + xc / t) - (ln(t) + xb / t)) / (((ln(t) + xr / t) + (ln(t) + xc / t)) / 2) FROM {p}q)""",
+    ]
+    return ",\n".join(parts)
+
+
 SERIES = """hours AS (SELECT event_type AS series_id, (floor(epoch(ts) / 3600))::BIGINT AS t FROM events),
 counts AS (SELECT series_id, t, count(*)::DOUBLE AS value FROM hours GROUP BY ALL),
 span AS (SELECT min(t) AS low, max(t) AS high FROM counts),

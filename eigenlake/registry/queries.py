@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eigenlake.functions.numeric import finite_value, tidy
-from eigenlake.operators import affinity, clean, cluster_metrics, clustering, diagnostics, explore
+from eigenlake.operators import affinity, clean, cluster_metrics, clustering, descent, diagnostics, explore
 from eigenlake.operators import kmeans, lowrank, neighbours, series
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.moments import column_means, covariance, gram_cells
@@ -641,6 +642,31 @@ def component_alignment(spark, sf_dir):
     return rounded(diagnostics.component_alignment(left, right), ["cosine"])
 
 
+# A second basis, of the rows that do not train, under names of its own.
+OTHER_BASIS = [
+    sql.COV.replace("cov AS", "cov_b AS", 1).replace("WHERE is_train", "WHERE NOT is_train"),
+    sql.MATRIX.replace("cm1 AS", "cm1_b AS", 1).replace("FROM cov ", "FROM cov_b "),
+    re.sub(r"\b(it\d+|cm\d+|e\d+|eig|spec|pick)\b", r"\1_b", sql.EIGEN),
+]
+
+
+@query(
+    "alignment_of_two_fits",
+    with_steps(
+        [*sql.SPECTRAL, *OTHER_BASIS],
+        f"""SELECT a.component, {r('list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v)))')} AS cosine
+        FROM eig a JOIN eig_b b USING (component)""",
+    ),
+)
+def alignment_of_two_fits(spark, sf_dir):
+    """Components of the training rows against those of the test rows."""
+    prepared = profile(spark, sf_dir)
+    left = fit_pca(prepared.train, n_components=D, shape=prepared.train_shape).components_table(spark)
+    test = prepared.frame.where(F.col("split") == "test")
+    right = fit_svd(test, n_components=D, shape=MatrixShape(prepared.rows - prepared.train_rows, D)).components_table(spark)
+    return rounded(diagnostics.component_alignment(left, right), ["cosine"])
+
+
 @query(
     "top_component_features",
     with_steps(
@@ -894,6 +920,86 @@ def separability(spark, sf_dir):
     return rounded(metrics, ["value"], 4)
 
 
+# The embeddings and their first half as two representations, and starts at the first vector of each label.
+HALF = fx.VECTOR_WIDTH // 2
+TWO_REPRESENTATIONS = [
+    sql.V,
+    f"""pts AS MATERIALIZED (SELECT 'features' AS rep, row_id, f, row_id % 4 AS ref FROM v
+      UNION ALL SELECT 'half', row_id, f[1:{HALF}], row_id % 4 FROM v)""",
+    "sta AS (SELECT row_number() OVER (ORDER BY label) - 1 AS place, row_id FROM (SELECT label, min(row_id) AS row_id FROM v GROUP BY label))",
+]
+STEPS = {"max_iter": 2, "tol": 0.0}
+
+
+def _two_representations(spark, sf_dir):
+    frame, shape, _ = labelled_vectors(spark, sf_dir)
+    both = stage(frame.withColumn("half", F.slice("features", 1, HALF)), "both")
+    starts = [r["row_id"] for r in frame.groupBy("label").agg(F.min("row_id").alias("row_id")).orderBy("label").collect()]
+    return both, shape, {"features": shape.width, "half": HALF}, starts
+
+
+SWEEP_SQL = with_steps(
+    [*TWO_REPRESENTATIONS, sql.started_clustering("pts", list(range(2, 11)), 2, "sta")],
+    f"SELECT rep AS representation, k::INTEGER AS k, metric, {r('value', 4)} AS value FROM met",
+)
+
+
+@query("sweep_from_starts", SWEEP_SQL)
+def sweep_from_starts(spark, sf_dir):
+    """``clustering_sweep`` from stated rows in a stated number of steps."""
+    both, shape, widths, starts = _two_representations(spark, sf_dir)
+    return rounded(clustering.clustering_sweep(both, "row_id", widths, "ref", rows=shape.rows, start_rows=starts, **STEPS), ["value"], 4)
+
+
+@query(
+    "curve_from_starts",
+    with_steps(
+        [*TWO_REPRESENTATIONS, sql.started_clustering("pts", list(range(2, 11)), 2, "sta")],
+        f"SELECT rep AS representation, k::INTEGER AS k, {r('value', 4)} AS value FROM met WHERE metric = 'adjusted_rand_index'",
+    ),
+)
+def curve_from_starts(spark, sf_dir):
+    """``metric_curve`` of the sweep from stated rows."""
+    return explore.metric_curve(sweep_from_starts(spark, sf_dir), "adjusted_rand_index")
+
+
+@query(
+    "separability_from_starts",
+    with_steps(
+        [*TWO_REPRESENTATIONS, sql.started_clustering("pts", [4], 2, "sta")],
+        f"SELECT rep AS representation, k::INTEGER AS k, metric, {r('value', 4)} AS value FROM met",
+    ),
+)
+def separability_from_starts(spark, sf_dir):
+    both, shape, widths, starts = _two_representations(spark, sf_dir)
+    _, metrics = clustering.separability(
+        both.withColumn("kind", F.col("ref").cast("string")), "row_id", "kind", widths,
+        rows=shape.rows, train_rows=shape.rows, width=shape.width, start_rows=starts, **STEPS,
+    )
+    return rounded(metrics, ["value"], 4)
+
+
+@query(
+    "cluster_labels_from_starts",
+    with_steps(
+        [*TWO_REPRESENTATIONS, sql.started_clustering("pts", [6], 2, "sta")],
+        "SELECT row_id, label::DOUBLE AS label FROM a2 WHERE rep = 'features'",
+    ),
+)
+def cluster_labels_from_starts(spark, sf_dir):
+    """The K-means branch of ``fallback_labels`` from stated rows."""
+    both, shape, _, starts = _two_representations(spark, sf_dir)
+    return clustering.fallback_labels(both, "row_id", "features", shape, None, start_rows=starts, **STEPS)
+
+
+@query("silhouette_by_grid", with_steps([sql.V, sql.PAIRS, sql.SILHOUETTE], f"SELECT row_id, {r('s')} AS score FROM sil"))
+def silhouette_by_grid(spark, sf_dir):
+    """The silhouette of a table in many blocks."""
+    frame, shape, classes = labelled_vectors(spark, sf_dir)
+    scored = cluster_metrics.silhouette_scores(frame, "row_id", [classes], shape, block_bytes=100 * 8 * fx.VECTOR_WIDTH)
+    return scored.select("row_id", tidy(F.col("scores")[0]).alias("score"))
+
+
 # --- exploratory tables ----------------------------------------------------------------
 
 
@@ -1065,6 +1171,45 @@ def nearest_neighbours(spark, sf_dir):
     return rounded(neighbours.nearest_neighbours(frame, "row_id", NEIGHBOURS, clean.check_matrix(frame)), ["distance"])
 
 
+PRUNED_NEIGHBOURS = 5
+
+
+@query(
+    "pruned_neighbours",
+    with_steps(
+        ["v AS (SELECT c_custkey AS row_id, [c_acctbal::DOUBLE / 100, c_nationkey::DOUBLE * 100] AS f, 0 AS label FROM customer)", sql.PAIRS],
+        f"SELECT i AS row_id, j AS neighbour, rank::INTEGER AS rank, {r('d')} AS distance FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rank FROM pairs) WHERE rank <= {PRUNED_NEIGHBOURS}",
+    ),
+)
+def pruned_neighbours(spark, sf_dir):
+    """Neighbours of a table in many blocks, joined cell by cell."""
+    customers = fx.table(spark, sf_dir, "customer")
+    points = F.array(F.col("c_acctbal").cast("double") / 100, F.col("c_nationkey").cast("double") * 100)
+    frame = stage(customers.select(F.col("c_custkey").alias("row_id"), points.alias("features")), "customers")
+    shape = clean.check_matrix(frame)
+    return rounded(neighbours.nearest_neighbours(frame, "row_id", PRUNED_NEIGHBOURS, shape, block_bytes=3200), ["distance"])
+
+
+@query(
+    "neighbour_descent",
+    with_steps([sql.V], f"SELECT count(*) * {NEIGHBOURS} AS edges, count(*) AS row_count, true AS recall_reached, true AS stated_recall_holds FROM v"),
+)
+def neighbour_descent(spark, sf_dir):
+    """The recall that the descent states against the one over all rows."""
+    frame = stage(fx.vectors(spark, sf_dir), "v")
+    shape = clean.check_matrix(frame)
+    found = descent.descend(frame, "row_id", NEIGHBOURS, shape)
+    edges = stage(found.edges.select("row_id", "neighbour"), "descent")
+    exact = neighbours.nearest_neighbours(frame, "row_id", NEIGHBOURS, shape).select("row_id", "neighbour")
+    hits = edges.join(exact, ["row_id", "neighbour"]).count() / (NEIGHBOURS * shape.rows)
+    return edges.agg(
+        F.count("*").alias("edges"),
+        F.count_distinct("row_id").alias("row_count"),
+        F.lit(hits >= 0.9).alias("recall_reached"),
+        F.lit(abs(hits - found.parameters["recall"]) < 0.05).alias("stated_recall_holds"),
+    )
+
+
 @query(
     "perplexity_calibration",
     with_steps([sql.V, sql.CALIBRATION], f"SELECT row_id, {r('beta', 4)} AS beta, {r('entropy', 4)} AS entropy FROM cal"),
@@ -1293,6 +1438,82 @@ def compare_job(spark, sf_dir):
     return rounded(result.tables["metrics"], ["value"], 4)
 
 
+# The same jobs on the customer profile, K-means from stated rows in stated steps: every number of them in SQL.
+CUSTOMER_RESIDUALS = [sql.CUSTOMERS if step is sql.F1 else step for step in RESIDUALS]
+CUSTOMER_STARTS = "sta AS (SELECT row_number() OVER (ORDER BY row_id) - 1 AS place, row_id FROM f1)"
+REPORT_SQL = {
+    "mse": _mse(), "relative_frobenius_error": _rel(), "train_mse": _mse("is_train"), "train_relative_frobenius_error": _rel("is_train"),
+    "test_mse": _mse("NOT is_train"), "test_relative_frobenius_error": _rel("NOT is_train"),
+    "test_minus_train_mse": _mse("NOT is_train") + " - " + _mse("is_train"),
+    "test_to_train_mse_ratio": _mse("NOT is_train") + " / " + _mse("is_train"),
+}
+RUN_SQL = {
+    "train_fraction": "0.8", "train_rows": "(SELECT count(*) FROM sp WHERE is_train)", "test_rows": "(SELECT count(*) FROM sp WHERE NOT is_train)",
+    "random_state": "42", "constant_features": "0",
+}
+MODEL_SQL = {"selected_components": "(SELECT k FROM pk)", "variance_retained": "(SELECT sum(ratio) FROM spec, pk WHERE component <= k)"}
+
+
+def _sections(found: dict[str, dict[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, 0 AS k, '{name}' AS metric, {r(f'({text})::DOUBLE', 4)} AS value"
+        for section, values in found.items()
+        for name, text in values.items()
+    )
+
+
+def _customer_starts(spark, sf_dir):
+    rows = fx.table(spark, sf_dir, "customer").select("c_custkey").orderBy("c_custkey").limit(10).collect()
+    return {"start_rows": [row[0] for row in rows], **STEPS}
+
+
+@query(
+    "train_from_starts",
+    with_steps(
+        [*CUSTOMER_RESIDUALS, CUSTOMER_STARTS,
+         """pts AS MATERIALIZED (SELECT 'clustering_original' AS rep, row_id, f, target AS ref FROM z
+            UNION ALL SELECT 'clustering_reduced', row_id, z[1:(SELECT k FROM pk)], target FROM sc)""",
+         sql.started_clustering("pts", [6], 2, "sta")],
+        _sections({"run": RUN_SQL, "model": MODEL_SQL, "reconstruction": REPORT_SQL})
+        + f" UNION ALL SELECT rep, 0, metric, {r('value', 4)} FROM met",
+    ),
+)
+def train_from_starts(spark, sf_dir):
+    result = jobs.train(
+        fx.customer_profile(spark, sf_dir), method="pca", target="target", row_id="row_id", **_customer_starts(spark, sf_dir)
+    )
+    return rounded(result.tables["metrics"].select("section", F.lit(0).alias("k"), "metric", "value"), ["value"], 4)
+
+
+@query(
+    "compare_from_starts",
+    with_steps(
+        [*CUSTOMER_RESIDUALS, CUSTOMER_STARTS,
+         """pts AS MATERIALIZED (SELECT 'original' AS rep, row_id, f, target AS ref FROM z
+            UNION ALL SELECT 'pca', row_id, z[1:(SELECT k FROM pk)], target FROM sc)""",
+         """flat AS MATERIALIZED (SELECT 'features' AS rep, row_id, f, flag AS ref FROM z
+            UNION ALL SELECT 'pca_2d', row_id, z[1:2], flag FROM sc)""",
+         sql.started_clustering("pts", list(range(2, 11)), 2, "sta"),
+         sql.started_clustering("flat", [5], 2, "sta", "g"),
+         "swept AS (SELECT * FROM met UNION ALL SELECT 'svd', k, metric, value FROM met WHERE rep = 'pca')",
+         "apart AS (SELECT * FROM gmet UNION ALL SELECT 'svd_2d', k, metric, value FROM gmet WHERE rep = 'pca_2d')"],
+        _sections({"run": RUN_SQL, "pca": MODEL_SQL, "svd": MODEL_SQL, "reconstruction_pca": REPORT_SQL, "reconstruction_svd": REPORT_SQL})
+        + f""" UNION ALL SELECT 'clustering_' || rep, 0, metric, {r('value', 4)} FROM swept WHERE k = 6
+          UNION ALL SELECT 'sweep_' || rep, k, metric, {r('value', 4)} FROM swept
+          UNION ALL SELECT 'separability_' || rep, k, metric, {r('value', 4)} FROM apart""",
+    ),
+)
+def compare_from_starts(spark, sf_dir):
+    tables = jobs.compare(
+        fx.customer_profile(spark, sf_dir), target="target", group_col="flag", row_id="row_id", **_customer_starts(spark, sf_dir)
+    ).tables
+    out = tables["metrics"].select("section", F.lit(0).alias("k"), "metric", "value")
+    for name, prefix in (("clustering_sweep", "sweep_"), ("separability", "separability_")):
+        section = F.concat(F.lit(prefix), F.col("representation")).alias("section")
+        out = out.union(tables[name].select(section, "k", "metric", "value"))
+    return rounded(out, ["value"], 4)
+
+
 def _vector_columns(spark, sf_dir):
     """Embeddings as one numeric column per dimension, with their label as target."""
     columns = [F.col("features")[i].alias(f"f{i + 1}") for i in range(fx.VECTOR_WIDTH)]
