@@ -23,8 +23,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by a shingle similarity of 0.8 or more."""
-    return without_near_duplicates(docs)
+    """Keep one document of each group linked by a shingle similarity of 0.8 or more.
+
+    Two near copies have few lines in common once repeated lines are gone, so the texts as they came are compared too.
+    """
+    return without_near_duplicates(docs, texts=spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
