@@ -33,7 +33,7 @@ LEAST_WORDS = 5
 # Rows of one key that are compared in one task.
 BLOCK_ROWS = 1024
 # Text per shard of keys, and keys that a task holds before it packs them.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 PACKED_KEYS = 1 << 21
 # Documents with candidate lines, a few numbers each, that are sent to every task at most.
 WANTED_ROWS = 200_000
