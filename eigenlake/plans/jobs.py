@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eigenlake.functions.blocks import task_count
 from eigenlake.operators import explore
-from eigenlake.operators.affinity import affinity_edges, check_perplexity, joint_affinities
+from eigenlake.operators.affinity import affinity_edges, check_perplexity, joint_affinities, neighbour_affinities
 from eigenlake.operators.clean import Dataset, MatrixShape, dataset_report, load_dataset
 from eigenlake.operators.cluster_metrics import group_views
 from eigenlake.operators.clustering import (
@@ -27,6 +27,7 @@ from eigenlake.operators.diagnostics import (
     top_component_features,
 )
 from eigenlake.operators.kmeans import KMeansRequest, label_all
+from eigenlake.operators.layout import lay_out
 from eigenlake.operators.lowrank import compress_images
 from eigenlake.operators.neighbours import nearest_neighbours, position_table
 from eigenlake.operators.preprocess import Preprocessor
@@ -378,17 +379,26 @@ def affinity_graph(
     seed: int = 42,
     row_id: str | None = None,
     exclude: Sequence[str] = (),
+    layout_steps: int = 0,
 ) -> dict[str, DataFrame]:
-    """Perplexity-calibrated affinities of a bounded sample, or of all rows of a small table: edges, labels, parameters."""
+    """Perplexity-calibrated affinities of a bounded sample, or of all rows of a small table: edges, labels, parameters, and
+    with ``layout_steps`` two-dimensional coordinates."""
     sample, key, shape = _bounded_sample(df, target, max_samples, seed, row_id, exclude)
     check_perplexity(perplexity, shape.rows)
     joint = joint_affinities(sample, key, shape, perplexity)
     parameters = [("sample_size", float(shape.rows)), ("perplexity", float(perplexity)), ("random_state", float(seed))]
-    return {
-        "edges": affinity_edges(joint, key, position_table(sample, key, shape)),
-        "labels": fallback_labels(sample, key, "features", shape, target, seed=seed),
-        "parameters": df.sparkSession.createDataFrame(parameters, "parameter string, value double"),
-    }
+    edges = affinity_edges(joint, key, position_table(sample, key, shape))
+    return _graph_tables(sample, key, shape, target, seed, edges, edges, parameters, layout_steps)
+
+
+def _graph_tables(sample, key, shape, target, seed, edges, weighted, parameters, layout_steps) -> dict[str, DataFrame]:
+    tables = {"edges": edges, "labels": fallback_labels(sample, key, "features", shape, target, seed=seed)}
+    if layout_steps:
+        laid = lay_out(weighted, sample.select(f"`{key}`"), key, shape.rows, steps=layout_steps, seed=seed)
+        tables["coordinates"] = laid.points
+        parameters = [*parameters, *[(f"layout_{name}", float(value)) for name, value in laid.parameters.items()]]
+    tables["parameters"] = sample.sparkSession.createDataFrame(parameters, "parameter string, value double")
+    return tables
 
 
 def knn_graph(
@@ -400,15 +410,17 @@ def knn_graph(
     seed: int = 42,
     row_id: str | None = None,
     exclude: Sequence[str] = (),
+    layout_steps: int = 0,
 ) -> dict[str, DataFrame]:
-    """Exact nearest-neighbour graph of a sample or (``max_samples=None``) of all rows: edges, labels, parameters."""
+    """Exact nearest-neighbour graph of a sample or (``max_samples=None``) of all rows: edges, labels, parameters, and with
+    ``layout_steps`` two-dimensional coordinates, from affinities over the graph at a third of its neighbours as perplexity."""
     sample, key, shape = _bounded_sample(df, target, max_samples, seed, row_id, exclude)
     parameters = [("sample_size", float(shape.rows)), ("n_neighbors", float(n_neighbors)), ("random_state", float(seed))]
-    return {
-        "edges": nearest_neighbours(sample, key, n_neighbors, shape),
-        "labels": fallback_labels(sample, key, "features", shape, target, seed=seed),
-        "parameters": df.sparkSession.createDataFrame(parameters, "parameter string, value double"),
-    }
+    edges = nearest_neighbours(sample, key, n_neighbors, shape)
+    if layout_steps:
+        edges = stage(edges, "edges")
+    weighted = neighbour_affinities(edges, key, max(1.5, n_neighbors / 3)) if layout_steps else None
+    return _graph_tables(sample, key, shape, target, seed, edges, weighted, parameters, layout_steps)
 
 
 def compress_image_files(spark: SparkSession, path: str, ranks: Sequence[int] = (5, 20, 50, 100)) -> tuple[DataFrame, DataFrame]:

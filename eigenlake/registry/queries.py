@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eigenlake.functions.numeric import finite_value, tidy
 from eigenlake.operators import affinity, clean, cluster_metrics, clustering, descent, diagnostics, explore
-from eigenlake.operators import kmeans, lowrank, neighbours, series
+from eigenlake.operators import kmeans, krylov, lowrank, mergeable, neighbours, series
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.moments import column_means, covariance, gram_cells
 from eigenlake.operators.preprocess import Preprocessor
@@ -472,6 +472,29 @@ def saved_pca_scores(spark, sf_dir):
     return _saved_and_loaded(spark, sf_dir, "pca")
 
 
+@query("merged_pca_scores", FULL_SCORES_SQL)
+def merged_pca_scores(spark, sf_dir):
+    """Scores of a model from the saved moments of two parts of the training rows."""
+    prepared = profile(spark, sf_dir)
+    saved = []
+    for part in range(2):
+        saved.append(fresh_path(spark, "moments"))
+        mergeable.measure(prepared.train.where(F.col("row_id") % 2 == part)).save(spark, saved[-1])
+    model = mergeable.merge([mergeable.load_moments(spark, path) for path in saved]).model("pca", n_components=D)
+    return model.transform(prepared.frame).select("row_id", *spread("reduced", D, "component_"))
+
+
+@query(
+    "leading_spectrum",
+    with_steps([*sql.SPECTRAL], f"SELECT component, {r('variance')} AS variance, {r('ratio')} AS ratio FROM spec WHERE component <= 3"),
+)
+def leading_spectrum(spark, sf_dir):
+    """The three leading directions by passes of narrow blocks."""
+    found = krylov.fit_leading(profile(spark, sf_dir).train, 3, D)
+    rows = [(i + 1, float(v), float(s)) for i, (v, s) in enumerate(zip(found.variance, found.ratio))]
+    return rounded(spark.createDataFrame(rows, "component int, variance double, ratio double"), ["variance", "ratio"])
+
+
 @query("saved_svd_scores", FULL_SCORES_SQL)
 def saved_svd_scores(spark, sf_dir):
     return _saved_and_loaded(spark, sf_dir, "svd")
