@@ -2,12 +2,13 @@
 
 A capture is a request, a response (or a revisit of an earlier response with the same payload) and a metadata
 record. Request and metadata name the capture's main record in WARC-Concurrent-To; reading
-joins the three through it. Files hold uncompressed WARC/1.1 records back to back.
+joins the three through it. Files hold WARC/1.1 records back to back, plain as they are written here, or in gzip members.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,11 +18,18 @@ from eigenlake.llm.staging import Staging
 
 # Payloads below this size are always stored.
 LEAST_REVISIT = 100
-# Records of one file, so that a file stays small enough to be read whole by one task.
-FILE_RECORDS = 6_000
+# Bytes of one file, so that a file is small enough to be read whole by one task; only a single larger record exceeds them.
+FILE_BYTES = 256 << 20
+# Captures are written by classes of size, each this many times the one below; files of a class hold as many records as surely fit.
+SIZE_STEP, LEAST_RECORDS = 8, 4096
+# What a record holds besides payload and address, at most.
+HEAD_BYTES = 2048
 # No clock is read: runs agree.
 DATE = "2024-01-01T00:00:00Z"
 
+# Compressed bytes taken at once.
+PIECE_BYTES = 1 << 16
+
 LINE = "\r\n"
 END = "\r\n\r\n"
 
@@ -46,6 +54,7 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
     The payload is the html in UTF-8 (null: empty). Of rows with equal payloads of at least
     ``LEAST_REVISIT`` bytes that with the smallest page_id (null last) is stored, others revisit it. Rows that
     share page_id and payload are one capture made several times, and all stored if it is the first.
+    No file is larger than ``FILE_BYTES`` unless a single record is.
     """
     staging = Staging(pages.sparkSession, "archives")
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
@@ -100,9 +109,16 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
             fields,
         ),
     )
-    # The separator of the text writer is the end of a WARC record.
-    writer = rows.select(F.explode(records).alias("record")).write.option("lineSep", END)
-    writer.option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    least = max(1, FILE_BYTES // LEAST_RECORDS)
+    room = F.col("size") + 4 * F.octet_length(F.coalesce("url", F.lit(""))) + HEAD_BYTES
+    grade = F.greatest(F.lit(0), F.ceil(F.log(float(SIZE_STEP), room / least))).cast("int")
+    grades = [row[0] for row in rows.select(grade.alias("grade")).distinct().collect()]
+    for number in sorted(grades) or [0]:
+        fits = max(1, FILE_BYTES // (least * SIZE_STEP**number))
+        chosen = rows.where(grade == number) if len(grades) > 1 else rows
+        # The separator of the text writer is the end of a WARC record.
+        writer = chosen.select(F.explode(records).alias("record")).write.mode("append").option("lineSep", END)
+        writer.option("maxRecordsPerFile", fits).text(path)
 
 
 def _small(frame: DataFrame, rows: int = 50_000) -> bool:
@@ -110,6 +126,47 @@ def _small(frame: DataFrame, rows: int = 50_000) -> bool:
     return frame.limit(rows + 1).count() <= rows
 
 
+def inflated(data: memoryview) -> Iterator[bytes]:
+    """The contents of the gzip members of an archive, a bounded piece at a time."""
+    at = 0
+    while at < len(data):
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof and at < len(data):
+            piece = bytes(data[at : at + PIECE_BYTES])
+            yield member.decompress(piece)
+            at += len(piece)
+        at -= len(member.unused_data)
+        if not member.eof:
+            raise ValueError("an archive ends within a gzip member")
+
+
+def records_in(data: memoryview) -> Iterator[tuple[dict[str, str], memoryview]]:
+    """Headers and block of each record of an archive, plain or in gzip members; of the latter one record is held at a time."""
+    if bytes(data[:2]) != b"\x1f\x8b":
+        yield from parse_records(data)
+        return
+    held = bytearray()
+    for piece in inflated(data):
+        held += piece
+        while (size := record_size(held)) is not None and size <= len(held):
+            yield from parse_records(memoryview(bytes(held[:size])))
+            del held[:size]
+    if held.strip(b"\r\n"):
+        yield from parse_records(memoryview(bytes(held)))
+
+
+def record_size(held: bytearray) -> int | None:
+    """Bytes of the record that ``held`` begins with, its end included; None before its headers are complete."""
+    stop = held.find(b"\r\n\r\n")
+    if stop < 0:
+        return None
+    for line in bytes(held[:stop]).split(b"\r\n"):
+        name, _, value = line.partition(b":")
+        if name.strip().lower() == b"content-length":
+            return stop + 8 + int(value)
+    raise ValueError("a record without Content-Length")
+
+
 def parse_records(data: memoryview) -> Iterator[tuple[dict[str, str], memoryview]]:
     """Headers (names in lower case) and block of each record of an archive."""
     at = 0
@@ -160,7 +217,7 @@ def read_records(spark: SparkSession, path: str, payload: bool = False) -> DataF
         for batch in batches:
             for content in batch.column(0):
                 rows: list[list] = [[] for _ in range(10 if payload else 9)]
-                for headers, block in parse_records(memoryview(content.as_buffer())):
+                for headers, block in records_in(memoryview(content.as_buffer())):
                     kind, body, fields = headers["warc-type"], None, None
                     if kind in ("response", "revisit"):
                         body = block[head_end(block) :]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import html
 import random
 import re
@@ -13,6 +14,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 from fixtures import sf_dir  # noqa: E402, F401
 
+from eigenlake.llm import warc
 from eigenlake.llm.html_text import extract_text, main_text
 from eigenlake.llm.warc import page_digests, parse_records, read_records, read_transactions, write_archives
 
@@ -181,6 +183,46 @@ def test_files_and_nested_rows(spark, tmp_path):
     assert lost.count() == 40
 
 
+def test_files_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 20)
+    monkeypatch.setattr(warc, "LEAST_RECORDS", 64)
+    rng = random.Random(5)
+    rows = [(i, f"http://h/{i}", f"{i} " + "x" * rng.choice([0, 100, 5000, 60_000, 400_000, 3_000_000 if i % 40 == 0 else 9]), "x", 1) for i in range(160)]
+    path = tmp_path / "warc"
+    write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(2), str(path))
+    sizes = [file.stat().st_size for file in path.glob("part-*")]
+    large = sum(len(text) > 1 << 20 for _, _, text, *_ in rows)
+    assert sum(size > 1 << 20 for size in sizes) == large and len(sizes) < 400
+    found = read_transactions(spark, str(path)).collect()
+    assert sorted((int(r.metadata.fields["pageId"]), r.main.payload_bytes) for r in found) == [(i, len(t)) for i, _, t, *_ in rows]
+
+
+@pytest.mark.parametrize("members", ["record", "whole", "uneven"])
+def test_gzip_members(spark, tmp_path, members, monkeypatch):
+    monkeypatch.setattr(warc, "PIECE_BYTES", 100)
+    rows = pages(random.Random(6))[:30]
+    write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "plain"))
+    data = b"".join(file.read_bytes() for file in sorted((tmp_path / "plain").glob("part-*")))
+    cuts = {"whole": [], "uneven": list(range(700, len(data), 700))}.get(members)
+    if cuts is None:
+        cuts, at = [], 0
+        for _, block in parse_records(memoryview(data)):
+            at = data.index(bytes(block), at) + len(block) + 4
+            cuts.append(at)
+    edges = sorted({0, *cuts, len(data)})
+    (tmp_path / "packed").mkdir()
+    (tmp_path / "packed" / "a.warc.gz").write_bytes(b"".join(gzip.compress(data[a:b]) for a, b in zip(edges, edges[1:])))
+
+    def content(name):
+        return sorted((r.kind, r.record_id, r.capture, r.payload_digest, r.payload_bytes) for r in read_records(spark, str(tmp_path / name)).collect())
+
+    assert content("packed") == content("plain") and len(content("plain")) == 90
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "a.warc.gz").write_bytes(gzip.compress(data)[:-20])
+    with pytest.raises(Exception, match="gzip member"):
+        content("cut")
+
+
 def test_no_pages(spark, tmp_path):
     assert page_digests(spark.createDataFrame([], SCHEMA), str(tmp_path / "none")).collect() == []
 
