@@ -8,6 +8,7 @@ document, and a false-discovery rate is controlled within every class of lengths
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -42,7 +43,7 @@ WINDOW_STEP = 1 << 13
 _HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 _TOKEN = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"))
 _LETTER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
-_KIND = np.array([0 if 97 <= c < 123 else 1 if 65 <= c < 91 else 2 if 48 <= c < 58 else 3 for c in range(256)])
+_KIND = np.array([0 if 97 <= c < 123 else 1 if 65 <= c < 91 else 2 if 48 <= c < 58 else 3 for c in range(256)], np.int8)
 ALPHABETS = tuple(
     bytes(alphabet, "ascii")
     for alphabet in (
@@ -81,7 +82,7 @@ def disorder(text: bytes) -> float:
     p_chi = _normal_tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
     kinds = _KIND[raw]
     if (kinds == kinds[0]).all():
-        kinds = (2 * x >= k).astype(np.int64)
+        kinds = (2 * x >= k).astype(np.int8)
     groups = np.bincount(kinds).astype(float)
     runs = 1 + int((kinds[1:] != kinds[:-1]).sum())
     squares = float((groups**2).sum())
@@ -99,13 +100,28 @@ def disorder(text: bytes) -> float:
 
 # Which alphabets hold a byte, one bit each, and the place of a byte in each.
 _IN = np.array([sum((c in a) << i for i, a in enumerate(ALPHABETS)) for c in range(256)], np.uint16)
-_PLACE = np.zeros((len(ALPHABETS), 256), np.int64)
+_PLACE = np.zeros((len(ALPHABETS), 256), np.int32)
 for _i, _alphabet in enumerate(ALPHABETS):
     _PLACE[_i, list(_alphabet)] = np.arange(len(_alphabet))
 
 
-def _normal_tails(z: np.ndarray) -> np.ndarray:
-    return np.array([_normal_tail(v) for v in z.tolist()])
+# -ln of the normal tail at points so close that lines between them err by less than 1e-8.
+_TAIL_STEP, _TAIL_LOW, _TAIL_HIGH = 2.0**-12, -12.0, 40.0
+
+
+@functools.cache
+def _tail_table() -> np.ndarray:
+    points = np.arange(_TAIL_LOW, _TAIL_HIGH + 2 * _TAIL_STEP, _TAIL_STEP)
+    return np.array([-math.log(_normal_tail(z)) for z in points.tolist()])
+
+
+def _log_tails(z: np.ndarray, sides: int) -> np.ndarray:
+    """-ln of the one- or two-sided tail, at least 0."""
+    table = _tail_table()
+    at = (np.clip(z, _TAIL_LOW, _TAIL_HIGH) - _TAIL_LOW) / _TAIL_STEP
+    left = at.astype(np.int64)
+    value = table[left] + (table[left + 1] - table[left]) * (at - left)
+    return np.maximum(value - math.log(sides), 0.0)
 
 
 def disorders(windows: np.ndarray) -> np.ndarray:
@@ -117,30 +133,37 @@ def disorders(windows: np.ndarray) -> np.ndarray:
         rows = np.flatnonzero(first == number)
         raw, k = windows[rows], len(ALPHABETS[number])
         x, m = _PLACE[number][raw], len(rows)
-        counts = np.bincount((x + k * np.arange(m)[:, None]).ravel(), minlength=k * m).reshape(m, k)
-        chi = (counts**2).sum(axis=1) * k / n - n
-        p_chi = _normal_tails((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
+        counts = np.bincount((x + np.arange(0, k * m, k, dtype=np.int32)[:, None]).ravel(), minlength=k * m).reshape(m, k)
+        chi = np.einsum("ij,ij->i", counts, counts) * k / n - n
+        joint = _log_tails((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n), 1)
         kinds = _KIND[raw]
         same = (kinds == kinds[:, :1]).all(axis=1)
         kinds[same] = 2 * x[same] >= k
-        groups = np.stack([(kinds == j).sum(axis=1) for j in range(4)]).astype(float)
-        runs = 1 + (kinds[:, 1:] != kinds[:, :-1]).sum(axis=1)
+        groups = np.stack([np.count_nonzero(kinds == j, axis=1) for j in range(int(kinds.max()) + 1)]).astype(float)
+        runs = 1 + np.count_nonzero(kinds[:, 1:] != kinds[:, :-1], axis=1)
         squares = (groups**2).sum(axis=0)
         mean = n + 1 - squares / n
         variance = (squares * (squares + n * (n + 1)) - 2 * n * (groups**3).sum(axis=0) - n**3) / (n * n * (n - 1))
         varied = variance > 1e-9
-        p_runs = np.full(m, 1e-6)
-        p_runs[varied] = 2 * _normal_tails(np.abs(runs - mean)[varied] / np.sqrt(variance[varied]))
-        centred = x - x.mean(axis=1, keepdims=True)
-        power = (centred * centred).sum(axis=1)
-        lagged = (centred[:, 1:] * centred[:, :-1]).sum(axis=1)
-        serial = np.divide(lagged, power, out=np.ones(m), where=power > 0)
-        p_serial = 2 * _normal_tails(np.abs(serial + 1 / n) * math.sqrt(n))
-        joint = -sum(np.log(np.minimum(1.0, p)) for p in (p_chi, p_runs, p_serial))
+        apart = np.divide(np.abs(runs - mean), np.sqrt(variance, where=varied, out=np.ones(m)))
+        joint += np.where(varied, _log_tails(apart, 2), -math.log(1e-6))
+        # Moments of small integers are exact.
+        total = x.sum(axis=1)
+        centre = total / n
+        power = np.einsum("ij,ij->i", x, x) - total * centre
+        lagged = np.einsum("ij,ij->i", x[:, 1:], x[:, :-1]) - centre * (2 * total - x[:, 0] - x[:, -1]) + (n - 1) * centre * centre
+        serial = np.divide(lagged, power, out=np.ones(m), where=power > 1e-9)
+        joint += _log_tails(np.abs(serial + 1 / n) * math.sqrt(n), 2)
         out[rows] = (joint - np.log1p(joint + joint * joint / 2)) / math.log(10)
     return out
 
 
+def ungrouped(text: bytes) -> bytes:
+    """Hex digits without the dashes that only group them, as in a UUID; any other text as it is."""
+    plain = text.replace(b"-", b"")
+    return plain if len(plain) < len(text) and any(set(plain) <= set(a) for a in ALPHABETS[:3]) else text
+
+
 def length_class(length: int) -> int:
     return sum(length >= bound for bound in CLASSES) - 1
 
@@ -193,8 +216,9 @@ def _scan(part: pa.Array) -> tuple[list, list, np.ndarray]:
         # What may be a secret is no prose.
         letters[start:end] = False
         a, length = len(raw[row][: start - rows[row]].decode()), int(end - start)
-        if not any(s < a + length and a < e for s, _, e in base[row]):
-            strings[row].append((a, 3, a + length, length_class(length), _bin(disorder(data[start:end].tobytes()))))
+        string = ungrouped(data[start:end].tobytes())
+        if len(string) >= CLASSES[0] and not any(s < a + length and a < e for s, _, e in base[row]):
+            strings[row].append((a, 3, a + length, length_class(len(string)), _bin(disorder(string))))
     # Letters of each text without what separates them, cut into windows of every length from its beginning.
     prose = np.zeros((len(CLASSES), BINS), np.int64)
     cells = data[letters]

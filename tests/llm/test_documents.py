@@ -295,6 +295,37 @@ def test_disorder_of_many_windows():
             assert np.allclose(secrets.disorders(windows), [secrets.disorder(w.tobytes()) for w in windows])
 
 
+def test_keys_of_every_length_and_encoding_are_found(texts):
+    rng = random.Random(11)
+    prose = ["under", "the", "information", "house", "reading", "of", "water", "and", "little", "mountain", "is", "été", "Wörter"]
+    digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = [upper + lower + digits, lower + digits, upper + digits, upper + lower + digits + "+/", upper + lower + digits + "-_", "0123456789ABCDEF"]
+    rows, planted = [], {}
+    for i in range(900):
+        words = [rng.choice(prose) for _ in range(120)]
+        if i % 6 == 0:
+            length = (24, 32, 40, 48, 64, 128)[i // 6 % 6]
+            planted[i] = "".join(rng.choice(alphabets[i // 36 % 6]) for _ in range(length))
+            words.insert(60, planted[i])
+        if i % 6 == 1:
+            # Made of hex digits and dashes at fixed places.
+            raw = "".join(rng.choice("0123456789abcdef") for _ in range(32))
+            planted[i] = "-".join((raw[:8], raw[8:12], raw[12:16], raw[16:20], raw[20:]))
+            words.insert(60, planted[i])
+        rows.append((i, " ".join(words)))
+    text, hits, wrong = dict(rows), Counter(), 0
+    for r in find_secrets(texts(rows)).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        found = [text[r.doc_id][int(a) : int(b)] for kind, a, b in spans if kind == "random"]
+        key = planted.get(r.doc_id)
+        wrong += any(f != key for f in found)
+        if key:
+            hits["uuid" if "-" in key and len(key) == 36 else len(key)] += key in found
+    # Of 25 keys of each length and 150 grouped ones; the shortest carry the least evidence.
+    least = {24: 10, 32: 15, 40: 15, 48: 20, 64: 22, 128: 22, "uuid": 90}
+    assert wrong <= 2 and all(hits[length] >= wanted for length, wanted in least.items()), hits
+
+
 def test_random_keys_of_a_small_table(texts):
     rng = random.Random(4)
     prose = ["under", "the", "information", "house", "reading", "of", "water", "and", "little", "mountain", "is"]
