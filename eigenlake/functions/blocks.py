@@ -75,6 +75,25 @@ def squared_distances(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
     return np.maximum(out, 0.0, out=out)
 
 
+def row_factor(rows: np.ndarray) -> np.ndarray:
+    """With ``point_factor`` of some points, one product gives all squared distances to them."""
+    return np.column_stack([-2.0 * rows, np.ones(len(rows)), np.einsum("ij,ij->i", rows, rows)])
+
+
+def point_factor(points: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(np.column_stack([points, np.einsum("ij,ij->i", points, points), np.ones(len(points))]).T)
+
+
+def summed_distances(left: np.ndarray, right: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Distances from rows to points, both as factors, added up over the runs of points that begin at ``firsts``."""
+    out = np.empty((len(left), len(firsts)))
+    for tile in tiles(len(left), right.shape[1]):
+        d = left[tile] @ right
+        np.maximum(d, 0.0, out=d)
+        np.add.reduceat(np.sqrt(d, out=d), firsts, axis=1, out=out[tile])
+    return out
+
+
 # Partial arrays from this few tasks go straight to the driver.
 DIRECT_TASKS = 64
 DIRECT_CELLS = 16_000_000

@@ -19,11 +19,13 @@ from eigenlake.functions.blocks import (
     BLOCK_BYTES,
     block_count,
     collect_block,
+    point_factor,
+    row_factor,
     share,
     squared_distances,
     sum_partials,
+    summed_distances,
     task_count,
-    tiles,
 )
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.sample import sample_rows
@@ -160,16 +162,12 @@ def _scores_in_place(df, row_id, shape, column, labels, bounds):
         counts = _membership(carried, bounds).sum(axis=0)
         centre = points.mean(axis=0)
         points, firsts, member = _combined(points - centre, carried, bounds)
+        factor = point_factor(points)
         for batch in batches:
             rows = to_matrix(batch.column(1), width) - centre
             label = to_matrix(batch.column(2), runs).astype(np.int64)
-            out = np.zeros((len(rows), runs))
-            for tile in tiles(len(rows), len(points)):
-                distances = squared_distances(rows[tile], points)
-                sums = np.add.reduceat(np.sqrt(distances, out=distances), firsts, axis=1) @ member
-                for run in range(runs):
-                    span = slice(bounds[run], bounds[run + 1])
-                    out[tile, run] = _scores(sums[:, span], label[tile, run], counts[span])
+            sums = summed_distances(row_factor(rows), factor, firsts) @ member
+            out = np.column_stack([_scores(sums[:, a:b], label[:, run], counts[a:b]) for run, (a, b) in enumerate(zip(bounds, bounds[1:]))])
             yield pa.RecordBatch.from_arrays([batch.column(0), to_lists(out)], names=[row_id, "scores"])
 
     return df.select(f"`{row_id}`", column, labels).mapInArrow(
@@ -244,9 +242,7 @@ def _scores_by_grid(targets, df, row_id, shape, target_rows, column, labels, bou
                     to_matrix(group.column("point"), width), to_matrix(group.column("labels"), runs).astype(np.int64), bounds
                 )
                 centre = others.mean(axis=0)
-                for tile in tiles(len(points), len(others)):
-                    distances = squared_distances(points[tile] - centre, others - centre)
-                    sums[tile] += np.add.reduceat(np.sqrt(distances, out=distances), firsts, axis=1) @ member
+                sums += summed_distances(row_factor(points - centre), point_factor(others - centre), firsts) @ member
         if held is not None:
             yield partial()
 
@@ -372,18 +368,19 @@ def evaluate_labellings(
     *,
     column: str = "features",
     labels: str = "labels",
-    reference: str | None = None,
+    reference: str | Sequence[str | None] | None = None,
     silhouette_sample: int | None = None,
     seed: int = 42,
 ) -> list[dict[str, float]]:
-    """All metrics of every labelling; agreement metrics only with a reference column."""
+    """All metrics of every labelling; agreement metrics only with a reference column, one for all labellings or one for each."""
+    references = [reference] * len(ks) if reference is None or isinstance(reference, str) else list(reference)
     results = internal_metrics(df, ks, shape, column, labels)
     means = silhouette(df, row_id, ks, shape, column, labels, sample=silhouette_sample, seed=seed)
     for result, value in zip(results, means):
         result["silhouette"] = value
-    if reference is not None:
-        for row in agreement(contingency(df, reference, labels)).collect():
-            results[row["run"]]["adjusted_rand_index"] = row["adjusted_rand_index"]
-            results[row["run"]]["normalized_mutual_information"] = row["normalized_mutual_information"]
+    for name in dict.fromkeys(r for r in references if r is not None):
+        for row in agreement(contingency(df, name, labels)).collect():
+            if references[row["run"]] == name:
+                results[row["run"]]["adjusted_rand_index"] = row["adjusted_rand_index"]
+                results[row["run"]]["normalized_mutual_information"] = row["normalized_mutual_information"]
     return results
-

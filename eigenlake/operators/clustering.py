@@ -43,24 +43,31 @@ def cluster_representations(
     silhouette_sample: int | None = None,
     **fit_options,
 ) -> list[tuple[list[KMeansModel], list[dict[str, float]]]]:
-    """Fit all requests in shared passes, then score each: (models, metrics) per request."""
+    """Fit all requests in shared passes, then score each: (models, metrics) per request.
+
+    The labellings of one column are scored together, whatever request they come from: distances are computed once per column.
+    """
     fitted = fit_kmeans_together(df, row_id, requests, rows, seed=seed, n_init=n_init, **fit_options)
-    out = []
-    for request, models, reference in zip(requests, fitted, references):
-        ordered = [models[k] for k in request.ks]
-        kept = [row_id, request.column, *([reference] if reference is not None else [])]
-        labelled = label_all(df.select(*[f"`{c}`" for c in dict.fromkeys(kept)]), ordered, request.column)
+    out: list = [None] * len(requests)
+    for column in dict.fromkeys(request.column for request in requests):
+        own = [i for i, request in enumerate(requests) if request.column == column]
+        models = [fitted[i][k] for i in own for k in requests[i].ks]
+        named = [references[i] for i in own for _ in requests[i].ks]
+        kept = dict.fromkeys([row_id, column, *[name for name in named if name is not None]])
         metrics = evaluate_labellings(
-            stage(labelled, "labels"),
+            stage(label_all(df.select(*[f"`{c}`" for c in kept]), models, column), "labels"),
             row_id,
-            request.ks,
-            MatrixShape(rows, request.width),
-            column=request.column,
-            reference=reference,
+            [len(model.centers) for model in models],
+            MatrixShape(rows, requests[own[0]].width),
+            column=column,
+            reference=named,
             silhouette_sample=silhouette_sample,
             seed=seed,
         )
-        out.append((ordered, metrics))
+        for i in own:
+            count = len(requests[i].ks)
+            out[i] = (models[:count], metrics[:count])
+            models, metrics = models[count:], metrics[count:]
     return out
 
 

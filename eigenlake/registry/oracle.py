@@ -228,15 +228,15 @@ bis(s, row_id, beta, lo, hi, used, total, entropy, done) AS (
     FROM (SELECT *, list_sum(w) AS tot FROM (
       SELECT bis.*, d, list_transform(d, lambda x: exp(-x * beta)) AS w
       FROM bis JOIN dl USING (row_id) WHERE s < 60 AND NOT done)))),
-cal AS (SELECT row_id, arg_max(used, s) AS beta, arg_max(total, s) AS total, arg_max(entropy, s) AS entropy
+cal AS MATERIALIZED (SELECT row_id, arg_max(used, s) AS beta, arg_max(total, s) AS total, arg_max(entropy, s) AS entropy
   FROM bis WHERE s > 0 GROUP BY row_id)"""
 
 
 CALIBRATION = calibration(
-    """sq AS (SELECT a.row_id AS i, b.row_id AS j,
+    """sq AS MATERIALIZED (SELECT a.row_id AS i, b.row_id AS j,
     greatest(list_dot_product(a.f, a.f) + list_dot_product(b.f, b.f) - 2 * list_dot_product(a.f, b.f), 0) AS d2
   FROM v a, v b WHERE a.row_id <> b.row_id),
-dl AS (SELECT i AS row_id, list(d2 ORDER BY j) AS d FROM sq GROUP BY i)""",
+dl AS MATERIALIZED (SELECT i AS row_id, list(d2 ORDER BY j) AS d FROM sq GROUP BY i)""",
     PERPLEXITY,
 )
 NEIGHBOUR_PERPLEXITY = 5.0
@@ -249,9 +249,9 @@ dl AS (SELECT i AS row_id, list(d2 ORDER BY d2, j) AS d FROM near GROUP BY i)"""
 NEIGHBOUR_WEIGHTS = """np AS (SELECT i, j, CASE WHEN total <= 1e-300 THEN 1.0 / 15 ELSE exp(-d2 * beta) / total END AS p
   FROM near JOIN cal ON cal.row_id = i)"""
 JOINT = """nn AS (SELECT count(*) AS n FROM v),
-cond AS (SELECT i, j, CASE WHEN total <= 1e-300 THEN 1.0 / (n - 1) ELSE exp(-d2 * beta) / total END AS p
+cond AS MATERIALIZED (SELECT i, j, CASE WHEN total <= 1e-300 THEN 1.0 / (n - 1) ELSE exp(-d2 * beta) / total END AS p
   FROM sq JOIN cal ON cal.row_id = i, nn),
-raw AS (SELECT a.i, a.j, greatest((a.p + b.p) / (2 * n), 1e-12) AS w FROM cond a JOIN cond b ON a.i = b.j AND a.j = b.i, nn
+raw AS MATERIALIZED (SELECT a.i, a.j, greatest((a.p + b.p) / (2 * n), 1e-12) AS w FROM cond a JOIN cond b ON a.i = b.j AND a.j = b.i, nn
   UNION ALL SELECT row_id, row_id, 1e-12 FROM v),
 joint AS (SELECT i, j, w / (SELECT sum(w) FROM raw) AS w FROM raw)"""
 
