@@ -88,10 +88,10 @@ def mix(
     """
     staging = Staging(docs.sparkSession, "mix")
     kept = [c for c in docs.columns if c.lower() not in ADDED]
-    # The user's row travels as one struct, so that no name of its columns matters.
+    # The user's columns travel under numbers, so that their names don't matter and those nobody reads are pruned.
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+        *[F.col(f"`{c}`").alias(f"given{i}") for i, c in enumerate(kept)],
         "doc_id",
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
@@ -123,4 +123,5 @@ def mix(
         taken = taken + F.greatest(F.lit(0), F.least(F.col("size"), left))
     finish = F.when(F.col("target") > 0, F.col("words") / F.col("target"))
     placed = placed.withColumns({"finish": finish, "taken": taken.cast("long")})
-    return placed.orderBy("finish", "order", "tie").select(*[F.col(f"row.`{c}`") for c in kept], *ADDED)
+    given = [F.col(f"given{i}").alias(c) for i, c in enumerate(kept)]
+    return placed.orderBy("finish", "order", "tie").select(*given, *ADDED)
