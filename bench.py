@@ -31,6 +31,7 @@ HEADLINE = [
     "joint_affinities",
     "rank_sweep",
     "series_denoise",
+    "compare_job",
 ]
 
 
