@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eigenlake.functions import blocks
-from eigenlake.operators import cluster_metrics as cm, kmeans
+from eigenlake.operators import affinity, cluster_metrics as cm, kmeans, neighbours
 from eigenlake.operators.clean import MatrixShape
 from test_clustering import brute_silhouette
 
@@ -53,3 +53,26 @@ def test_sums_are_dealt_out_tile_by_tile(monkeypatch):
     monkeypatch.setattr(blocks, "TILE_CELLS", 200)
     got = blocks.summed_distances(blocks.row_factor(x), blocks.point_factor(y), np.arange(40), member)
     np.testing.assert_allclose(got, between(x, y) @ member, atol=1e-9)
+
+
+def test_dense_pairs_of_many_rows_are_not_refused():
+    neighbours._require_bounded(MatrixShape(100_000, 64))
+    with pytest.raises(ValueError, match="bounded"):
+        neighbours._require_bounded(MatrixShape(1_000_000, 64))
+
+
+def test_rows_bisect_alike_in_any_company(monkeypatch):
+    d2 = np.random.default_rng(9).uniform(1, 9, size=(30, 50))
+    whole = affinity.calibrate(d2, 5.0)
+    monkeypatch.setattr(affinity, "CALIBRATED_CELLS", 120)
+    for together, apart in zip(whole, affinity.calibrate(d2, 5.0)):
+        np.testing.assert_array_equal(together, apart)
+
+
+def test_divergence_with_ids_from_the_sample(spark, matrix_frame):
+    x = np.random.default_rng(10).normal(size=(20, 3))
+    df = matrix_frame(x).cache()
+    joint = affinity.joint_affinities(df, "row_id", MatrixShape(20, 3), 4.0)
+    embedding = df.select("row_id", F.slice("features", 1, 2).alias("embedding"))
+    alone = affinity.kl_divergence(joint, embedding, "row_id", 20, 2)
+    assert affinity.kl_divergence(joint, embedding, "row_id", 20, 2, ids=df) == pytest.approx(alone)
