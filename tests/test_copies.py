@@ -55,6 +55,22 @@ def test_sums_are_dealt_out_tile_by_tile(monkeypatch):
     np.testing.assert_allclose(got, between(x, y) @ member, atol=1e-9)
 
 
+def test_many_cells_are_folded_before_the_driver(matrix_frame, monkeypatch):
+    x = np.random.default_rng(8).normal(size=(90, 2))
+    df = matrix_frame(x, partitions=9).select("features")
+    sent = []
+    to_matrix = blocks.to_matrix
+    monkeypatch.setattr(blocks, "DIRECT_CELLS", 10)
+    monkeypatch.setattr(blocks, "to_matrix", lambda column, width: sent.append(len(column)) or to_matrix(column, width))
+
+    def partial(batches, matrix=to_matrix):
+        found = [matrix(batch.column(0), 2).sum(axis=0) for batch in batches if batch.num_rows]
+        return sum(found) if found else None
+
+    np.testing.assert_allclose(blocks.sum_partials(df, partial, 2, 9), x.sum(axis=0), atol=1e-9)
+    assert sent[-1] <= blocks.FEW_TASKS
+
+
 def test_dense_pairs_of_many_rows_are_not_refused():
     neighbours._require_bounded(MatrixShape(100_000, 64))
     with pytest.raises(ValueError, match="bounded"):
