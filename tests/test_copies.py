@@ -92,3 +92,14 @@ def test_divergence_with_ids_from_the_sample(spark, matrix_frame):
     embedding = df.select("row_id", F.slice("features", 1, 2).alias("embedding"))
     alone = affinity.kl_divergence(joint, embedding, "row_id", 20, 2)
     assert affinity.kl_divergence(joint, embedding, "row_id", 20, 2, ids=df) == pytest.approx(alone)
+
+
+def test_blocks_of_cells_grow_with_the_table(matrix_frame, monkeypatch):
+    monkeypatch.setattr(neighbours, "MOST_PIVOTS", 4)
+    x = np.random.default_rng(11).normal(size=(200, 2))
+    cells = neighbours.PivotCells(matrix_frame(x), "row_id", 3, MatrixShape(200, 2), "features", 5 * 16)
+    assert cells.block_rows == 200
+    found = {r["row_id"]: [b["id"] for b in r["best"]] for r in cells.best().collect()}
+    d = between(x, x)
+    np.fill_diagonal(d, np.inf)
+    assert all(found[i] == np.argsort(d[i])[:3].tolist() for i in range(200))
