@@ -103,3 +103,15 @@ def test_blocks_of_cells_grow_with_the_table(matrix_frame, monkeypatch):
     d = between(x, x)
     np.fill_diagonal(d, np.inf)
     assert all(found[i] == np.argsort(d[i])[:3].tolist() for i in range(200))
+
+
+def test_blocks_of_a_grid_grow_with_the_table(matrix_frame, monkeypatch):
+    rng = np.random.default_rng(12)
+    x, labels = rng.normal(size=(120, 3)), rng.integers(0, 3, 120)
+    df = matrix_frame(x, one=labels.tolist()).withColumn("labels", F.array(F.col("one").cast("int"))).cache()
+    monkeypatch.setattr(cm, "MOST_BLOCKS", 4)
+    cuts = []
+    monkeypatch.setattr(cm.F, "pmod", lambda a, b, pmod=F.pmod: cuts.append(str(b)) or pmod(a, b))
+    scored = cm.silhouette_scores(df, "row_id", [3], MatrixShape(120, 3), block_bytes=100)
+    assert any("4" in cut for cut in cuts) and not any("40" in cut for cut in cuts)
+    np.testing.assert_allclose([r["scores"][0] for r in scored.orderBy("row_id").collect()], brute_silhouette(x, labels), atol=1e-7)
