@@ -115,3 +115,21 @@ def test_blocks_of_a_grid_grow_with_the_table(matrix_frame, monkeypatch):
     scored = cm.silhouette_scores(df, "row_id", [3], MatrixShape(120, 3), block_bytes=100)
     assert any("4" in cut for cut in cuts) and not any("40" in cut for cut in cuts)
     np.testing.assert_allclose([r["scores"][0] for r in scored.orderBy("row_id").collect()], brute_silhouette(x, labels), atol=1e-7)
+
+
+@pytest.mark.parametrize("runs", [4, 30, 90])
+def test_sums_of_distances_stay_in_cache(monkeypatch, runs):
+    rng = np.random.default_rng(13)
+    x, y = rng.normal(size=(50, 3)), rng.normal(size=(90, 3))
+    firsts = np.sort(np.concatenate([[0], rng.choice(np.arange(1, 90), runs - 1, replace=False)]))
+    member = rng.integers(0, 2, (runs, 5)).astype(float)
+    monkeypatch.setattr(blocks, "SUMMED_ROWS", 7)
+    monkeypatch.setattr(blocks, "SUMMED_POINTS", 11)
+    sizes = []
+    sqrt = np.sqrt
+    monkeypatch.setattr(blocks.np, "sqrt", lambda d, **options: sizes.append(d.shape) or sqrt(d, **options))
+    got = blocks.summed_distances(blocks.row_factor(x), blocks.point_factor(y), firsts, member)
+    monkeypatch.undo()
+    # However many rows and points there are.
+    assert sizes and all(rows <= 7 and points <= 11 for rows, points in sizes)
+    np.testing.assert_allclose(got, between(x, y) @ np.repeat(member, np.diff(firsts, append=90), axis=0), atol=1e-9)
