@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eigenlake.functions import blocks
+from eigenlake.functions.numeric import tidy, tidy_many
 from eigenlake.operators import affinity, cluster_metrics as cm, kmeans, neighbours
 from eigenlake.operators.clean import MatrixShape
 from test_clustering import brute_silhouette
@@ -133,3 +134,51 @@ def test_sums_of_distances_stay_in_cache(monkeypatch, runs):
     # However many rows and points there are.
     assert sizes and all(rows <= 7 and points <= 11 for rows, points in sizes)
     np.testing.assert_allclose(got, between(x, y) @ np.repeat(member, np.diff(firsts, append=90), axis=0), atol=1e-9)
+
+
+def plain_bisection(d, goal):
+    """``(beta, steps)`` of one row in double precision alone."""
+    beta, low, high = 1.0, -np.inf, np.inf
+    for step in range(affinity.BISECTION_STEPS):
+        weights, used = np.exp(-beta * d), beta
+        mass = weights.sum()
+        found = np.log(len(d)) if mass <= affinity.VANISHED else np.log(mass) + beta * (d @ weights) / mass
+        if abs(found - goal) < affinity.ENTROPY_TOLERANCE:
+            break
+        if found > goal:
+            low, beta = beta, beta * 2 if np.isinf(high) else (beta + high) / 2
+        else:
+            high, beta = beta, beta / 2 if np.isinf(low) else (beta + low) / 2
+    return used, step + 1
+
+
+def test_most_bisection_steps_are_cheap(monkeypatch):
+    rng = np.random.default_rng(14)
+    copies = rng.uniform(0, 9, (10, 80))
+    copies[:, :30] = 0
+    rows = [rng.uniform(1, 9, (40, 80)), rng.uniform(1, 9, (10, 80)) * 1e4, rng.uniform(1, 9, (10, 80)) * 1e-9, copies, 690 + rng.uniform(0, 2, (10, 80)), np.zeros((2, 80)), rng.uniform(1, 9, (5, 80)) * 1e60]
+    cells = []
+    exp = np.exp
+    for d in rows:
+        want = [plain_bisection(row, np.log(20.0)) for row in d]
+        monkeypatch.setattr(affinity.np, "exp", lambda x, **options: cells.append((x.dtype, x.size)) or exp(x, **options))
+        beta, _, _ = affinity.calibrate(d, 20.0)
+        monkeypatch.undo()
+        np.testing.assert_array_equal(beta, [used for used, _ in want])
+        if d is rows[0]:
+            double = sum(size for kind, size in cells if kind == np.float64)
+            assert double < 0.7 * sum(steps for _, steps in want) * d.shape[1]
+    assert affinity.calibrate(np.zeros((0, 5)), 2.0)[0].shape == (0,)
+
+
+def test_many_values_are_rounded_alike(spark):
+    rng = np.random.default_rng(15)
+    values = [*rng.uniform(-1e-6, 1e-6, 300), *rng.normal(size=300), *rng.normal(0, 1e12, 50), *(k / 1e8 + 5e-9 for k in range(-50, 50)), 0.285, 1.005, 0.0, -0.0, -1e-12, 5e-9, -5e-9, 1.5e300]
+    values += [float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
+    for digits in (2, 6, 8):
+        found = df.select(tidy(F.col("x"), digits).alias("a"), tidy_many(F.col("x"), digits).alias("b"))
+        assert all(repr(r["a"]) == repr(r["b"]) for r in found.collect())
+    # Few values need decimals.
+    plan = df.select(tidy_many(F.col("x"), 8))._jdf.queryExecution().toString()
+    assert "rint" in plan.lower()
