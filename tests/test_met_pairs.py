@@ -1,12 +1,14 @@
 """Pairs of rows that meet once for both of their rows, and columns that share their distances."""
 
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import column
 from eigenlake.functions import blocks
-from eigenlake.operators import cluster_metrics as cm, clustering, spectral
+from eigenlake.operators import affinity, cluster_metrics as cm, clustering, neighbours, spectral
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.kmeans import KMeansRequest
 from test_clustering import brute_silhouette
@@ -94,3 +96,36 @@ def test_components_of_one_space(matrix_frame):
     assert svd.same_distances(pca) and not svd.same_distances(pca.with_count(2))
     other = spectral.build_reducer("pca")(matrix_frame(rng.normal(size=(80, 4))), n_components=3, shape=MatrixShape(80, 4))
     assert not other.same_distances(pca)
+
+
+def test_dense_work_reads_points_block_by_block(matrix_frame, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(50, 3))
+    df = matrix_frame(x).cache()
+    shape, answers = MatrixShape(50, 3), []
+    plain = blocks.OrderedPoints.of
+    for bound in (10**6, 200):
+        monkeypatch.setattr(blocks.OrderedPoints, "of", partial(plain, block_bytes=bound))
+        joint = affinity.joint_affinities(df, "row_id", shape, 5.0)
+        embedding = df.select("row_id", F.slice("features", 1, 2).alias("embedding"))
+        answers.append([
+            column(neighbours.pairwise_distances(df, "row_id", shape), "distances"),
+            column(affinity.calibrated_rows(df, "row_id", shape, 5.0), "beta"),
+            column(joint, "weights"),
+            affinity.kl_divergence(joint, embedding, "row_id", 50, 2, ids=df),
+        ])
+    np.testing.assert_allclose(answers[0][0], between(x, x) ** 2, atol=1e-9)
+    for whole, cut in zip(*answers):
+        np.testing.assert_allclose(cut, whole, atol=1e-9)
+
+
+def test_points_in_blocks_keep_the_order_of_their_ids(spark):
+    ids = ["b", "a", "d", "c", "c", "e"]
+    df = spark.createDataFrame([(i, [float(n)]) for n, i in enumerate(ids)], "row_id string, features array<double>").coalesce(1)
+    points = blocks.OrderedPoints.of(df, "row_id", "features", 6, 1, block_bytes=8)
+    assert points.ids.value.tolist() == sorted(ids) and points.count == 6
+    assert np.concatenate([block.value for block in points.blocks]).ravel().tolist() == [1, 0, 3, 4, 2, 5]
+
+
+def test_dense_pairs_of_six_gigabytes_are_not_refused():
+    neighbours._require_bounded(MatrixShape(615_384, 64))
