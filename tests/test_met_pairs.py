@@ -129,3 +129,14 @@ def test_points_in_blocks_keep_the_order_of_their_ids(spark):
 
 def test_dense_pairs_of_six_gigabytes_are_not_refused():
     neighbours._require_bounded(MatrixShape(615_384, 64))
+
+
+def test_edges_to_one_row_lie_together(spark):
+    rng = np.random.default_rng(9)
+    ids = ["b", "a", None, "c", "c"]
+    weights = rng.uniform(size=(5, 5))
+    order = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "row_id string, position int")
+    joint = spark.createDataFrame([(i, w.tolist()) for i, w in zip(ids, weights)], "row_id string, weights array<double>").coalesce(1)
+    found = [(r["i"], r["j"], r["weight"]) for r in affinity.affinity_edges(joint, "row_id", order).collect()]
+    want = [(ids[a], ids[b], weights[a, b]) for b in range(5) for a in range(5) if ids[a] and ids[b] and ids[a] != ids[b]]
+    assert found == want
