@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from eigenlake.functions.arrow import sorted_groups, to_lists, to_matrix
-from eigenlake.functions.blocks import squared_distances
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.neighbours import best_of, top_of
 from eigenlake.operators.sample import sample_rows
@@ -122,19 +122,21 @@ def _round(points: DataFrame, graph: DataFrame, k: int, width: int, id_type: str
     reach = graph.select("id", F.when(F.size("best") == k, F.col("best")[k - 1]["d2"]).alias("reach"))
     seats = met.union(own).join(points.join(reach, "id"), "id").select("at", "id", "fresh", "reach", "point")
 
-    def compare(table: pa.Table) -> pa.Table:
-        ids, fresh = table.column("id"), table.column("fresh").to_numpy()
-        reach = table.column("reach").to_numpy()
-        reach = np.where(np.isnan(reach), np.inf, reach)
-        rows = to_matrix(table.column("point"), width)
-        d2 = squared_distances(rows, rows)
-        wanted = (fresh[:, None] | fresh[None, :]) & (d2 <= reach[:, None] * (1 + 1e-9))
-        np.fill_diagonal(wanted, False)
-        left, right = np.nonzero(wanted)
-        exact = ((rows[left] - rows[right]) ** 2).sum(axis=1)
-        return pa.table([ids.take(pa.array(left)), ids.take(pa.array(right)), pa.array(exact)], names=["id", "other", "d2"])
-
-    heard = seats.groupBy("at").applyInArrow(compare, f"id {id_type}, other {id_type}, d2 double")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                table = pa.Table.from_batches([*rest, batch])
+                firsts = _firsts(table.column("at"))
+                # The last row's meeting may go on.
+                rest = table.slice(firsts[-1]).to_batches()
+                if firsts[-1]:
+                    yield _compared(table.slice(0, firsts[-1]), firsts[:-1], width)
+        if rest:
+            table = pa.Table.from_batches(rest)
+            yield _compared(table, _firsts(table.column("at")), width)
+
+    heard = seats.repartition("at").sortWithinPartitions("at").mapInArrow(compare, f"id {id_type}, other {id_type}, d2 double")
     heard = heard.groupBy("id").agg(F.collect_set(F.struct("d2", F.col("other").alias("id"))).alias("heard"))
     known = F.transform("best", lambda b: F.struct(b["d2"].alias("d2"), b["id"].alias("id")))
     # Entries that met in this round are no longer fresh; those that are new are.
@@ -145,6 +147,37 @@ def _round(points: DataFrame, graph: DataFrame, k: int, width: int, id_type: str
     return marked.select("id", fresh.alias("best"), (F.size("now") - F.size(F.array_intersect("now", "known"))).alias("changed"))
 
 
+def _firsts(at: pa.ChunkedArray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    codes = pc.fill_null(at.combine_chunks().dictionary_encode().indices, -1).to_numpy()
+    return np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1])
+
+
+def _compared(table: pa.Table, firsts: np.ndarray, width: int) -> pa.RecordBatch:
+    """``id, other, d2`` of all pairs of every meeting that one of them needs to hear of; meetings begin at ``firsts``."""
+    ids, fresh = table.column("id").combine_chunks(), table.column("fresh").to_numpy()
+    reach = table.column("reach").to_numpy()
+    reach = np.where(np.isnan(reach), np.inf, reach)
+    rows = to_matrix(table.column("point"), width)
+    sizes = np.diff(firsts, append=len(rows))
+    # Meetings side by side, the short ones filled up.
+    seat = np.arange(sizes.max())
+    place = np.minimum(firsts[:, None] + seat, len(rows) - 1)
+    taken = seat < sizes[:, None]
+    own = rows[place]
+    own -= own[:, :1]
+    square = np.einsum("gij,gij->gi", own, own)
+    d2 = square[:, :, None] + square[:, None, :] - 2.0 * (own @ own.transpose(0, 2, 1))
+    wanted = (fresh[place][:, :, None] | fresh[place][:, None, :]) & (taken[:, :, None] & taken[:, None, :])
+    # Rounding is in proportion to the coordinates that were multiplied.
+    wanted &= d2 <= reach[place][:, :, None] * (1 + 1e-9) + 1e-12 * (square[:, :, None] + square[:, None, :])
+    wanted[:, seat, seat] = False
+    meeting, left, right = np.nonzero(wanted)
+    left, right = place[meeting, left], place[meeting, right]
+    exact = ((rows[left] - rows[right]) ** 2).sum(axis=1)
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right)), pa.array(exact)], names=["id", "other", "d2"])
+
+
 def _recall(points: DataFrame, graph: DataFrame, k: int, shape: MatrixShape, id_type: str, seed: int) -> float:
     """Share of the k nearest rows that the graph has, over a bounded number of rows in hash order."""
     asked = sample_rows(points, "id", max_samples=max(3, CHECKED_ROWS), seed=seed, rows=shape.rows)

@@ -3,12 +3,13 @@
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import column
 from eigenlake.functions import blocks
-from eigenlake.operators import affinity, cluster_metrics as cm, clustering, neighbours, spectral
+from eigenlake.operators import affinity, cluster_metrics as cm, clustering, descent, neighbours, spectral
 from eigenlake.operators.clean import MatrixShape
 from eigenlake.operators.kmeans import KMeansRequest
 from test_clustering import brute_silhouette
@@ -140,3 +141,48 @@ def test_edges_to_one_row_lie_together(spark):
     found = [(r["i"], r["j"], r["weight"]) for r in affinity.affinity_edges(joint, "row_id", order).collect()]
     want = [(ids[a], ids[b], weights[a, b]) for b in range(5) for a in range(5) if ids[a] and ids[b] and ids[a] != ids[b]]
     assert found == want
+
+
+@pytest.mark.parametrize("shape", ["even", "tight", "copies", "huge"])
+def test_groups_find_the_nearest(monkeypatch, shape):
+    rng = np.random.default_rng(10)
+    points = {
+        "even": rng.normal(size=(500, 6)),
+        "tight": tight(rng, 500, 6),
+        "copies": np.repeat(rng.normal(size=(20, 6)), 25, axis=0),
+        "huge": rng.normal(size=(500, 6)) * 1e25,
+    }[shape]
+    rows = np.vstack([points[:30], points[:10] + rng.normal(size=(10, 6))])
+    for name, value in (("GROUPED_POINTS", 1), ("GROUPED_ROWS", 7), ("GROUPED_COLUMNS", 64), ("GROUP", 4), ("MOST_GROUPS", 20)):
+        monkeypatch.setattr(neighbours, name, value)
+    full = []
+    plain = neighbours.squared_distances
+    monkeypatch.setattr(neighbours, "squared_distances", lambda a, b: full.append(len(a)) or plain(a, b))
+    found = list(neighbours._close(rows, points, 5))
+    d = between(rows, points)
+    for near, row in zip(found, d):
+        # All that are as near as the fifth, but for rounding, and none that is farther.
+        fifth = np.sort(row)[4]
+        assert set(np.flatnonzero(row < fifth * (1 - 1e-9))) <= set(near.tolist()) and len(near) >= 5
+        assert (row[near] <= fifth + 1e-3 * row.max()).all()
+    assert len(found) == 40 and (shape != "even" or not full)
+
+
+def test_meetings_are_compared_side_by_side():
+    rng = np.random.default_rng(11)
+    sizes = [3, 1, 5, 2]
+    at = pa.chunked_array([["a"] * 3 + ["b"], [None] * 5 + ["c"] * 2])
+    firsts = descent._firsts(at)
+    assert firsts.tolist() == [0, 3, 4, 9]
+    x, fresh = rng.normal(size=(11, 4)) + 100, rng.integers(0, 2, 11).astype(bool)
+    reach = [None if i % 4 == 0 else float(rng.uniform(0, 8)) for i in range(11)]
+    table = pa.table([at, list(range(11)), fresh, pa.array(reach, pa.float64()), x.tolist()], names=["at", "id", "fresh", "reach", "point"])
+    found = descent._compared(table, firsts, 4).to_pydict()
+    d2 = between(x, x) ** 2
+    meeting = np.repeat(np.arange(4), sizes)
+    want = {
+        (i, j) for i in range(11) for j in range(11)
+        if i != j and meeting[i] == meeting[j] and (fresh[i] or fresh[j]) and (reach[i] is None or d2[i, j] <= reach[i])
+    }
+    assert set(zip(found["id"], found["other"])) == want and len(found["id"]) == len(want)
+    np.testing.assert_allclose(found["d2"], [d2[i, j] for i, j in zip(found["id"], found["other"])])
